@@ -53,3 +53,12 @@ HORSE_INPUT_COLUMNS = (
 
 # Key of one run; the feature re-attach joins on it (plus the group column).
 RUN_KEY = ("race_id", "horse_id", "held_date")
+
+
+def race_input_schema():
+    """Typed schema of the stacked race CSV: three numeric columns, the rest text."""
+    from pyspark.sql import types as T
+    longs = {"horse_ids", "race_number", "course_length"}
+    names = ["race_url", *RACE_INPUT_COLUMNS]
+    return T.StructType([T.StructField(n, T.LongType() if n in longs else T.StringType(), True)
+                         for n in names])

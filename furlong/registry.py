@@ -14,12 +14,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .constants import GROUPS, RACE_INPUT_COLUMNS
+from .constants import GROUPS, RACE_INPUT_COLUMNS, race_input_schema
 from .functions import exprs as X
 from .operators import base as B
 from .operators import checks as C
 from .operators import trailing as T
 from .plans import oracle_sql as O
+from .session import scratch_dir
+from .sources import csv_stack as S
 from .sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -168,6 +170,44 @@ def q_preview(spark, sf):
     return B.horse_projection(fixtures.horses(spark, sf)).orderBy("horse_id").limit(5)
 
 
+# ---------------------------------------------------------------- CSV sources and sinks
+#
+# These write a crawled CSV tree derived from ``orders`` into a fresh folder
+# under the session's checkpoint folder, then read it back.
+
+def _crawl(spark, sf):
+    return fixtures.write_crawl(_races(spark, sf), scratch_dir(spark, "crawl"))
+
+
+def q_csv_stack(spark, sf):
+    return S.stack_csv(spark, _crawl(spark, sf), url_col="race_url", id_col="race_id")
+
+
+def q_csv_na_tokens(spark, sf):
+    # Stacked by name with '', 'NA' and 'NULL' read as missing; no dedup.
+    return S.read_csv_stack(spark, _crawl(spark, sf))
+
+
+def _stacked_copy(spark, sf):
+    out = scratch_dir(spark, "stacked")
+    S.write_csv(S.stack_csv(spark, _crawl(spark, sf), url_col="race_url", id_col="race_id"), out)
+    return out
+
+
+def q_csv_roundtrip(spark, sf):
+    return S.read_csv_stack(spark, _stacked_copy(spark, sf))
+
+
+def q_load_typed(spark, sf):
+    return S.read_typed(spark, _stacked_copy(spark, sf), race_input_schema())
+
+
+def q_write_features(spark, sf):
+    out = scratch_dir(spark, "race_features")
+    S.write_table(T.race_features(_base(spark, sf)), path=out)
+    return spark.read.parquet(out)
+
+
 # ---------------------------------------------------------------- registry
 
 def queries() -> dict[str, Query]:
@@ -198,6 +238,11 @@ def queries() -> dict[str, Query]:
         "feature_attach_join_form": q_feature_attach_join_form,
         "sorted_view": q_sorted_view,
         "preview": q_preview,
+        "csv_stack": q_csv_stack,
+        "csv_na_tokens": q_csv_na_tokens,
+        "csv_roundtrip": q_csv_roundtrip,
+        "load_typed": q_load_typed,
+        "write_features": q_write_features,
     })
     return reg
 
@@ -266,4 +311,17 @@ from race_info left join horses using (horse_id) {centre}""",
     sql["preview"] = (O.with_clause(O.input_ctes()) + "\nselect horse_id, horse_name, producer, origin_place, "
                       "mother, father, mother_of_father, father_of_father, mother_of_mother, father_of_mother "
                       "from horses order by horse_id limit 5")
+    crawl_cols = ", ".join(fixtures.crawl_columns())
+    stacked_with_id = (O.with_clause(O.input_ctes() + [fixtures.crawl_union_sql(distinct=True)])
+                       + f"\nselect {crawl_cols}, {O.URL_ID_SQL.format(c='race_url')} as race_id from stacked")
+    sql["csv_stack"] = stacked_with_id
+    sql["csv_na_tokens"] = (O.with_clause(O.input_ctes() + [fixtures.crawl_union_sql(distinct=False)])
+                            + f"\nselect {crawl_cols} from stacked")
+    sql["csv_roundtrip"] = stacked_with_id
+    typed = ", ".join(f"cast({f.name} as bigint) as {f.name}" if f.dataType.typeName() == "long" else f.name
+                      for f in race_input_schema().fields)
+    sql["load_typed"] = (O.with_clause(O.input_ctes() + [fixtures.crawl_union_sql(distinct=True)])
+                         + f"\nselect {typed} from (select {crawl_cols}, "
+                         f"{O.URL_ID_SQL.format(c='race_url')} as race_id from stacked)")
+    sql["write_features"] = O.features_sql()
     return sql

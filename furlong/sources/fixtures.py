@@ -85,3 +85,62 @@ def races(spark: SparkSession, sf_dir: str) -> DataFrame:
 def horses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``horses`` input (one row per horse) derived from ``customer``."""
     return spark.sql(HORSES_SQL, customer=read_table(spark, sf_dir, "customer"))
+
+
+# ---------------------------------------------------------------- crawled CSV folders
+#
+# The notebook's input is a tree of crawled CSV files whose headers differ.
+# ``write_crawl`` lays the race input out that way, every row at least once:
+# three header layouts (full, reversed, three columns short), three spellings
+# of a missing value ('', 'NA', 'NULL'), nested folders, and one year crawled
+# twice so that whole-row duplicates exist across files and layouts.
+
+CRAWL_SHORT = ("race_start_time", "held_number", "held_date_number")
+
+
+def crawl_columns() -> list[str]:
+    """The crawled race columns: the input columns with race_url in place of race_id."""
+    from ..constants import RACE_INPUT_COLUMNS
+    return ["race_url"] + [c for c in RACE_INPUT_COLUMNS if c != "race_id"]
+
+
+def crawl_layouts() -> list[tuple[str, list[str], str, str]]:
+    """``(sub folder, columns, null spelling, SQL year predicate)`` per layout."""
+    cols = crawl_columns()
+    return [
+        ("full", cols, "", "y <= 1996 or y = 1998"),
+        ("reversed/1998", list(reversed(cols)), "NA", "y between 1997 and 1998"),
+        ("short/late/x", [c for c in cols if c not in CRAWL_SHORT], "NULL", "y >= 1999"),
+    ]
+
+
+YEAR_SQL = r"cast(regexp_extract(held_date, '(\d+)年', 1) as int)"
+
+
+def write_crawl(races_df: DataFrame, root: str) -> str:
+    """Write ``races_df`` under ``root`` as a crawled CSV tree; returns ``root``."""
+    from pyspark.sql import functions as F
+    text = races_df.select(
+        *[F.col(c).cast("string").alias(c) for c in crawl_columns()],
+        F.regexp_extract("held_date", r"(\d+)年", 1).cast("int").alias("y"))
+    for sub, cols, null, years in crawl_layouts():
+        (text.where(F.expr(years)).select(*cols)
+         .write.mode("overwrite").option("header", "true").option("escape", '"')
+         .option("nullValue", null).option("emptyValue", "")
+         .csv(os.path.join(root, sub)))
+    return root
+
+
+def crawl_union_sql(distinct: bool) -> str:
+    """DuckDB text of the stacked crawl (union by name, optional whole-row dedup)."""
+    cols = crawl_columns()
+    parts = []
+    for _, layout_cols, _, years in crawl_layouts():
+        sel = ", ".join(f"cast({c} as varchar) as {c}" if c in layout_cols else f"cast(null as varchar) as {c}"
+                        for c in cols)
+        parts.append(f"select {sel} from crawl_src where {years}")
+    body = "\nunion all\n".join(parts)
+    if distinct:
+        body = f"select distinct * from ({body})"
+    return (f"crawl_src as (select *, {YEAR_SQL} as y from races),\n"
+            f"stacked as ({body})")
