@@ -18,6 +18,7 @@ from .constants import GROUPS, RACE_INPUT_COLUMNS, race_input_schema
 from .functions import exprs as X
 from .operators import base as B
 from .operators import checks as C
+from .operators import skew as K
 from .operators import trailing as T
 from .plans import oracle_sql as O
 from .session import scratch_dir
@@ -151,6 +152,12 @@ def q_race_features(spark, sf):
     return T.race_features(_base(spark, sf))
 
 
+def q_race_features_skew_safe(spark, sf):
+    # A low threshold so that many horses count as hot and are split into
+    # date chunks at small scale factors: the whole context machinery runs.
+    return K.race_features_skew_safe(_base(spark, sf), max_rows_per_horse=8, chunk_rows=3)
+
+
 def q_frame_as_written(spark, sf):
     return T.race_features(_base(spark, sf), frame="as_written")
 
@@ -234,6 +241,7 @@ def queries() -> dict[str, Query]:
         reg[f"trailing_{_group_key(g)}"] = _trailing_query(g)
     reg.update({
         "race_features": q_race_features,
+        "race_features_skew_safe": q_race_features_skew_safe,
         "frame_as_written": q_frame_as_written,
         "feature_attach_join_form": q_feature_attach_join_form,
         "sorted_view": q_sorted_view,
@@ -305,6 +313,7 @@ from race_info left join horses using (horse_id) {centre}""",
     for g in GROUPS:
         sql[f"trailing_{_group_key(g)}"] = O.block_sql(g)
     sql["race_features"] = O.features_sql()
+    sql["race_features_skew_safe"] = O.features_sql()
     sql["frame_as_written"] = O.features_sql(frame="as_written")
     sql["feature_attach_join_form"] = O.features_sql()
     sql["sorted_view"] = O.block_sql("held_place")
