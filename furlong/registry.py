@@ -18,8 +18,8 @@ from .constants import GROUPS, RACE_INPUT_COLUMNS, race_input_schema
 from .functions import exprs as X
 from .operators import base as B
 from .operators import checks as C
-from .operators import skew as K
 from .operators import trailing as T
+from .plans import jobs as J
 from .plans import oracle_sql as O
 from .session import scratch_dir
 from .sources import csv_stack as S
@@ -32,8 +32,8 @@ def _races(spark, sf):
     return fixtures.races(spark, sf)
 
 
-def _base(spark, sf):
-    return B.base_features(_races(spark, sf))
+def _base(spark, sf, partition_by=None):
+    return B.base_features(_races(spark, sf), partition_by=partition_by)
 
 
 def _group_key(g):
@@ -143,23 +143,23 @@ def q_ratios(spark, sf):
 
 def _trailing_query(group):
     def q(spark, sf):
-        return T.trailing_average(_base(spark, sf), group)
+        return T.trailing_average(_base(spark, sf, "horse_id"), group)
     q.__name__ = f"q_trailing_{_group_key(group)}"
     return q
 
 
 def q_race_features(spark, sf):
-    return T.race_features(_base(spark, sf))
+    return J.feature_table(_races(spark, sf))
 
 
 def q_race_features_skew_safe(spark, sf):
     # A low threshold so that many horses count as hot and are split into
     # date chunks at small scale factors: the whole context machinery runs.
-    return K.race_features_skew_safe(_base(spark, sf), max_rows_per_horse=8, chunk_rows=3)
+    return J.feature_table(_races(spark, sf), skew_safe=True, max_rows_per_horse=8, chunk_rows=3)
 
 
 def q_frame_as_written(spark, sf):
-    return T.race_features(_base(spark, sf), frame="as_written")
+    return J.feature_table(_races(spark, sf), frame="as_written")
 
 
 def q_feature_attach_join_form(spark, sf):
@@ -167,7 +167,7 @@ def q_feature_attach_join_form(spark, sf):
 
 
 def q_sorted_view(spark, sf):
-    blk = T.trailing_average(_base(spark, sf), "held_place")
+    blk = T.trailing_average(_base(spark, sf, "horse_id"), "held_place")
     return blk.orderBy(F.desc_nulls_last("horse_id"), F.desc_nulls_last("held_place"),
                        F.desc_nulls_last("held_date"))
 
@@ -187,7 +187,7 @@ def _crawl(spark, sf):
 
 
 def q_csv_stack(spark, sf):
-    return S.stack_csv(spark, _crawl(spark, sf), url_col="race_url", id_col="race_id")
+    return J.stack_crawl(spark, _crawl(spark, sf), url_col="race_url", id_col="race_id")
 
 
 def q_csv_na_tokens(spark, sf):
@@ -211,7 +211,7 @@ def q_load_typed(spark, sf):
 
 def q_write_features(spark, sf):
     out = scratch_dir(spark, "race_features")
-    S.write_table(T.race_features(_base(spark, sf)), path=out)
+    J.write_feature_table(J.feature_table(_races(spark, sf)), path=out)
     return spark.read.parquet(out)
 
 
