@@ -110,7 +110,7 @@ def held_date_from_parts(c: ColumnOrName, lenient: bool = False) -> Column:
     parts = [_to_long(_date_part(s, m), lenient).cast("int") for m in (YEAR_MARK, MONTH_MARK, DAY_MARK)]
     if lenient:
         # No try_make_date: go through a y-M-d text and try_to_date.
-        return F.try_to_date(F.concat_ws("-", *[p.cast("string") for p in parts]), F.lit("y-M-d"))
+        return F.try_to_date(F.concat_ws("-", *[p.cast("string") for p in parts]), "y-M-d")
     return F.make_date(*parts)
 
 

@@ -67,32 +67,33 @@ def _group_value(g: str | None) -> Column:
     return F.lit("") if g is None else F.col(g).cast("string")
 
 
-def race_features_skew_safe(base: DataFrame, groups: Sequence[str | None] = GROUPS,
-                            lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
-                            frame: str = "trailing", check_keys: bool = True,
-                            max_rows_per_horse: int = 2_000_000, chunk_rows: int | None = None,
-                            max_chunks: int = 4096, broadcast_limit_bytes: int = 64 << 20) -> DataFrame:
-    """``race_features`` with hot horses split into parallel chunks (see module doc)."""
+def assign_chunks(base: DataFrame, max_rows_per_horse: int, chunk_rows: int | None = None,
+                  max_chunks: int = 4096, broadcast_limit_bytes: int = 64 << 20):
+    """``(tagged, n_hot)``: ``base`` plus ``_chunk`` and ``_hot``, or ``(None, 0)`` if nothing is hot.
+
+    Normal horses get chunk 0.  Only two numbers (hot count, largest load)
+    reach the driver.
+    """
     chunk_rows = chunk_rows or max_rows_per_horse
     load = horse_load(base)
     stats = load.agg(F.count_if(F.col("n_runs") > max_rows_per_horse).alias("n_hot"),
                      F.max("n_runs").alias("max_runs")).first()
     n_hot = int(stats["n_hot"] or 0)
     if n_hot == 0:
-        return race_features(base, groups, lengths, metrics, frame, check_keys)
+        return None, 0
 
     n_chunks = max(2, min(max_chunks, math.ceil(stats["max_runs"] / chunk_rows)))
     steps = math.ceil(math.log2(n_chunks + 1)) + 1
-    k_max = max(lengths)
     days = F.unix_date(F.col("held_date"))
 
-    # 1-2. hot horses and their chunk boundaries (hot list: <= N / max_rows_per_horse rows).
+    # Hot list: at most N / max_rows_per_horse keys; broadcast only under the limit.
     hot = load.where(F.col("n_runs") > max_rows_per_horse).select("horse_id")
     hot_side = F.broadcast(hot) if n_hot * 64 <= broadcast_limit_bytes else hot
     pct = [i / n_chunks for i in range(1, n_chunks)]
     bounds = (base.select("horse_id", days.alias("_days")).join(hot_side, "horse_id", "left_semi")
               .groupBy("horse_id")
               .agg(F.array_distinct(F.percentile_approx("_days", pct, 10_000)).alias("_bounds")))
+    # n_hot rows of at most n_chunks - 1 ints each.
     bounds_side = F.broadcast(bounds) if n_hot * n_chunks * 8 <= broadcast_limit_bytes else bounds
 
     chunk = F.when(F.col("_bounds").isNull() | F.col("held_date").isNull(), F.lit(0)) \
@@ -101,9 +102,12 @@ def race_features_skew_safe(base: DataFrame, groups: Sequence[str | None] = GROU
               .withColumn(CHUNK, chunk.cast("int"))
               .withColumn("_hot", F.col("_bounds").isNotNull())
               .drop("_bounds"))
-    payload = list(base.columns)
+    return tagged, n_hot
+
 
-    # 3. tails of every (horse, chunk, group value) in the hot horses, in long form.
+def context_rows(tagged: DataFrame, payload: Sequence[str], groups: Sequence[str | None],
+                 k_max: int) -> DataFrame:
+    """For every hot chunk, the earlier runs its frames can reach (see module doc, step 3)."""
     hot_rows = tagged.where(F.col("_hot")).repartition("horse_id", CHUNK)
     desc = [F.col("held_date").desc_nulls_last(), F.col("race_id").desc_nulls_last()]
     marks = []
@@ -116,20 +120,33 @@ def race_features_skew_safe(base: DataFrame, groups: Sequence[str | None] = GROU
              .select(*payload, CHUNK, F.explode(F.filter("_marks", lambda m: m.isNotNull())).alias("_m"))
              .select(*payload, CHUNK, "_m._g", "_m._v"))
     order = [F.col(CHUNK), F.col("held_date").asc_nulls_first(), F.col("race_id").asc_nulls_first()]
-    tails = tails.withColumn("_pos", F.row_number().over(Window.partitionBy("horse_id", "_g", "_v").orderBy(*order)))
+    tails = tails.withColumn("_pos", F.row_number().over(
+        Window.partitionBy("horse_id", "_g", "_v").orderBy(*order)))
 
-    # Context of chunk c for (horse, g, v): tail positions start-K+1 .. start, where
-    # start = number of tail rows of earlier chunks.
+    # Context of chunk c for (horse, g, v): tail positions start-K+1 .. start,
+    # where start = number of tail rows of earlier chunks.
     starts = tails.groupBy("horse_id", "_g", "_v", CHUNK).agg((F.min("_pos") - 1).alias("_start"))
     slots = (starts.where(F.col("_start") >= 1)
              .select("horse_id", "_g", "_v", F.col(CHUNK).alias("_target"),
-                     F.explode(F.sequence(F.greatest(F.col("_start") - k_max + 1, F.lit(1)), F.col("_start"))).alias("_pos")))
-    context = (slots.join(tails.drop(CHUNK), ["horse_id", "_g", "_v", "_pos"])
-               .select(*payload, F.col("_target").alias(CHUNK))
-               .dropDuplicates([*payload, CHUNK])
-               .withColumn(CONTEXT, F.lit(True)))
+                     F.explode(F.sequence(F.greatest(F.col("_start") - k_max + 1, F.lit(1)),
+                                          F.col("_start"))).alias("_pos")))
+    return (slots.join(tails.drop(CHUNK), ["horse_id", "_g", "_v", "_pos"])
+            .select(*payload, F.col("_target").alias(CHUNK))
+            .dropDuplicates([*payload, CHUNK]))
 
-    # 4. one window pass over real and context rows, partitioned by (horse, chunk).
+
+def race_features_skew_safe(base: DataFrame, groups: Sequence[str | None] = GROUPS,
+                            lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
+                            frame: str = "trailing", check_keys: bool = True,
+                            max_rows_per_horse: int = 2_000_000, chunk_rows: int | None = None,
+                            max_chunks: int = 4096, broadcast_limit_bytes: int = 64 << 20) -> DataFrame:
+    """``race_features`` with hot horses split into parallel chunks (see module doc)."""
+    tagged, n_hot = assign_chunks(base, max_rows_per_horse, chunk_rows, max_chunks,
+                                  broadcast_limit_bytes)
+    if tagged is None:
+        return race_features(base, groups, lengths, metrics, frame, check_keys)
+    payload = list(base.columns)
+    context = context_rows(tagged, payload, groups, max(lengths)).withColumn(CONTEXT, F.lit(True))
     real = tagged.drop("_hot").withColumn(CONTEXT, F.lit(False))
     both = real.unionByName(context)
     out = race_features(both, groups, lengths, metrics, frame, check_keys, extra_partition=[CHUNK])
