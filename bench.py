@@ -35,7 +35,9 @@ def headline(spark, sf, crawl_root):
     qs = {
         "base_features": lambda: B.base_features(races),
         "race_features": lambda: J.feature_table(races),
-        "race_features_skew_safe": lambda: J.feature_table(races, skew_safe=True),
+        "race_features_skew_off": lambda: J.feature_table(races, skew="off"),
+        # every horse with more than 8 runs split into chunks of about 4 runs
+        "race_features_skew_split": lambda: J.feature_table(races, max_rows_per_horse=8, chunk_rows=4),
         "race_features_as_written": lambda: J.feature_table(races, frame="as_written"),
         "csv_stack": lambda: J.stack_crawl(spark, crawl_root, url_col="race_url", id_col="race_id"),
     }

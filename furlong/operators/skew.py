@@ -13,9 +13,10 @@ Steps (all DataFrame operations):
    ``N / max_rows_per_horse``: a size bound by construction, checked before
    any broadcast.  No hot horse -> plain ``race_features``.
 2. Chunk boundaries per hot horse: ``percentile_approx`` of the run date
-   (partial aggregate, bounded sketch).  A run's chunk is the number of
-   boundaries before its date (binary search inside the expression).  Equal
-   dates share a chunk, so chunks are intervals of the (date, race) order.
+   (partial aggregate, bounded sketch), checkpointed so that a recomputed
+   stage cannot move a boundary.  A run's chunk is the number of boundaries
+   before its date (binary search inside the expression).  Equal dates share
+   a chunk, so chunks are intervals of the (date, race) order.
 3. Tails: per chunk and per group value, the last ``K`` runs (row_number in
    windows partitioned by horse, chunk and group value).  The last ``K`` runs
    of a (horse, value) before chunk ``c`` are always among the tails of
@@ -39,6 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import GROUPS, LENGTHS, METRICS
+from ..session import ensure_checkpoint_dir
 from .trailing import race_features
 
 CHUNK = "_chunk"
@@ -93,6 +95,11 @@ def assign_chunks(base: DataFrame, max_rows_per_horse: int, chunk_rows: int | No
     bounds = (base.select("horse_id", days.alias("_days")).join(hot_side, "horse_id", "left_semi")
               .groupBy("horse_id")
               .agg(F.array_distinct(F.percentile_approx("_days", pct, 10_000)).alias("_bounds")))
+    # percentile_approx may merge its partial sketches in another order when a
+    # lost stage is recomputed; pin the boundaries once (reliable checkpoint in
+    # the shared spark.checkpoint.dir) so every task attempt sees the same chunks.
+    ensure_checkpoint_dir(base.sparkSession)
+    bounds = bounds.checkpoint(eager=True)
     # n_hot rows of at most n_chunks - 1 ints each.
     bounds_side = F.broadcast(bounds) if n_hot * n_chunks * 8 <= broadcast_limit_bytes else bounds
 
@@ -135,19 +142,25 @@ def context_rows(tagged: DataFrame, payload: Sequence[str], groups: Sequence[str
             .dropDuplicates([*payload, CHUNK]))
 
 
+def chunked_race_features(tagged: DataFrame, payload: Sequence[str],
+                          groups: Sequence[str | None] = GROUPS, lengths: Sequence[int] = LENGTHS,
+                          metrics: Sequence[str] = METRICS, frame: str = "trailing",
+                          check_keys: bool = True) -> DataFrame:
+    """Step 4: one window pass over real and context rows, partitioned by (horse, chunk)."""
+    context = context_rows(tagged, payload, groups, max(lengths)).withColumn(CONTEXT, F.lit(True))
+    real = tagged.drop("_hot").withColumn(CONTEXT, F.lit(False))
+    both = real.unionByName(context)
+    out = race_features(both, groups, lengths, metrics, frame, check_keys, extra_partition=[CHUNK])
+    return out.where(~F.col(CONTEXT)).drop(CHUNK, CONTEXT)
+
+
 def race_features_skew_safe(base: DataFrame, groups: Sequence[str | None] = GROUPS,
                             lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
                             frame: str = "trailing", check_keys: bool = True,
                             max_rows_per_horse: int = 2_000_000, chunk_rows: int | None = None,
                             max_chunks: int = 4096, broadcast_limit_bytes: int = 64 << 20) -> DataFrame:
     """``race_features`` with hot horses split into parallel chunks (see module doc)."""
-    tagged, n_hot = assign_chunks(base, max_rows_per_horse, chunk_rows, max_chunks,
-                                  broadcast_limit_bytes)
+    tagged, _ = assign_chunks(base, max_rows_per_horse, chunk_rows, max_chunks, broadcast_limit_bytes)
     if tagged is None:
         return race_features(base, groups, lengths, metrics, frame, check_keys)
-    payload = list(base.columns)
-    context = context_rows(tagged, payload, groups, max(lengths)).withColumn(CONTEXT, F.lit(True))
-    real = tagged.drop("_hot").withColumn(CONTEXT, F.lit(False))
-    both = real.unionByName(context)
-    out = race_features(both, groups, lengths, metrics, frame, check_keys, extra_partition=[CHUNK])
-    return out.where(~F.col(CONTEXT)).drop(CHUNK, CONTEXT)
+    return chunked_race_features(tagged, list(base.columns), groups, lengths, metrics, frame, check_keys)

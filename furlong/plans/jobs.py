@@ -5,12 +5,13 @@
 
 They only compose the operators; the plan choices live here:
 
-* without skew handling the filtered runs are hash-partitioned on
-  ``horse_id`` *before* parsing, so the one exchange the windows need also
-  spreads the regex/cast work over all post-shuffle tasks;
-* with ``skew_safe=True`` nothing is partitioned by ``horse_id`` up front
-  (a hot horse would sit in one task); the skew path partitions by
-  (horse, chunk) instead.
+* ``skew="auto"`` (default) first counts runs per horse (one narrow scan,
+  partial aggregation).  With no hot horse the plain plan runs: the filtered
+  runs are hash-partitioned on ``horse_id`` *before* parsing, so the one
+  exchange the windows need also spreads the regex/cast work over all
+  post-shuffle tasks.  With hot horses the skew path partitions by
+  (horse, chunk) instead -- nothing is partitioned by ``horse_id`` alone;
+* ``skew="off"`` skips the count (the plain plan, for data known to be flat).
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..constants import CENTRAL_PLACES, GROUPS, LENGTHS, METRICS
 from ..operators.base import base_features
-from ..operators.skew import race_features_skew_safe
+from ..operators.skew import assign_chunks, chunked_race_features
 from ..operators.trailing import race_features
 from ..sources.csv_stack import stack_csv, write_csv, write_table
 
@@ -39,11 +40,24 @@ def feature_table(races: DataFrame, horses: DataFrame | None = None,
                   groups: Sequence[str | None] = GROUPS, lengths: Sequence[int] = LENGTHS,
                   metrics: Sequence[str] = METRICS, frame: str = "trailing",
                   places: Sequence[str] = CENTRAL_PLACES, lenient: bool = False,
-                  skew_safe: bool = False, check_keys: bool = True, **skew_options) -> DataFrame:
-    """The ``race_features`` table: 26 base columns + trailing averages."""
-    if skew_safe:
+                  skew: str = "auto", check_keys: bool = True,
+                  max_rows_per_horse: int = 2_000_000, chunk_rows: int | None = None,
+                  max_chunks: int = 4096, broadcast_limit_bytes: int = 64 << 20) -> DataFrame:
+    """The ``race_features`` table: 26 base columns + trailing averages.
+
+    ``max_rows_per_horse`` is the most runs one window task should take for a
+    single horse; horses above it are split into chunks of about
+    ``chunk_rows`` runs (default: the same number).
+    """
+    if skew not in ("auto", "off"):
+        raise ValueError(f"skew must be 'auto' or 'off', got {skew!r}")
+    if skew == "auto":
         base = base_features(races, horses, places, lenient)
-        return race_features_skew_safe(base, groups, lengths, metrics, frame, check_keys, **skew_options)
+        tagged, n_hot = assign_chunks(base, max_rows_per_horse, chunk_rows, max_chunks,
+                                      broadcast_limit_bytes)
+        if n_hot:
+            return chunked_race_features(tagged, list(base.columns), groups, lengths, metrics,
+                                         frame, check_keys)
     base = base_features(races, horses, places, lenient, partition_by="horse_id")
     return race_features(base, groups, lengths, metrics, frame, check_keys)
 

@@ -155,7 +155,7 @@ def q_race_features(spark, sf):
 def q_race_features_skew_safe(spark, sf):
     # A low threshold so that many horses count as hot and are split into
     # date chunks at small scale factors: the whole context machinery runs.
-    return J.feature_table(_races(spark, sf), skew_safe=True, max_rows_per_horse=8, chunk_rows=3)
+    return J.feature_table(_races(spark, sf), max_rows_per_horse=8, chunk_rows=3)
 
 
 def q_frame_as_written(spark, sf):
