@@ -17,6 +17,8 @@ import time
 HERE = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, HERE)
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from furlong.operators import base as B  # noqa: E402
 from furlong.operators import trailing as T  # noqa: E402
 from furlong.plans import jobs as J  # noqa: E402
@@ -30,14 +32,22 @@ WARM_DIR = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
 WITH_JOIN_FORM = os.environ.get("BENCH_JOIN_FORM", "0") == "1"
 
 
+def one_hot_horse(races):
+    """The same runs with a third of them moved to a single horse (id -1)."""
+    return races.withColumn("horse_ids", F.when(F.abs(F.hash("race_id")) % 3 == 0, F.lit(-1))
+                            .otherwise(F.col("horse_ids")))
+
+
 def headline(spark, sf, crawl_root):
     races = fixtures.races(spark, sf)
+    hot = one_hot_horse(races)
     qs = {
         "base_features": lambda: B.base_features(races),
         "race_features": lambda: J.feature_table(races),
         "race_features_skew_off": lambda: J.feature_table(races, skew="off"),
-        # every horse with more than 8 runs split into chunks of about 4 runs
-        "race_features_skew_split": lambda: J.feature_table(races, max_rows_per_horse=8, chunk_rows=4),
+        # one horse holds a third of all runs: split into chunks vs one straggler task
+        "hot_horse_split": lambda: J.feature_table(hot, max_rows_per_horse=10_000, chunk_rows=5_000),
+        "hot_horse_no_split": lambda: J.feature_table(hot, skew="off"),
         "race_features_as_written": lambda: J.feature_table(races, frame="as_written"),
         "csv_stack": lambda: J.stack_crawl(spark, crawl_root, url_col="race_url", id_col="race_id"),
     }

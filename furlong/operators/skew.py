@@ -20,8 +20,9 @@ Steps (all DataFrame operations):
 3. Tails: per chunk and per group value, the last ``K`` runs (row_number in
    windows partitioned by horse, chunk and group value).  The last ``K`` runs
    of a (horse, value) before chunk ``c`` are always among the tails of
-   earlier chunks, so the context of ``c`` is picked from the tail table
-   with a position join (no range join, no pairs of chunks).
+   earlier chunks; walking the tails in run order, a tail row is sent to the
+   chunks that begin within its next ``K`` tail rows (one window with a
+   bounded frame, at most ``K`` copies per row; no join, no chunk pairs).
 4. One window pass over real + context rows, partitioned by (horse, chunk):
    the usual ``race_features`` with ``extra_partition=["_chunk"]``.  Context
    rows of another group never reach a frame of length <= K (at least K
@@ -126,19 +127,17 @@ def context_rows(tagged: DataFrame, payload: Sequence[str], groups: Sequence[str
     tails = (hot_rows.select(*payload, CHUNK, F.array(*marks).alias("_marks"))
              .select(*payload, CHUNK, F.explode(F.filter("_marks", lambda m: m.isNotNull())).alias("_m"))
              .select(*payload, CHUNK, "_m._g", "_m._v"))
-    order = [F.col(CHUNK), F.col("held_date").asc_nulls_first(), F.col("race_id").asc_nulls_first()]
-    tails = tails.withColumn("_pos", F.row_number().over(
-        Window.partitionBy("horse_id", "_g", "_v").orderBy(*order)))
-
-    # Context of chunk c for (horse, g, v): tail positions start-K+1 .. start,
-    # where start = number of tail rows of earlier chunks.
-    starts = tails.groupBy("horse_id", "_g", "_v", CHUNK).agg((F.min("_pos") - 1).alias("_start"))
-    slots = (starts.where(F.col("_start") >= 1)
-             .select("horse_id", "_g", "_v", F.col(CHUNK).alias("_target"),
-                     F.explode(F.sequence(F.greatest(F.col("_start") - k_max + 1, F.lit(1)),
-                                          F.col("_start"))).alias("_pos")))
-    return (slots.join(tails.drop(CHUNK), ["horse_id", "_g", "_v", "_pos"])
-            .select(*payload, F.col("_target").alias(CHUNK))
+    # Walk the tails of one (horse, group, value) in run order.  A tail row is
+    # needed by every chunk whose first tail row lies among the next K tail
+    # rows: only then is it one of the K runs before that chunk.  So each
+    # tail row goes to at most K chunks -- no join, no pairs of chunks.
+    w = Window.partitionBy("horse_id", "_g", "_v").orderBy(
+        F.col(CHUNK), F.col("held_date").asc_nulls_first(), F.col("race_id").asc_nulls_first())
+    starts_chunk = F.coalesce(F.lag(CHUNK, 1).over(w) != F.col(CHUNK), F.lit(True))
+    tails = tails.withColumn("_first", starts_chunk)
+    targets = F.collect_list(F.when(F.col("_first"), F.col(CHUNK))).over(w.rowsBetween(1, k_max))
+    return (tails.select(*payload, targets.alias("_targets"))
+            .select(*payload, F.explode("_targets").alias(CHUNK))
             .dropDuplicates([*payload, CHUNK]))
 
 
