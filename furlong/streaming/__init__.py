@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The surveyed workflow is two batch steps (stack crawled CSV files, then build
+the feature table); it has no stream source, watermark, event-time window or
+state.  Nothing is added here so as not to invent operators the workflow does
+not have.  A new crawl is handled by re-running the batch jobs in
+``furlong.plans.jobs`` over the grown input; every job is a deterministic
+function of its input files and overwrites its output.
+"""
