@@ -17,6 +17,11 @@ LONG_BAND = "長距離"
 # Date marks inside held_date texts such as 2020年4月4日.
 YEAR_MARK, MONTH_MARK, DAY_MARK = "年", "月", "日"
 
+# Id of a URL: its last path segment, only when the URL ends in a slash (one
+# final newline allowed, like Python's ``$``); the word characters of the
+# crawler's rule spelt as Unicode letters, numbers and underscore.
+URL_ID_PATTERN = r"/([\p{L}\p{N}_]+)/(?:\n)?\z"
+
 # The five metrics averaged in every feature block, in block order.
 METRICS = ("goal_times", "half_times", "avg_velocity", "avg_half_velocity", "arrival_orders")
 

@@ -15,15 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..constants import DAY_MARK, LENGTH_BANDS, LONG_BAND, MONTH_MARK, YEAR_MARK
+from ..constants import DAY_MARK, LENGTH_BANDS, LONG_BAND, MONTH_MARK, URL_ID_PATTERN, YEAR_MARK
 
 ColumnOrName = Column | str
 
-# Last path segment of a URL, only when the URL ends in a slash (an optional
-# single trailing newline is allowed, like Python's ``$``).  ``\w`` is spelt
-# as Unicode letters, numbers and underscore so that ids such as 馬1 match.
-URL_ID_PATTERN = r"/([\p{L}\p{N}_]+)/(?:\n)?\z"
-
 
 def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
