@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .constants import GROUPS, RACE_INPUT_COLUMNS, race_input_schema
 from .functions import exprs as X
+from .functions.sql import register_sql_functions
 from .operators import base as B
 from .operators import checks as C
 from .operators import trailing as T
@@ -85,6 +86,19 @@ def q_extract_ids(spark, sf):
     return pages.select("page_id", X.extract_url_id("url").alias("url_id"))
 
 
+def q_parse_clock_sql(spark, sf):
+    # The SQL function twin, called from spark.sql over the same races.
+    register_sql_functions(spark)
+    return spark.sql("select race_id, goal_times, parse_goal_time(goal_times) as goal_seconds from {r}",
+                     r=_races(spark, sf))
+
+
+def q_extract_ids_sql(spark, sf):
+    register_sql_functions(spark)
+    return spark.sql("select page_id, extract_id_number(url) as url_id from {p}",
+                     p=fixtures.read_table(spark, sf, "pages"))
+
+
 def q_length_band(spark, sf):
     r = _races(spark, sf)
     return r.select("race_id", "course_length", X.length_band("course_length").alias("course_length_category"))
@@ -230,6 +244,8 @@ def queries() -> dict[str, Query]:
         "extract_ids": q_extract_ids,
         "length_band": q_length_band,
         "parse_clock": q_parse_clock,
+        "parse_clock_sql": q_parse_clock_sql,
+        "extract_ids_sql": q_extract_ids_sql,
         "held_month": q_held_month,
         "held_day_of_week": q_held_day_of_week,
         "parse_held_date": q_parse_held_date,
@@ -295,6 +311,8 @@ from race_info left join horses using (horse_id) {centre}""",
         "length_band": _races_select(
             f"race_id, course_length, {O.length_band_sql('course_length')} as course_length_category"),
         "parse_clock": _races_select(f"race_id, goal_times, {O.parse_clock_sql('goal_times')} as goal_seconds"),
+        "parse_clock_sql": _races_select(f"race_id, goal_times, {O.parse_clock_sql('goal_times')} as goal_seconds"),
+        "extract_ids_sql": f"select page_id, {O.URL_ID_SQL.format(c='url')} as url_id from pages",
         "held_month": _races_select(f"race_id, {O.held_month_sql('held_date')} as held_month"),
         "held_day_of_week": _races_select(f"race_id, {O.held_day_of_week_sql('held_date')} as held_day_of_week"),
         "parse_held_date": _races_select(f"race_id, {O.parse_held_date_sql('held_date')} as held_date"),

@@ -110,3 +110,14 @@ def test_ratios(spark):
 def test_central_place_drops_null(spark):
     df = one_col(spark, ["東京", "大井", None])
     assert [r.i for r in df.where(X.central_place("v", ["東京"])).collect()] == [0]
+
+
+def test_sql_function_twins(spark):
+    from furlong.functions.sql import register_sql_functions
+    register_sql_functions(spark)
+    df = one_col(spark, URLS)
+    df.createOrReplaceTempView("urls")
+    got = [r[0] for r in spark.sql("select extract_id_number(v) from urls order by i").collect()]
+    assert got == [python_extract(u) for u in URLS]
+    r = spark.sql("select parse_goal_time('1:34.5') as a, parse_goal_time(null) as b").first()
+    assert (r.a, r.b) == (94.5, None)
