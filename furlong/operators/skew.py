@@ -11,7 +11,9 @@ Steps (all DataFrame operations):
 1. ``count`` per horse with map-side partial aggregation -> the hot horses
    (more than ``max_rows_per_horse`` runs).  Their number is at most
    ``N / max_rows_per_horse``: a size bound by construction, checked before
-   any broadcast.  No hot horse -> plain ``race_features``.
+   any broadcast.  No hot horse -> plain ``race_features``.  Runs with no
+   horse id (features NULL by the join mask, out of every other frame) are
+   spread by a hash of their key when there are too many of them.
 2. Chunk boundaries per hot horse: ``percentile_approx`` of the run date
    (partial aggregate, bounded sketch), checkpointed so that a recomputed
    stage cannot move a boundary.  A run's chunk is the number of boundaries
@@ -74,23 +76,37 @@ def assign_chunks(base: DataFrame, max_rows_per_horse: int, chunk_rows: int | No
                   max_chunks: int = 4096, broadcast_limit_bytes: int = 64 << 20):
     """``(tagged, n_hot)``: ``base`` plus ``_chunk`` and ``_hot``, or ``(None, 0)`` if nothing is hot.
 
-    Normal horses get chunk 0.  Only two numbers (hot count, largest load)
-    reach the driver.
+    Normal horses get chunk 0.  Runs without a horse id -- the likeliest hot
+    key in crawled data -- are spread over chunks by a hash of the run key:
+    their features are NULL by the join mask and no other run's frame can
+    reach them, so any split is exact and they need no context rows.  Only
+    three numbers (hot count, largest load, NULL-id load) reach the driver.
     """
     chunk_rows = chunk_rows or max_rows_per_horse
     load = horse_load(base)
-    stats = load.agg(F.count_if(F.col("n_runs") > max_rows_per_horse).alias("n_hot"),
-                     F.max("n_runs").alias("max_runs")).first()
+    keyed = F.col("horse_id").isNotNull()
+    stats = load.agg(F.count_if(keyed & (F.col("n_runs") > max_rows_per_horse)).alias("n_hot"),
+                     F.max(F.when(keyed, F.col("n_runs"))).alias("max_runs"),
+                     F.max(F.when(~keyed, F.col("n_runs"))).alias("null_runs")).first()
     n_hot = int(stats["n_hot"] or 0)
-    if n_hot == 0:
+    null_runs = int(stats["null_runs"] or 0)
+    if n_hot == 0 and null_runs <= max_rows_per_horse:
         return None, 0
 
+    # No horse id: a hash split, no boundaries needed.
+    n_null_chunks = max(1, min(max_chunks, math.ceil(null_runs / chunk_rows)))
+    null_chunk = F.pmod(F.hash("race_id", "held_date"), F.lit(n_null_chunks))
+    if n_hot == 0:
+        tagged = (base.withColumn(CHUNK, F.when(keyed, F.lit(0)).otherwise(null_chunk).cast("int"))
+                  .withColumn("_hot", F.lit(False)))
+        return tagged, 1
+
     n_chunks = max(2, min(max_chunks, math.ceil(stats["max_runs"] / chunk_rows)))
     steps = math.ceil(math.log2(n_chunks + 1)) + 1
     days = F.unix_date(F.col("held_date"))
 
     # Hot list: at most N / max_rows_per_horse keys; broadcast only under the limit.
-    hot = load.where(F.col("n_runs") > max_rows_per_horse).select("horse_id")
+    hot = load.where(keyed & (F.col("n_runs") > max_rows_per_horse)).select("horse_id")
     hot_side = F.broadcast(hot) if n_hot * 64 <= broadcast_limit_bytes else hot
     pct = [i / n_chunks for i in range(1, n_chunks)]
     bounds = (base.select("horse_id", days.alias("_days")).join(hot_side, "horse_id", "left_semi")
@@ -104,8 +120,9 @@ def assign_chunks(base: DataFrame, max_rows_per_horse: int, chunk_rows: int | No
     # n_hot rows of at most n_chunks - 1 ints each.
     bounds_side = F.broadcast(bounds) if n_hot * n_chunks * 8 <= broadcast_limit_bytes else bounds
 
-    chunk = F.when(F.col("_bounds").isNull() | F.col("held_date").isNull(), F.lit(0)) \
-             .otherwise(_lower_bound(F.col("_bounds"), days, steps))
+    chunk = (F.when(~keyed, null_chunk)
+             .when(F.col("_bounds").isNull() | F.col("held_date").isNull(), F.lit(0))
+             .otherwise(_lower_bound(F.col("_bounds"), days, steps)))
     tagged = (base.join(bounds_side, "horse_id", "left")
               .withColumn(CHUNK, chunk.cast("int"))
               .withColumn("_hot", F.col("_bounds").isNotNull())

@@ -50,3 +50,16 @@ def test_one_horse_with_a_third_of_all_runs(spark):
     # the hot horse really is spread over many chunks
     tagged, _ = K.assign_chunks(hot, max_rows_per_horse=500, chunk_rows=250)
     assert tagged.where("horse_id = 'HOT'").select("_chunk").distinct().count() >= 8
+
+
+def test_a_third_of_runs_without_horse_id(spark):
+    base = B.base_features(fixtures.races(spark, SF01))
+    nulls = base.withColumn("horse_id", F.when(F.abs(F.hash("race_id")) % 3 == 0, F.lit(None))
+                            .otherwise(F.col("horse_id")))
+    direct = T.race_features(nulls)
+    cols = sorted(direct.columns)
+    for limit in (500, 8):   # only the NULL id is hot; NULL id and horses are hot
+        skewed = K.race_features_skew_safe(nulls, max_rows_per_horse=limit, chunk_rows=250)
+        assert rows_of(skewed, cols) == rows_of(direct, cols)
+    tagged, _ = K.assign_chunks(nulls, max_rows_per_horse=500, chunk_rows=250)
+    assert tagged.where("horse_id is null").select("_chunk").distinct().count() >= 8
