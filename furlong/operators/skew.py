@@ -133,7 +133,10 @@ def assign_chunks(base: DataFrame, max_rows_per_horse: int, chunk_rows: int | No
 def context_rows(tagged: DataFrame, payload: Sequence[str], groups: Sequence[str | None],
                  k_max: int) -> DataFrame:
     """For every hot chunk, the earlier runs its frames can reach (see module doc, step 3)."""
-    hot_rows = tagged.where(F.col("_hot")).repartition("horse_id", CHUNK)
+    # An explicit partition count: hot rows exist only when some horse is
+    # large, and AQE must not fold its chunks back into a few tasks.
+    n_parts = int(tagged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot_rows = tagged.where(F.col("_hot")).repartition(n_parts, "horse_id", CHUNK)
     desc = [F.col("held_date").desc_nulls_last(), F.col("race_id").desc_nulls_last()]
     marks = []
     for i, g in enumerate(groups):
@@ -142,7 +145,7 @@ def context_rows(tagged: DataFrame, payload: Sequence[str], groups: Sequence[str
         keep = (rn <= k_max) if g is None else ((rn <= k_max) & F.col(g).isNotNull())
         marks.append(F.when(keep, F.struct(F.lit(i).alias("_g"), _group_value(g).alias("_v"))))
     tails = (hot_rows.select(*payload, CHUNK, F.array(*marks).alias("_marks"))
-             .select(*payload, CHUNK, F.explode(F.filter("_marks", lambda m: m.isNotNull())).alias("_m"))
+             .select(*payload, CHUNK, F.explode(F.array_compact("_marks")).alias("_m"))
              .select(*payload, CHUNK, "_m._g", "_m._v"))
     # Walk the tails of one (horse, group, value) in run order.  A tail row is
     # needed by every chunk whose first tail row lies among the next K tail
