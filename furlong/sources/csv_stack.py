@@ -18,8 +18,9 @@ out of a URL column and writes one CSV.  On Spark:
 5. ``extract_url_id`` derives the id column; the sink writes a folder of
    CSV parts with pandas-compatible quoting (no single-file coalesce).
 
-Only the distinct header lines and, per header, the file list reach the
-driver -- the file list is the driver's file index anyway.
+Only a per-header summary reaches the driver when all files share one header;
+with mixed headers the (file, header) pairs do -- the driver's file index
+holds every path anyway.
 """
 
 from __future__ import annotations
@@ -91,12 +92,26 @@ def parse_header(line: str) -> list[str]:
 
 
 def header_groups(spark: SparkSession, paths, glob: str = "*.csv",
-                  recursive: bool = True) -> list[tuple[list[str], list[str]]]:
-    """``[(column names, file paths)]``, one entry per distinct header, in path order."""
-    rows = (csv_headers(spark, paths, glob, recursive)
-            .groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
-            .collect())
-    groups = [(parse_header(r["header"]), list(r["files"])) for r in rows]
+                  recursive: bool = True) -> list[tuple[list[str], list[str] | None]]:
+    """``[(column names, file paths)]``, one entry per distinct header, in path order.
+
+    Only a per-header summary is collected first.  With a single header --
+    the usual crawl -- the file list is ``None`` and the group is read from the
+    root folders, so no per-file list is built at all.  With mixed headers the
+    ``(file, header)`` pairs are collected from the persisted one-row-per-file
+    table (no per-group ``collect_list`` in one task).
+    """
+    heads = csv_headers(spark, paths, glob, recursive).persist()
+    try:
+        summary = heads.groupBy("header").agg(F.min("file_path").alias("first")).collect()
+        if len(summary) <= 1:
+            return [(parse_header(r["header"]), None) for r in summary]
+        by_header: dict[str, list[str]] = {}
+        for r in heads.toLocalIterator():
+            by_header.setdefault(r["header"], []).append(r["file_path"])
+    finally:
+        heads.unpersist()
+    groups = [(parse_header(h), sorted(files)) for h, files in by_header.items()]
     groups.sort(key=lambda g: g[1][0])
     return groups
 
@@ -126,9 +141,14 @@ def read_csv_stack(spark: SparkSession, paths, glob: str = "*.csv", recursive: b
         raise NoCsvFilesError(f"no files matching {glob!r} under {paths!r}")
     types = types or {}
     stacked = None
+    roots = [paths] if isinstance(paths, str) else list(paths)
     for names, files in groups:
         schema = T.StructType([T.StructField(n, types.get(n, T.StringType()), True) for n in names])
-        part = spark.read.options(**READ_OPTIONS).schema(schema).csv(files)
+        reader = spark.read.options(**READ_OPTIONS).schema(schema)
+        if files is None:   # one header everywhere: read the roots as listed
+            part = reader.options(**_file_options(recursive, glob)).csv(roots)
+        else:
+            part = reader.csv(files)
         stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
     if na_tokens is not None:
         stacked = null_tokens(stacked, na_tokens)

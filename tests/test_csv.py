@@ -58,6 +58,17 @@ def test_headers_by_file(spark, tree):
     assert sum(len(g[1]) for g in groups) == 3
 
 
+def test_single_header_reads_roots(spark):
+    d = tempfile.mkdtemp(prefix="furlong-one-")
+    os.makedirs(os.path.join(d, "x"))
+    for name, body in [("a.csv", "k,v\n1,2\n"), ("x/b.csv", "k,v\n3,4\n1,2\n")]:
+        with open(os.path.join(d, name), "w") as f:
+            f.write(body)
+    groups = S.header_groups(spark, d)
+    assert groups == [(["k", "v"], None)]
+    assert sorted(tuple(r) for r in S.stack_csv(spark, d).collect()) == [("1", "2"), ("3", "4")]
+
+
 def test_no_files_raises(spark):
     with pytest.raises(S.NoCsvFilesError):
         S.stack_csv(spark, tempfile.mkdtemp(prefix="furlong-empty-"))
