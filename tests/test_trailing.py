@@ -135,3 +135,18 @@ def test_k1_equals_lag_and_as_written(spark):
     assert rows_of(trailing, ["race_id"] + k1) == rows_of(written, ["race_id"] + k1)
     nulls = written.select([F.count(F.col(n)).alias(n) for n in k35]).first()
     assert all(v == 0 for v in nulls)
+
+
+def test_filter_and_columns_reach_the_parquet_scan(spark, tmp_path):
+    path = str(tmp_path / "races")
+    fixtures.races(spark, SF001).write.parquet(path)
+    df = J.feature_table(spark.read.parquet(path), skew="off")
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = df._jdf.queryExecution().explainString(mode)
+    assert re.search(r"PushedFilters: \[.*In\(held_place, ", plan)
+    read_schema = re.search(r"ReadSchema: struct<([^>]*)>", plan).group(1)
+    # unused input columns are never read
+    for unused in ("race_url", "box_numbers", "horse_numbers", "horse_sexes", "odds",
+                   "popularities", "order_transitions", "race_start_time"):
+        assert unused not in read_schema
+    assert "held_place" in read_schema and "goal_times" in read_schema
