@@ -51,14 +51,17 @@ def feature_table(races: DataFrame, horses: DataFrame | None = None,
     """
     if skew not in ("auto", "off"):
         raise ValueError(f"skew must be 'auto' or 'off', got {skew!r}")
+    checked = False
     if skew == "auto":
         base = base_features(races, horses, places, lenient)
+        checked = horses is not None   # the horse uniqueness check has run
         tagged, n_hot = assign_chunks(base, max_rows_per_horse, chunk_rows, max_chunks,
                                       broadcast_limit_bytes)
         if n_hot:
             return chunked_race_features(tagged, list(base.columns), groups, lengths, metrics,
                                          frame, check_keys)
-    base = base_features(races, horses, places, lenient, partition_by="horse_id")
+    base = base_features(races, horses, places, lenient, check_horses=not checked,
+                         partition_by="horse_id")
     return race_features(base, groups, lengths, metrics, frame, check_keys)
 
 

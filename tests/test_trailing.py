@@ -150,3 +150,12 @@ def test_filter_and_columns_reach_the_parquet_scan(spark, tmp_path):
                    "popularities", "order_transitions", "race_start_time"):
         assert unused not in read_schema
     assert "held_place" in read_schema and "goal_times" in read_schema
+
+
+def test_feature_table_with_horse_join_equals_without(spark):
+    races = fixtures.races(spark, SF001)
+    horses = fixtures.horses(spark, SF001)
+    with_join = J.feature_table(races, horses)
+    without = J.feature_table(races)
+    cols = sorted(without.columns)
+    assert rows_of(with_join, cols) == rows_of(without, cols)
