@@ -28,6 +28,10 @@ METRICS = ("goal_times", "half_times", "avg_velocity", "avg_half_velocity", "arr
 # Trailing-window lengths (previous k runs).
 LENGTHS = (1, 3, 5)
 
+# Names of the feature columns, without and with a condition group.
+FEATURE_NAME = "previous_{k}_{metric}_avgs"
+GROUP_FEATURE_NAME = "same_{group}_previous_{k}_{metric}_avgs"
+
 # "Same condition" groups, in the order the script joins them.  None is the
 # block without a group (partition by horse alone).
 GROUPS = (None, "held_place", "weather", "jockey_names", "course_type", "course_condition",

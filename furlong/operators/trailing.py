@@ -28,7 +28,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from ..constants import GROUPS, LENGTHS, METRICS, RUN_KEY
+from ..constants import FEATURE_NAME, GROUP_FEATURE_NAME, GROUPS, LENGTHS, METRICS, RUN_KEY
 from .checks import adjacent_duplicate
 
 FRAMES = ("trailing", "as_written")
@@ -37,8 +37,8 @@ ORDER_COLUMNS = ("held_date", "race_id")
 
 def feature_name(group: str | None, k: int, metric: str) -> str:
     if group is None:
-        return f"previous_{k}_{metric}_avgs"
-    return f"same_{group}_previous_{k}_{metric}_avgs"
+        return FEATURE_NAME.format(k=k, metric=metric)
+    return GROUP_FEATURE_NAME.format(group=group, k=k, metric=metric)
 
 
 def feature_names(groups: Sequence[str | None] = GROUPS, lengths: Sequence[int] = LENGTHS,
