@@ -98,8 +98,8 @@ def header_groups(spark: SparkSession, paths, glob: str = "*.csv",
     Only a per-header summary is collected first.  With a single header --
     the usual crawl -- the file list is ``None`` and the group is read from the
     root folders, so no per-file list is built at all.  With mixed headers the
-    ``(file, header)`` pairs are collected from the persisted one-row-per-file
-    table (no per-group ``collect_list`` in one task).
+    ``(file, header)`` pairs are collected in one job from the persisted
+    one-row-per-file table (no per-group ``collect_list`` in one task).
     """
     heads = csv_headers(spark, paths, glob, recursive).persist()
     try:
@@ -107,7 +107,7 @@ def header_groups(spark: SparkSession, paths, glob: str = "*.csv",
         if len(summary) <= 1:
             return [(parse_header(r["header"]), None) for r in summary]
         by_header: dict[str, list[str]] = {}
-        for r in heads.toLocalIterator():
+        for r in heads.collect():   # (file, header) pairs; the file index holds the paths anyway
             by_header.setdefault(r["header"], []).append(r["file_path"])
     finally:
         heads.unpersist()
