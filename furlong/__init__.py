@@ -1,11 +1,14 @@
 """furlong: race-result CSV stacking and trailing-form features on Spark.
 
-Public entry points:
+User entry points (``furlong.plans.jobs``):
 
-* ``furlong.sources.csv_stack.stack_csv``     -- stack crawled CSV folders by column name
-* ``furlong.operators.base.base_features``    -- the 26 typed base columns
-* ``furlong.operators.trailing.race_features`` -- base columns + 165 trailing averages
-* ``furlong.operators.skew.race_features_skew_safe`` -- the same with hot horses split
+* ``stack_crawl``         -- crawled CSV folders stacked by column name, deduplicated, with ids
+* ``feature_table``       -- 26 typed base columns + 165 trailing averages (skew-safe by default)
+* ``write_feature_table`` -- create-or-replace as Parquet or a managed table
+
+Building blocks: ``functions.exprs`` (Column expressions), ``functions.sql``
+(SQL function twins), ``operators.base`` / ``operators.trailing`` /
+``operators.skew`` / ``operators.checks``, ``sources.csv_stack``.
 """
 
 __version__ = "0.1.0"
