@@ -8,6 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import SF001, rows_of
+from furlong.constants import CENTRAL_PLACES as CENTRAL
 from furlong.constants import GROUPS, LENGTHS, METRICS
 from furlong.operators import base as B
 from furlong.operators import checks as C
@@ -159,3 +160,23 @@ def test_feature_table_with_horse_join_equals_without(spark):
     without = J.feature_table(races)
     cols = sorted(without.columns)
     assert rows_of(with_join, cols) == rows_of(without, cols)
+
+
+@pytest.mark.parametrize("column,bad,feature", [
+    ("goal_times", "94.5", "goal_times"),           # clock time without a colon
+    ("horse_weights", "0", "weight_ratio"),          # zero divisor
+    ("horse_ages", "3.0", "horse_ages"),             # not an integer text
+    ("held_date", "2020年13月1日", "held_date"),       # impossible date
+])
+def test_bad_values_fail_strict_and_null_lenient(spark, column, bad, feature):
+    races = fixtures.races(spark, SF001)
+    first = races.agg(F.min("race_id")).first()[0]
+    spoiled = races.withColumn(column, F.when(F.col("race_id") == first, F.lit(bad)).otherwise(F.col(column)))
+    spoiled = spoiled.withColumn("held_place", F.when(F.col("race_id") == first, F.lit("東京"))
+                                 .otherwise(F.col("held_place")))
+    with pytest.raises(Exception):
+        J.feature_table(spoiled, skew="off").collect()
+    out = J.feature_table(spoiled, skew="off", lenient=True)
+    assert out.where(F.col("race_id") == first).first()[feature] is None
+    assert out.count() == B.base_features(races).count() + (0 if races.where(
+        (F.col("race_id") == first) & F.col("held_place").isin(*CENTRAL)).count() else 1)
