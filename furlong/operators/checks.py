@@ -57,7 +57,3 @@ def adjacent_duplicate(keys: Sequence[str], window: WindowSpec) -> Column:
         cond = cond & (F.lag(F.col(k), 1).over(window) == F.col(k))
     return F.coalesce(cond, F.lit(False))
 
-
-def fail_on(flag: Column, message: str) -> Column:
-    """A column that raises ``message`` at run time on rows where ``flag`` holds."""
-    return F.when(flag, F.raise_error(F.lit(message)))

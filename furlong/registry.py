@@ -188,7 +188,7 @@ def q_sorted_view(spark, sf):
 
 def q_preview(spark, sf):
     # head(): the first five horses, in a repeatable order.
-    return B.horse_projection(fixtures.horses(spark, sf)).orderBy("horse_id").limit(5)
+    return S.preview(B.horse_projection(fixtures.horses(spark, sf)), 5, order_by="horse_id")
 
 
 # ---------------------------------------------------------------- CSV sources and sinks
