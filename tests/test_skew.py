@@ -63,3 +63,21 @@ def test_a_third_of_runs_without_horse_id(spark):
         assert rows_of(skewed, cols) == rows_of(direct, cols)
     tagged, _ = K.assign_chunks(nulls, max_rows_per_horse=500, chunk_rows=250)
     assert tagged.where("horse_id is null").select("_chunk").distinct().count() >= 8
+
+
+def test_hot_horse_with_missing_dates(spark):
+    # Runs without a date sort first; they must sit in chunk 0 and still reach
+    # later chunks' frames through the context rows.
+    base = B.base_features(fixtures.races(spark, SF01))
+    hot = (base.withColumn("horse_id", F.when(F.abs(F.hash("race_id")) % 3 == 0, F.lit("HOT"))
+                           .otherwise(F.col("horse_id")))
+               .withColumn("held_date", F.when(F.abs(F.hash("race_id", F.lit(1))) % 50 == 0, F.lit(None))
+                           .otherwise(F.col("held_date"))))
+    assert hot.where("horse_id = 'HOT' and held_date is null").count() > 10
+    direct = T.race_features(hot)
+    cols = sorted(direct.columns)
+    skewed = K.race_features_skew_safe(hot, max_rows_per_horse=500, chunk_rows=250)
+    assert rows_of(skewed, cols) == rows_of(direct, cols)
+    tagged, _ = K.assign_chunks(hot, max_rows_per_horse=500, chunk_rows=250)
+    assert {r[0] for r in tagged.where("horse_id = 'HOT' and held_date is null")
+            .select("_chunk").distinct().collect()} == {0}
