@@ -27,6 +27,9 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # The skew path checkpoints a small table of chunk boundaries per run;
+    # let the context cleaner remove it once the DataFrame is gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
