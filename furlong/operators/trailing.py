@@ -9,8 +9,8 @@ run key.
 Here the windows are computed directly on the base table:
 
 * every grouping refines ``horse_id``, so one hash exchange on ``horse_id``
-  serves all eleven window specs (the 33 self-joins and their 77 exchanges
-  are gone);
+  serves all eleven window specs (the 33 self-joins and their 33+
+  exchanges are gone);
 * the join's NULL semantics are kept with a mask: a run whose key or group
   value is NULL gets NULL features, exactly as an unmatched LEFT JOIN row;
 * duplicate run keys, which would multiply rows in the join form, raise an
