@@ -1,4 +1,5 @@
 import __spark_entry__ as E
+from furlong import registry
 
 
 def test_entry_runs(spark):
@@ -8,4 +9,4 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(registry.queries()) == set(registry.oracle_sql())

@@ -4,7 +4,7 @@ import math
 
 import pytest
 
-import __spark_entry__ as E
+from furlong import registry as E
 from conftest import SF01
 
 TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
