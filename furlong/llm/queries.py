@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, lang_id, token_count, token_file
+from . import bpe, fingerprint, lang_id, token_count, token_file
 from .vocab import public_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(documents(spark, sf_dir), public_path(WORD_VOCABULARY))
 
 
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_documents(documents(spark, sf_dir))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_documents(documents(spark, sf_dir), public_path(BYTE_VOCABULARY))
 
@@ -47,6 +51,7 @@ def queries() -> dict[str, Query]:
         "op1_language_id": op1_language_id,
         "op2_token_file": op2_token_file,
         "op6_bpe_round_trip": op6_bpe_round_trip,
+        "op7_document_fingerprints": op7_document_fingerprints,
         "op10_token_counts": op10_token_counts,
     }
 
