@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, fingerprint, lang_id, token_count, token_file
+from . import bpe, fingerprint, lang_id, simhash, token_count, token_file
 from .vocab import public_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,11 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read_token_files(spark, folder)
 
 
+def op5_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, max_bits=4)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest_documents(documents(spark, sf_dir), public_path(WORD_VOCABULARY))
 
@@ -50,6 +55,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
         "op2_token_file": op2_token_file,
+        "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
         "op6_bpe_round_trip": op6_bpe_round_trip,
         "op7_document_fingerprints": op7_document_fingerprints,
         "op10_token_counts": op10_token_counts,
