@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, fingerprint, lang_id, simhash, token_count, token_file
+from . import bpe, fingerprint, lang_id, line_dedup, simhash, token_count, token_file
 from .vocab import public_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,12 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read_token_files(spark, folder)
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    cleaned = line_dedup.drop_lines(docs, line_dedup.dropped_lines(docs))
+    return cleaned.select("doc_id", "text", F.coalesce(F.size("_dropped"), F.lit(0)).cast("long").alias("n_dropped"))
+
+
 def op5_simhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir), shingle=4, max_bits=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -55,6 +61,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
         "op2_token_file": op2_token_file,
+        "op4_line_dedup": op4_line_dedup,
         "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
         "op6_bpe_round_trip": op6_bpe_round_trip,
         "op7_document_fingerprints": op7_document_fingerprints,
@@ -62,5 +69,41 @@ def queries() -> dict[str, Query]:
     }
 
 
+#: The rules of line_dedup on exact strings: a line goes if it, or one within a word of it, occurs before.
+LINE_DEDUP_SQL = r"""
+with lines as (
+  select doc_id, unnest(string_split(text, chr(10))) as line,
+         generate_subscripts(string_split(text, chr(10)), 1) as line_no
+  from documents
+),
+firsts as (
+  select line, min(doc_id * 2147483648 + line_no) as first_at,
+         list_filter(string_split_regex(line, '\s+'), lambda w: w <> '') as words
+  from lines where trim(line) <> '' group by line
+),
+cut as (
+  select line, first_at, len(words) as n, words, unnest(range(len(words))) as i from firsts where len(words) >= 5
+),
+variants as (
+  select line, first_at, n, i, array_to_string(list_concat(words[1:i], words[i + 2:]), ' ') as rest from cut
+),
+partners as (
+  select a.line, b.first_at from variants a join variants b on a.n = b.n and a.i = b.i and a.rest = b.rest
+  union all
+  select a.line, b.first_at from variants a join firsts b on a.rest = array_to_string(b.words, ' ') and len(b.words) >= 5
+  union all
+  select b.line, a.first_at from variants a join firsts b on a.rest = array_to_string(b.words, ' ') and len(b.words) >= 5
+  union all
+  select line, first_at from firsts
+),
+limits as (select line, min(first_at) as keep_at from partners group by line)
+select doc_id,
+       coalesce(string_agg(line, chr(10) order by line_no)
+                filter (where trim(line) = '' or doc_id * 2147483648 + line_no <= keep_at), '') as text,
+       count(*) filter (where trim(line) <> '' and doc_id * 2147483648 + line_no > keep_at) as n_dropped
+from lines left join limits using (line) group by doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op4_line_dedup": LINE_DEDUP_SQL}
