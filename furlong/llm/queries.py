@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, fingerprint, lang_id, line_dedup, simhash, token_count, token_file
+from . import bpe, fingerprint, lang_id, line_dedup, pii, simhash, token_count, token_file
 from .vocab import public_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,10 @@ def op2_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.read_token_files(spark, folder)
 
 
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.identifier_report(documents(spark, sf_dir))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     cleaned = line_dedup.drop_lines(docs, line_dedup.dropped_lines(docs))
@@ -61,6 +65,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
         "op2_token_file": op2_token_file,
+        "op3_personal_data": op3_personal_data,
         "op4_line_dedup": op4_line_dedup,
         "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
         "op6_bpe_round_trip": op6_bpe_round_trip,
