@@ -165,7 +165,7 @@ def _own_words(path: str) -> T.EncodedWords:
 def encode_batch(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """``(starts, ids)`` of the ids of each text."""
     offs, codes, distinct = T.word_parts(texts)
-    row, flat, lengths = _own_words(path).rows(distinct)
+    row, flat, lengths = _own_words(path).rows(distinct.to_pylist())
     codes = row[codes]
     starts = np.concatenate([[0], np.cumsum(T.per_text(offs, lengths[codes]))])
     return starts, flat[T.ragged_take(lengths, codes)]
@@ -207,7 +207,7 @@ def _digests(texts: pa.Array, path: str) -> pa.Array:
     n_tokens, by_ids, by_text = [], [], []
     for part in T.slices(T.filled(texts)):
         offs, codes, distinct = T.word_parts(part)
-        row, flat, lengths = _own_words(path).rows(distinct)
+        row, flat, lengths = _own_words(path).rows(distinct.to_pylist())
         own_len = lengths[row]
         flat, ends, at = flat[T.ragged_take(lengths, row)].tolist(), np.cumsum(own_len).tolist(), 0
         # decimal ids and tokens of each distinct part, each followed by a space

@@ -64,7 +64,7 @@ def _letters(data: np.ndarray) -> np.ndarray:
     return letter
 
 
-def word_parts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+def word_parts(texts: pa.Array, marks: bool = True) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """``(offsets, codes, distinct)``: parts of the words of each text that a word vocabulary encodes on their own.
 
     Text i has the parts ``distinct[c] for c in codes[offsets[i]:offsets[i + 1]]``.
@@ -72,7 +72,7 @@ def word_parts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     digit is followed by an ASCII mark, since no piece spans that.  A-Z become
     a-z unless a character that might combine with them follows.  A slice
     with ``<|`` is cut at white space only and keeps its case, as special
-    tokens need.
+    tokens need.  Without ``marks`` every word is one part.
     """
     data, offs = string_buffers(texts)
     space = _SPACE[data]
@@ -80,7 +80,8 @@ def word_parts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
     begins[offs[:-1][offs[1:] > offs[:-1]]] = True
     begins[1:] |= space[:-1]
     if b"<|" not in data.tobytes():
-        begins[1:] |= _MARK[data[1:]] & _letters(data)[:-1]
+        if marks:
+            begins[1:] |= _MARK[data[1:]] & _letters(data)[:-1]
         lower = _UPPER[data]
         lower[:-1] &= data[1:] < 0xCC
         data = np.where(lower, data | 0x20, data)
@@ -91,7 +92,7 @@ def word_parts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
         len(starts), pa.py_buffer(np.append(starts, kept[-1]).astype(np.int32)),
         pa.py_buffer(data[keep])).dictionary_encode()
     return (np.searchsorted(starts, kept[offs]).astype(np.int64), flat.indices.to_numpy(zero_copy_only=False),
-            flat.dictionary.to_pylist())
+            flat.dictionary)
 
 
 def space_led_chunks(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:

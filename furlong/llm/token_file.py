@@ -159,7 +159,7 @@ def encode_texts(texts: pa.Array, path: str, end_id: int | None = END_ID) -> tup
     each distinct part of a slice once.
     """
     offs, codes, distinct = T.word_parts(texts)
-    row, flat, lengths = _library_words(path).rows(distinct)
+    row, flat, lengths = _library_words(path).rows(distinct.to_pylist())
     codes = row[codes]
     ids = flat[T.ragged_take(lengths, codes)].astype(np.uint32)
     starts = np.concatenate([[0], np.cumsum(T.per_text(offs, lengths[codes]))])
