@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, decontam, fingerprint, lang_id, line_dedup, pii, simhash, token_count, token_file
+from . import bpe, decontam, fingerprint, lang_id, line_dedup, pii, recurrent_lm, simhash, token_count, token_file
 from .vocab import public_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,6 +57,10 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(documents(spark, sf_dir))
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score_documents(documents(spark, sf_dir), scratch_dir(spark, "recurrent-lm"))
+
+
 def op9_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -74,6 +78,7 @@ def queries() -> dict[str, Query]:
         "op5_simhash_near_duplicates": op5_simhash_near_duplicates,
         "op6_bpe_round_trip": op6_bpe_round_trip,
         "op7_document_fingerprints": op7_document_fingerprints,
+        "op8_language_model": op8_language_model,
         "op9_benchmark_leaks": op9_benchmark_leaks,
         "op10_token_counts": op10_token_counts,
     }
