@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as T
+from .names import fresh
 
 UNKNOWN = "und"
 ORDERS = 3
@@ -215,6 +216,12 @@ def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
 
 
 def accepted(docs: DataFrame, profiles: Profiles, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has a language, with their own columns only."""
-    named = docs.select(prediction(F.col(text_col), profiles).alias("_language"), F.struct("*").alias("_row"))
-    return named.where(F.col("_language.lang_pred") != UNKNOWN).select("_row.*")
+    """The rows of ``docs`` whose text has a language, with their own columns only.
+
+    Where no language could be learned, the rows whose text has a letter.
+    """
+    if not profiles.languages:
+        return docs.where(F.regexp(text_col, F.lit(r"\p{L}")))
+    name = fresh(docs.columns, "_language")
+    named = docs.withColumn(name, prediction(F.col(text_col), profiles))
+    return named.where(F.col(name)["lang_pred"] != UNKNOWN).drop(name)

@@ -40,6 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .names import fresh
 
 LINE_BITS = 31                   # of a line's number within its document
 NO_ID = Decimal(1 << 63)         # stands after every id
@@ -172,18 +173,22 @@ def dropped_lines(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", t
             .agg(F.array_sort(F.collect_set("line_no")).alias("dropped")))
 
 
-def drop_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the dropped lines taken out of their texts, and an array ``_dropped`` of their numbers."""
-    gone = dropped.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("dropped").alias("_dropped"))
-    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_hash")), "left")
+def drop_lines(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+               out_col: str = "_dropped") -> DataFrame:
+    """``docs`` with the dropped lines taken out of their texts, and their numbers as the array ``out_col``."""
+    key, check = fresh(docs.columns, "_key"), fresh(docs.columns, "_check")
+    gone = dropped.select(F.col("doc_id").alias(key), F.col("text_hash").alias(check), F.col("dropped").alias(out_col))
+    joined = docs.join(gone, F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(check)), "left")
     lines = F.split(text_col, "\n", -1)
-    starts = F.concat(F.array(F.lit(-1)), "_dropped")
-    stops = F.concat("_dropped", F.array(F.size(lines)))
+    starts = F.concat(F.array(F.lit(-1)), out_col)
+    stops = F.concat(out_col, F.array(F.size(lines)))
     kept = F.flatten(F.zip_with(starts, stops, lambda a, b: F.slice(lines, a + 2, b - a - 1)))
-    text = F.when(F.col("_dropped").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
-    return joined.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], "_dropped")
+    text = F.when(F.col(out_col).isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n"))
+    return joined.select(*[text.alias(c) if c == text_col else F.col(c) for c in docs.columns], out_col)
 
 
 def dedup_lines(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """All rows and columns of ``docs``, with the lines dropped that are copies of earlier ones."""
-    return drop_lines(docs, dropped_lines(docs, min_words, id_col, text_col), id_col, text_col).drop("_dropped")
+    out_col = fresh(docs.columns, "_dropped")
+    dropped = dropped_lines(docs, min_words, id_col, text_col)
+    return drop_lines(docs, dropped, id_col, text_col, out_col).drop(out_col)

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from . import text as T
 from .components import connected_components
+from .names import fresh
 
 SEED = 42
 BYTES = 8
@@ -208,8 +209,10 @@ def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str
     no row of its group has an id.
     """
     found = near_duplicates(docs, shingle, max_bits, id_col=id_col, text_col=text_col).checkpoint()
-    kept_ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept"))
-    kept = docs.join(kept_ids.distinct(), docs[id_col].eqNullSafe(F.col("_kept")), "left_semi")
-    repeated = kept_ids.groupBy("_kept").count().where("count > 1 and _kept is not null")
-    return kept if repeated.isEmpty() else kept.where(F.col(id_col).isNull()).union(
-        kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    name = fresh(docs.columns, "_kept")
+    kept_ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name))
+    kept = docs.join(kept_ids.distinct(), F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
+    repeated = kept_ids.groupBy(name).count().where((F.col("count") > 1) & F.col(name).isNotNull())
+    if repeated.isEmpty():
+        return kept
+    return kept.where(F.col(id_col).isNull()).unionByName(kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
