@@ -188,31 +188,35 @@ def links(fps: DataFrame, max_bits: int = 4, list_limit: int = 256) -> DataFrame
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4, list_limit: int = 256,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, fp, component_id: one row per row of ``docs``."""
+    """doc_id, text_hash, fp, root, component_id: one row per row of ``docs``.
+
+    ``root`` is the least fingerprint of the component, ``component_id`` its least doc_id.
+    """
     ensure_checkpoint_dir(docs.sparkSession)
-    marked = docs.select(F.col(id_col).alias("doc_id"), fingerprints(F.col(text_col), shingle).alias("fp")).checkpoint()
+    marked = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+                         fingerprints(F.col(text_col), shingle).alias("fp")).checkpoint()
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")).checkpoint()
     roots = connected_components(links(nodes, max_bits, list_limit))
     joined = roots.join(nodes, F.col("node") == F.col("fp")).select("node", "root", "first_id")
-    least = joined.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    linked = joined.select("node", "root").join(least, "root").select("node", "component_id")
-    named = (nodes.join(linked, F.col("fp") == F.col("node"), "left")
-             .select(F.col("fp").alias("k"), F.coalesce("component_id", "first_id").alias("component_id")))
-    return marked.join(named, F.col("fp") == F.col("k")).select("doc_id", "fp", "component_id")
+    least = joined.groupBy("root").agg(F.min("first_id").alias("least_id"))
+    linked = joined.select("node", "root").join(least, "root").withColumn("linked", F.lit(True))
+    named = nodes.join(linked, F.col("fp") == F.col("node"), "left").select(
+        F.col("fp").alias("k"), F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("linked"), F.col("least_id")).otherwise(F.col("first_id")).alias("component_id"))
+    return marked.join(named, F.col("fp") == F.col("k")).select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = 4, max_bits: int = 4, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay when one document of each group does: the one of the least id.
 
-    Of rows that repeat that id one stays.  A row of a null id stays only if
-    no row of its group has an id.
+    Of rows that share that id (or are all without one) one stays.
     """
     found = near_duplicates(docs, shingle, max_bits, id_col=id_col, text_col=text_col).checkpoint()
-    name = fresh(docs.columns, "_kept")
-    kept_ids = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(name))
-    kept = docs.join(kept_ids.distinct(), F.col(id_col).eqNullSafe(F.col(name)), "left_semi")
-    repeated = kept_ids.groupBy(name).count().where((F.col("count") > 1) & F.col(name).isNotNull())
-    if repeated.isEmpty():
-        return kept
-    return kept.where(F.col(id_col).isNull()).unionByName(kept.where(F.col(id_col).isNotNull()).dropDuplicates([id_col]))
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = first.groupBy("root", "doc_id").agg(F.min("text_hash").alias("text_hash"))
+    key, check = fresh(docs.columns, "_key"), fresh(docs.columns, "_check")
+    named = chosen.select(F.col("doc_id").alias(key), F.col("text_hash").alias(check))
+    kept = docs.join(named, F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(check)), "left_semi")
+    repeated = first.groupBy("doc_id", "text_hash").count().where("count > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates([id_col, text_col])
