@@ -24,8 +24,23 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# What the warehouse's casts take; Spark's own would also read 1.5d, 0x1p3 or the first part of a date.
+NUMBER_TEXT = r"^\s*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+DATE_TEXT = r"^[0-9]{1,4}-[0-9]{1,2}-[0-9]{1,2}$"
+
+
+def _guarded(c: Column, pattern: str, value: Column, what: str, lenient: bool) -> Column:
+    """``value`` where the text matches ``pattern``; else NULL (lenient) or an error that names the text."""
+    text = c.cast("string")
+    checked = F.when(text.rlike(pattern), value)
+    if lenient:
+        return checked
+    error = F.raise_error(F.concat(F.lit(f"not {what}: "), text))
+    return checked.when(text.isNotNull(), error.cast("string").cast("double" if what == "a number" else "date"))
+
+
 def _to_double(c: Column, lenient: bool) -> Column:
-    return c.try_cast("double") if lenient else c.cast("double")
+    return _guarded(c, NUMBER_TEXT, c.try_cast("double") if lenient else c.cast("double"), "a number", lenient)
 
 
 def _to_long(c: Column, lenient: bool) -> Column:
@@ -102,10 +117,12 @@ def held_month(c: ColumnOrName) -> Column:
 def held_date_from_parts(c: ColumnOrName, lenient: bool = False) -> Column:
     """DATE(year, month, day) from the three marked numbers of the text."""
     s = _col(c)
-    parts = [_to_long(_date_part(s, m), lenient).cast("int") for m in (YEAR_MARK, MONTH_MARK, DAY_MARK)]
+    parts = [_to_long(_date_part(s, m), lenient) for m in (YEAR_MARK, MONTH_MARK, DAY_MARK)]
+    parts = [p.try_cast("int") if lenient else p.cast("int") for p in parts]
     if lenient:
-        # No try_make_date: go through a y-M-d text and try_to_date.
-        return F.try_to_date(F.concat_ws("-", *[p.cast("string") for p in parts]), "y-M-d")
+        # No try_make_date: go through a y-M-d text and try_to_date, whose years have at most four digits here.
+        text = F.concat_ws("-", *[p.cast("string") for p in parts])
+        return F.try_to_date(F.when(text.rlike(DATE_TEXT), text), "y-M-d")
     return F.make_date(*parts)
 
 
@@ -119,7 +136,7 @@ def parse_held_date(c: ColumnOrName, lenient: bool = False) -> Column:
     s = _col(c)
     dashed = F.regexp_replace(F.replace(s, F.lit(DAY_MARK), F.lit("")),
                               f"{YEAR_MARK}|{MONTH_MARK}", "-")
-    return dashed.try_cast("date") if lenient else dashed.cast("date")
+    return _guarded(dashed, DATE_TEXT, dashed.try_cast("date") if lenient else dashed.cast("date"), "a date", lenient)
 
 
 # ---------------------------------------------------------------- categories

@@ -76,7 +76,7 @@ def csv_headers(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.
                 recursive: bool = True) -> DataFrame:
     """``(file_path, header)``: the first line of every matching file."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    text = spark.read.options(**_file_options(recursive, glob)).text(paths)
+    text = spark.read.options(**_file_options(recursive, glob)).text(paths).where("value <> ''")
     first_split = text.where(F.col("_metadata.file_block_start") == 0).select(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("value"),
@@ -86,9 +86,21 @@ def csv_headers(spark: SparkSession, paths: str | Sequence[str], glob: str = "*.
 
 
 def parse_header(line: str) -> list[str]:
-    """Column names of one header line (quoted names allowed)."""
-    line = line.lstrip("﻿")
-    return next(csv.reader(io.StringIO(line)))
+    """Column names of one header line (quoted names allowed).
+
+    As pandas does, a column without a name is ``Unnamed: <position>`` and a
+    repeated name gets ``.1``, ``.2``, ...
+    """
+    line = line.lstrip("\ufeff")
+    names: list[str] = []
+    for i, name in enumerate(next(csv.reader(io.StringIO(line)))):
+        first = name = name or f"Unnamed: {i}"
+        n = 0
+        while name in names:
+            n += 1
+            name = f"{first}.{n}"
+        names.append(name)
+    return names
 
 
 def header_groups(spark: SparkSession, paths, glob: str = "*.csv",

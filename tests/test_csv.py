@@ -113,3 +113,20 @@ def test_typed_load_rejects_bad_numbers(spark):
     # FAILFAST surfaces as a read failure (a JVM error, not always a PySparkException)
     with pytest.raises(Exception, match="r.csv"):
         S.read_typed(spark, d, race_input_schema()).collect()
+
+
+@pytest.mark.parametrize("body", ["\nx,y\n1,2\n", "x,x,x\n1,2,3\n", ",y,\n1,2,3\n", "\n\n,x,x\n4,5,6\n"])
+def test_header_rules_equal_pandas(spark, tmp_path, body):
+    (tmp_path / "h.csv").write_text(body)
+    want = pd.read_csv(tmp_path / "h.csv", dtype="object")
+    got = S.read_csv_stack(spark, str(tmp_path))
+    assert got.columns == list(want.columns)
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want.itertuples(index=False)]
+
+
+def test_replacing_a_table_twice(spark):
+    name = "furlong_replaced_table"
+    for rows in ([(1, "a")], [(2, "b"), (3, "c")]):
+        S.write_table(spark.createDataFrame(rows, "k long, v string"), table=name)
+        assert sorted(tuple(r) for r in spark.table(name).collect()) == rows
+    spark.sql(f"drop table {name}")

@@ -112,12 +112,23 @@ def test_central_place_drops_null(spark):
     assert [r.i for r in df.where(X.central_place("v", ["東京"])).collect()] == [0]
 
 
-def test_sql_function_twins(spark):
-    from furlong.functions.sql import register_sql_functions
-    register_sql_functions(spark)
-    df = one_col(spark, URLS)
-    df.createOrReplaceTempView("urls")
-    got = [r[0] for r in spark.sql("select extract_id_number(v) from urls order by i").collect()]
-    assert got == [python_extract(u) for u in URLS]
-    r = spark.sql("select parse_goal_time('1:34.5') as a, parse_goal_time(null) as b").first()
-    assert (r.a, r.b) == (94.5, None)
+STRICT_FAILS = [("to_double", "1.5d"), ("to_double", "0x1p3"), ("to_double", "abc"), ("parse_clock", "1:3d"),
+                ("parse_held_date", "2020年4"), ("parse_held_date", "2020年4月4日 x"),
+                ("parse_held_date", "2020-04-04T99"), ("parse_held_date", "2020年13月1日"),
+                ("held_day_of_week", "99999999999年4月4日")]
+
+
+@pytest.mark.parametrize("name,bad", STRICT_FAILS)
+def test_strict_fails_and_lenient_gives_null(spark, name, bad):
+    df = one_col(spark, [bad])
+    with pytest.raises(Exception):
+        df.select(getattr(X, name)("v")).collect()
+    assert df.select(getattr(X, name)("v", lenient=True)).first()[0] is None
+
+
+def test_plain_numbers_and_dates_still_pass(spark):
+    df = one_col(spark, ["1.5", " 2 ", "-.5", "+3.", "1e3", None])
+    assert [r[0] for r in df.orderBy("i").select(X.to_double("v")).collect()] == [1.5, 2.0, -0.5, 3.0, 1000.0, None]
+    df = one_col(spark, ["2020年4月4日", "2020年12月31日", None])
+    assert [str(r[0]) for r in df.orderBy("i").select(X.parse_held_date("v")).collect()] == [
+        "2020-04-04", "2020-12-31", "None"]
