@@ -20,7 +20,8 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def spark():
     ckpt = tempfile.mkdtemp(prefix="furlong-test-ckpt-")
     s = build_session("local[*]", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": ckpt, "spark.ui.showConsoleProgress": "false"})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.ui.showConsoleProgress": "false",
+                             "spark.driver.memory": "8g"})
     yield s
     s.stop()
 
