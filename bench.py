@@ -20,7 +20,6 @@ sys.path.insert(0, HERE)
 from pyspark.sql import functions as F  # noqa: E402
 
 from furlong.operators import base as B  # noqa: E402
-from furlong.operators import trailing as T  # noqa: E402
 from furlong.plans import jobs as J  # noqa: E402
 from furlong.session import build_session, scratch_dir  # noqa: E402
 from furlong.sources import fixtures  # noqa: E402
@@ -29,7 +28,6 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = int(os.environ.get("BENCH_CPUS", "8"))
 REPEAT = int(os.environ.get("BENCH_REPEAT", "3"))
 WARM_DIR = os.environ.get("BENCH_WARM_DIR", "/root/testdata/sf0.001")
-WITH_JOIN_FORM = os.environ.get("BENCH_JOIN_FORM", "0") == "1"
 
 
 def one_hot_horse(races):
@@ -51,8 +49,6 @@ def headline(spark, sf, crawl_root):
         "race_features_as_written": lambda: J.feature_table(races, frame="as_written"),
         "csv_stack": lambda: J.stack_crawl(spark, crawl_root, url_col="race_url", id_col="race_id"),
     }
-    if WITH_JOIN_FORM:
-        qs["race_features_join_form"] = lambda: T.race_features_join_form(B.base_features(races))
     return qs
 
 

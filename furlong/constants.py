@@ -71,3 +71,9 @@ def race_input_schema():
     names = ["race_url", *RACE_INPUT_COLUMNS]
     return T.StructType([T.StructField(n, T.LongType() if n in longs else T.StringType(), True)
                          for n in names])
+
+
+def horse_input_schema():
+    """Schema of the stacked horse CSV: all text."""
+    from pyspark.sql import types as T
+    return T.StructType([T.StructField(n, T.StringType(), True) for n in ["horse_url", *HORSE_INPUT_COLUMNS]])

@@ -37,19 +37,33 @@ def central_filter(df: DataFrame, places: Sequence[str] = CENTRAL_PLACES) -> Dat
 
 
 def attach_horses(runs: DataFrame, horses: DataFrame, columns: Sequence[str] = (),
-                  check_unique: bool = True) -> DataFrame:
+                  check_unique: bool = True, max_rows_per_horse: int = 2_000_000) -> DataFrame:
     """LEFT JOIN runs to horses USING (horse_id), keeping ``columns`` of the horse side.
 
     The dimension must be unique on ``horse_id`` (checked), otherwise runs
-    would be multiplied.  No broadcast hint: AQE turns the sort-merge join
-    into a broadcast join at run time only when the measured horse side is
-    under ``spark.sql.autoBroadcastJoinThreshold``; above it the join shares
-    the ``horse_id`` shuffle that the feature windows need anyway.
+    would be multiplied.  Runs without an id match nothing and skip the join.
+    No broadcast hint: AQE turns the join into a broadcast join at run time
+    only when the measured horse side is under Spark's threshold.  When some
+    horse has more than ``max_rows_per_horse`` runs, both sides get a salt, the
+    run's by a hash of it and the horse's one copy per salt, so that a task
+    gets about that many runs of a horse.
     """
     dim = horse_projection(horses).select("horse_id", *columns)
     if check_unique:
         assert_unique(dim, ["horse_id"], "horses")
-    return runs.join(dim, on="horse_id", how="left")
+    keyed, others = runs.where(F.col("horse_id").isNotNull()), runs.where(F.col("horse_id").isNull())
+    order = ["horse_id", *[c for c in runs.columns if c != "horse_id"], *columns]
+    most = keyed.groupBy("horse_id").count().agg(F.max("count")).first()[0] or 0
+    n_salts = -(-most // max_rows_per_horse)
+    if n_salts > 1:
+        salt = F.pmod(F.xxhash64(*runs.columns), F.lit(n_salts)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1)))
+        joined = keyed.withColumn("_salt", salt).join(dim.withColumn("_salt", copies), ["horse_id", "_salt"], "left")
+    else:
+        joined = keyed.join(dim, on="horse_id", how="left")
+    types = dict(dim.dtypes)
+    missing = others.select("*", *[F.lit(None).cast(types[c]).alias(c) for c in columns])
+    return joined.select(*order).union(missing.select(*order))
 
 
 def base_features(races: DataFrame, horses: DataFrame | None = None,
@@ -60,8 +74,8 @@ def base_features(races: DataFrame, horses: DataFrame | None = None,
     Every expression reads the *source* columns (``held_date`` and
     ``course_length`` are both re-used and re-defined), so this is one single
     ``select``.  The script's horse join selects no horse column; with a
-    unique dimension it changes nothing, so it only runs when ``horses`` is
-    given (and then the uniqueness is checked).
+    unique dimension it changes nothing.  So it is not run; when ``horses`` is
+    given, its uniqueness is checked.
 
     ``partition_by="horse_id"`` hash-partitions the filtered runs *before* the
     parsing projection.  The feature windows need exactly that exchange, so
@@ -69,8 +83,8 @@ def base_features(races: DataFrame, horses: DataFrame | None = None,
     post-shuffle tasks -- all cores busy even when the scan yields few splits.
     """
     runs = central_filter(race_projection(races), places)
-    if horses is not None:
-        runs = attach_horses(runs, horses, check_unique=check_horses)
+    if horses is not None and check_horses:
+        assert_unique(horse_projection(horses).select("horse_id"), ["horse_id"], "horses")
     if partition_by is not None:
         runs = runs.repartition(partition_by)
     hd = F.col("held_date")

@@ -1,37 +1,34 @@
 """Trailing features when one horse may hold a large share of all runs.
 
 ``race_features`` shuffles on ``horse_id``, so a horse with a third of all
-runs would land in a single task.  Here such hot horses are split into
-time-ordered chunks that are processed in parallel; a chunk only needs, per
-(horse, group value), the last ``max(lengths)`` runs before it, which we
-bring in as *context rows* that take part in the windows but are not output.
-
-Steps (all DataFrame operations):
-
-1. ``count`` per horse with map-side partial aggregation -> the hot horses
-   (more than ``max_rows_per_horse`` runs).  Their number is at most
-   ``N / max_rows_per_horse``: a size bound by construction, checked before
-   any broadcast.  No hot horse -> plain ``race_features``.  Runs with no
-   horse id (features NULL by the join mask, out of every other frame) are
-   spread by a hash of their key when there are too many of them.
-2. Chunk boundaries per hot horse: ``percentile_approx`` of the run date
-   (partial aggregate, bounded sketch), checkpointed so that a recomputed
-   stage cannot move a boundary.  A run's chunk is the number of boundaries
-   before its date (binary search inside the expression).  Equal dates share
-   a chunk, so chunks are intervals of the (date, race) order.
-3. Tails: per chunk and per group value, the last ``K`` runs (row_number in
-   windows partitioned by horse, chunk and group value).  The last ``K`` runs
-   of a (horse, value) before chunk ``c`` are always among the tails of
-   earlier chunks; walking the tails in run order, a tail row is sent to the
-   chunks that begin within its next ``K`` tail rows (one window with a
-   bounded frame, at most ``K`` copies per row; no join, no chunk pairs).
-4. One window pass over real + context rows, partitioned by (horse, chunk):
-   the usual ``race_features`` with ``extra_partition=["_chunk"]``.  Context
-   rows of another group never reach a frame of length <= K (at least K
-   rows of that group sit between them and the chunk), so one shared
-   context set per chunk is exact.
-
-Results equal ``race_features`` exactly (same frames, same summation order).
+runs would land in a single task.  Here the runs of such hot horses are dealt
+in (horse, run order) ranges of about ``chunk_rows`` runs, Spark's own range
+partitioning, whatever their dates: chunks are parts of that order, so a chunk
+only needs, per (horse, group value), the last ``max(lengths)`` runs before
+it, which are brought in as *context rows* that take part in the windows but
+are not output.
+
+1. ``count`` per horse with partial aggregation finds the hot horses (more
+   than ``max_rows_per_horse`` runs).  If there is none, the plain plan runs.
+   Their ids are broadcast only when their measured bytes are under a limit;
+   beyond it, all runs take the chunked path, which is right for any horse.
+2. Runs without a horse id have NULL features by the join mask and sit in no
+   other run's frame, so they need no window and no shuffle at all.
+3. The hot runs are range-partitioned by (horse, date, race id, tie) and
+   checkpointed with their partition as chunk and a row number, so a
+   recomputed stage cannot move a boundary.  A chunk is bounded by about
+   ``chunk_rows`` (Spark's sampling keeps ranges near their mean) unless runs
+   are equal in every column.
+4. Tails: per chunk and group value, the last ``K`` runs.  The last ``K`` runs
+   of a (horse, value) before a chunk are always among the tails of earlier
+   chunks; walking the tails in run order, a tail row is sent to the chunks
+   that begin within its next ``K`` tail rows (one window with a bounded
+   frame, at most ``K`` copies per row; no join, no chunk pairs).  Context
+   rows are made unique by their row number.
+5. One pass of ``race_features`` over real and context rows, partitioned by
+   (horse, chunk).  Context rows of another group never reach a frame of
+   length <= K (at least K rows of that group sit between them and the chunk),
+   so one shared context set per chunk is exact.
 """
 
 from __future__ import annotations
@@ -44,10 +41,9 @@ from pyspark.sql import functions as F
 
 from ..constants import GROUPS, LENGTHS, METRICS
 from ..session import ensure_checkpoint_dir
-from .trailing import race_features
+from .trailing import TIE, feature_names, race_features, run_order, using_join_order, with_tie
 
-CHUNK = "_chunk"
-CONTEXT = "_context"
+CHUNK, CONTEXT, ROW = "_chunk", "_context", "_row"
 
 
 def horse_load(base: DataFrame) -> DataFrame:
@@ -55,131 +51,99 @@ def horse_load(base: DataFrame) -> DataFrame:
     return base.groupBy("horse_id").agg(F.count(F.lit(1)).alias("n_runs"))
 
 
-def _lower_bound(bounds: Column, value: Column, steps: int) -> Column:
-    """Number of elements of the sorted array ``bounds`` that are < ``value``."""
-    def step(acc, _):
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        go_right = F.element_at(bounds, mid + 1) < value
-        nxt = F.when(go_right, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi"))) \
-               .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi")))
-        return F.when(acc["lo"] < acc["hi"], nxt).otherwise(acc)
-
-    init = F.struct(F.lit(0).alias("lo"), F.size(bounds).alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step, lambda acc: acc["lo"])
-
-
 def _group_value(g: str | None) -> Column:
     return F.lit("") if g is None else F.col(g).cast("string")
 
 
-def assign_chunks(base: DataFrame, max_rows_per_horse: int, chunk_rows: int | None = None,
-                  max_chunks: int = 4096, broadcast_limit_bytes: int = 64 << 20):
-    """``(tagged, n_hot)``: ``base`` plus ``_chunk`` and ``_hot``, or ``(None, 0)`` if nothing is hot.
-
-    Normal horses get chunk 0.  Runs without a horse id -- the likeliest hot
-    key in crawled data -- are spread over chunks by a hash of the run key:
-    their features are NULL by the join mask and no other run's frame can
-    reach them, so any split is exact and they need no context rows.  Only
-    three numbers (hot count, largest load, NULL-id load) reach the driver.
-    """
-    chunk_rows = chunk_rows or max_rows_per_horse
-    load = horse_load(base)
-    keyed = F.col("horse_id").isNotNull()
-    stats = load.agg(F.count_if(keyed & (F.col("n_runs") > max_rows_per_horse)).alias("n_hot"),
-                     F.max(F.when(keyed, F.col("n_runs"))).alias("max_runs"),
-                     F.max(F.when(~keyed, F.col("n_runs"))).alias("null_runs")).first()
-    n_hot = int(stats["n_hot"] or 0)
-    null_runs = int(stats["null_runs"] or 0)
-    if n_hot == 0 and null_runs <= max_rows_per_horse:
-        return None, 0
-
-    # No horse id: a hash split, no boundaries needed.
-    n_null_chunks = max(1, min(max_chunks, math.ceil(null_runs / chunk_rows)))
-    null_chunk = F.pmod(F.hash("race_id", "held_date"), F.lit(n_null_chunks))
-    if n_hot == 0:
-        tagged = (base.withColumn(CHUNK, F.when(keyed, F.lit(0)).otherwise(null_chunk).cast("int"))
-                  .withColumn("_hot", F.lit(False)))
-        return tagged, 1
-
-    n_chunks = max(2, min(max_chunks, math.ceil(stats["max_runs"] / chunk_rows)))
-    steps = math.ceil(math.log2(n_chunks + 1)) + 1
-    days = F.unix_date(F.col("held_date"))
-
-    # Hot list: at most N / max_rows_per_horse keys; broadcast only under the limit.
-    hot = load.where(keyed & (F.col("n_runs") > max_rows_per_horse)).select("horse_id")
-    hot_side = F.broadcast(hot) if n_hot * 64 <= broadcast_limit_bytes else hot
-    pct = [i / n_chunks for i in range(1, n_chunks)]
-    bounds = (base.select("horse_id", days.alias("_days")).join(hot_side, "horse_id", "left_semi")
-              .groupBy("horse_id")
-              .agg(F.array_distinct(F.percentile_approx("_days", pct, 10_000)).alias("_bounds")))
-    # percentile_approx may merge its partial sketches in another order when a
-    # lost stage is recomputed; pin the boundaries once (reliable checkpoint in
-    # the shared spark.checkpoint.dir) so every task attempt sees the same chunks.
-    ensure_checkpoint_dir(base.sparkSession)
-    bounds = bounds.checkpoint(eager=True)
-    # n_hot rows of at most n_chunks - 1 ints each.
-    bounds_side = F.broadcast(bounds) if n_hot * n_chunks * 8 <= broadcast_limit_bytes else bounds
-
-    chunk = (F.when(~keyed, null_chunk)
-             .when(F.col("_bounds").isNull() | F.col("held_date").isNull(), F.lit(0))
-             .otherwise(_lower_bound(F.col("_bounds"), days, steps)))
-    tagged = (base.join(bounds_side, "horse_id", "left")
-              .withColumn(CHUNK, chunk.cast("int"))
-              .withColumn("_hot", F.col("_bounds").isNotNull())
-              .drop("_bounds"))
-    return tagged, n_hot
-
-
-def context_rows(tagged: DataFrame, payload: Sequence[str], groups: Sequence[str | None],
-                 k_max: int) -> DataFrame:
-    """For every hot chunk, the earlier runs its frames can reach (see module doc, step 3)."""
-    # An explicit partition count: hot rows exist only when some horse is
-    # large, and AQE must not fold its chunks back into a few tasks.
-    n_parts = int(tagged.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot_rows = tagged.where(F.col("_hot")).repartition(n_parts, "horse_id", CHUNK)
-    desc = [F.col("held_date").desc_nulls_last(), F.col("race_id").desc_nulls_last()]
+def hot_runs(base: DataFrame, max_rows_per_horse: int,
+             broadcast_limit_bytes: int = 64 << 20) -> tuple[DataFrame | None, DataFrame, int]:
+    """``(hot, other, number of hot runs)`` of runs with a horse id; hot is None when no horse is."""
+    load = horse_load(base).where(F.col("horse_id").isNotNull())
+    hot = load.where(F.col("n_runs") > max_rows_per_horse)
+    size = hot.agg(F.coalesce(F.sum("n_runs"), F.lit(0)).alias("runs"),
+                   F.coalesce(F.sum(F.octet_length("horse_id") + 32), F.lit(0)).alias("bytes")).first()
+    if not size["runs"]:
+        return None, base, 0
+    if size["bytes"] > broadcast_limit_bytes:
+        return base, base.limit(0), load.agg(F.sum("n_runs")).first()[0]
+    ids = F.broadcast(hot.select("horse_id"))
+    return base.join(ids, "horse_id", "left_semi"), base.join(ids, "horse_id", "left_anti"), size["runs"]
+
+
+def assign_chunks(hot: DataFrame, n_runs: int, chunk_rows: int) -> DataFrame:
+    """``hot`` with the columns TIE, CHUNK (ascending in run order within a horse) and ROW, checkpointed."""
+    ensure_checkpoint_dir(hot.sparkSession)
+    n = max(1, math.ceil(n_runs / chunk_rows))
+    dealt = with_tie(hot).repartitionByRange(n, F.col("horse_id"), *run_order())
+    return dealt.withColumn(CHUNK, F.spark_partition_id()).withColumn(ROW, F.monotonically_increasing_id()).checkpoint()
+
+
+def context_rows(tagged: DataFrame, groups: Sequence[str | None], k_max: int) -> DataFrame:
+    """For every chunk, the earlier runs its frames can reach (see module doc, step 4)."""
+    columns = [c for c in tagged.columns if c != CHUNK]
+    latest = [F.col(c).desc_nulls_last() for c in ("held_date", "race_id", TIE, ROW)]
+    n = max(1, int(tagged.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = tagged.repartition(n, "horse_id", CHUNK)
     marks = []
     for i, g in enumerate(groups):
         parts = ["horse_id", CHUNK] + ([g] if g else [])
-        rn = F.row_number().over(Window.partitionBy(*parts).orderBy(*desc))
-        keep = (rn <= k_max) if g is None else ((rn <= k_max) & F.col(g).isNotNull())
+        rank = F.row_number().over(Window.partitionBy(*parts).orderBy(*latest))
+        keep = (rank <= k_max) if g is None else ((rank <= k_max) & F.col(g).isNotNull())
         marks.append(F.when(keep, F.struct(F.lit(i).alias("_g"), _group_value(g).alias("_v"))))
-    tails = (hot_rows.select(*payload, CHUNK, F.array(*marks).alias("_marks"))
-             .select(*payload, CHUNK, F.explode(F.array_compact("_marks")).alias("_m"))
-             .select(*payload, CHUNK, "_m._g", "_m._v"))
-    # Walk the tails of one (horse, group, value) in run order.  A tail row is
-    # needed by every chunk whose first tail row lies among the next K tail
-    # rows: only then is it one of the K runs before that chunk.  So each
-    # tail row goes to at most K chunks -- no join, no pairs of chunks.
-    w = Window.partitionBy("horse_id", "_g", "_v").orderBy(
-        F.col(CHUNK), F.col("held_date").asc_nulls_first(), F.col("race_id").asc_nulls_first())
-    starts_chunk = F.coalesce(F.lag(CHUNK, 1).over(w) != F.col(CHUNK), F.lit(True))
-    tails = tails.withColumn("_first", starts_chunk)
-    targets = F.collect_list(F.when(F.col("_first"), F.col(CHUNK))).over(w.rowsBetween(1, k_max))
-    return (tails.select(*payload, targets.alias("_targets"))
-            .select(*payload, F.explode("_targets").alias(CHUNK))
-            .dropDuplicates([*payload, CHUNK]))
-
-
-def chunked_race_features(tagged: DataFrame, payload: Sequence[str],
-                          groups: Sequence[str | None] = GROUPS, lengths: Sequence[int] = LENGTHS,
-                          metrics: Sequence[str] = METRICS, frame: str = "trailing",
-                          check_keys: bool = True) -> DataFrame:
-    """Step 4: one window pass over real and context rows, partitioned by (horse, chunk)."""
-    context = context_rows(tagged, payload, groups, max(lengths)).withColumn(CONTEXT, F.lit(True))
-    real = tagged.drop("_hot").withColumn(CONTEXT, F.lit(False))
-    both = real.unionByName(context)
+    tails = (rows.select(*columns, CHUNK, F.array(*marks).alias("_marks"))
+             .select(*columns, CHUNK, F.explode(F.array_compact("_marks")).alias("_m"))
+             .select(*columns, CHUNK, "_m.*"))
+    w = Window.partitionBy("horse_id", "_g", "_v").orderBy(F.col(CHUNK), *run_order(), F.col(ROW))
+    begins = F.coalesce(F.lag(CHUNK, 1).over(w) != F.col(CHUNK), F.lit(True))
+    targets = F.collect_list(F.when(F.col("_begins"), F.col(CHUNK))).over(w.rowsBetween(1, k_max))
+    # A tail row is needed by every chunk whose first tail row is among its next K.
+    return (tails.withColumn("_begins", begins).select(*columns, CHUNK, targets.alias("_targets"))
+            .select(*columns, F.col(CHUNK).alias("_from"), F.explode("_targets").alias(CHUNK))
+            .where(F.col("_from") != F.col(CHUNK)).drop("_from").dropDuplicates([ROW, CHUNK]))
+
+
+def chunked_race_features(hot: DataFrame, n_runs: int, chunk_rows: int, groups: Sequence[str | None] = GROUPS,
+                          lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
+                          frame: str = "trailing", check_keys: bool = True) -> DataFrame:
+    """``race_features`` of hot horses' runs, one window partition per (horse, chunk)."""
+    tagged = assign_chunks(hot, n_runs, chunk_rows)
+    context = context_rows(tagged, groups, max(lengths)).withColumn(CONTEXT, F.lit(True))
+    both = tagged.withColumn(CONTEXT, F.lit(False)).unionByName(context)
     out = race_features(both, groups, lengths, metrics, frame, check_keys, extra_partition=[CHUNK])
-    return out.where(~F.col(CONTEXT)).drop(CHUNK, CONTEXT)
+    return out.where(~F.col(CONTEXT)).drop(CHUNK, CONTEXT, ROW)
 
 
 def race_features_skew_safe(base: DataFrame, groups: Sequence[str | None] = GROUPS,
                             lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
                             frame: str = "trailing", check_keys: bool = True,
                             max_rows_per_horse: int = 2_000_000, chunk_rows: int | None = None,
-                            max_chunks: int = 4096, broadcast_limit_bytes: int = 64 << 20) -> DataFrame:
-    """``race_features`` with hot horses split into parallel chunks (see module doc)."""
-    tagged, _ = assign_chunks(base, max_rows_per_horse, chunk_rows, max_chunks, broadcast_limit_bytes)
-    if tagged is None:
-        return race_features(base, groups, lengths, metrics, frame, check_keys)
-    return chunked_race_features(tagged, list(base.columns), groups, lengths, metrics, frame, check_keys)
+                            broadcast_limit_bytes: int = 64 << 20, by_horse: DataFrame | None = None) -> DataFrame:
+    """``race_features`` with hot horses split into parallel chunks (see module doc).
+
+    ``by_horse`` may give the rows of ``base`` dealt by ``horse_id`` already;
+    the plain plan then starts from it.
+    """
+    hot, other, n_runs = hot_runs(base, max_rows_per_horse, broadcast_limit_bytes)
+    if hot is None:
+        rows = base if by_horse is None else by_horse
+        keyed = race_features(rows.where(F.col("horse_id").isNotNull()), groups, lengths, metrics, frame, check_keys,
+                              dealt=by_horse is not None)
+    else:
+        hot = hot.where(F.col("horse_id").isNotNull())
+        keyed = chunked_race_features(hot, n_runs, chunk_rows or max_rows_per_horse, groups, lengths, metrics, frame,
+                                      check_keys)
+        other = other.where(F.col("horse_id").isNotNull())
+        keyed = keyed.unionByName(race_features(other, groups, lengths, metrics, frame, check_keys))
+    names = feature_names(groups, lengths, metrics)
+    unkeyed = base.where(F.col("horse_id").isNull()).select(
+        *using_join_order(base.columns, groups), *[F.lit(None).cast("double").alias(n) for n in names])
+    return keyed.unionByName(unkeyed)
+
+
+def trailing_average(base: DataFrame, group: str | None = None, lengths: Sequence[int] = LENGTHS,
+                     metrics: Sequence[str] = METRICS, frame: str = "trailing",
+                     max_rows_per_horse: int = 2_000_000, chunk_rows: int | None = None) -> DataFrame:
+    """One block: the run key (plus the group column) and its features, hot horses split as above."""
+    out = race_features_skew_safe(base, [group], lengths, metrics, frame, False, max_rows_per_horse, chunk_rows)
+    keys = ["race_id", "horse_id"] + ([group] if group else []) + ["held_date"]
+    return out.select(*keys, *feature_names([group], lengths, metrics))

@@ -6,15 +6,22 @@ track, weather, jockey, ...), for k = 1, 3, 5 and five metrics: 165 columns.
 It builds each block as a window CTE and LEFT JOINs all 33 blocks back on the
 run key.
 
-Here the windows are computed directly on the base table:
+Here the features are computed directly on the base table:
 
 * every grouping refines ``horse_id``, so one hash exchange on ``horse_id``
   serves all eleven window specs (the 33 self-joins and their 33+
   exchanges are gone);
+* a window only fetches the metrics of the five runs before a run (``lag``);
+  the averages of the last 1, 3 and 5 of them are plain arithmetic after it,
+  added oldest first like a sliding frame would;
 * the join's NULL semantics are kept with a mask: a run whose key or group
   value is NULL gets NULL features, exactly as an unmatched LEFT JOIN row;
 * duplicate run keys, which would multiply rows in the join form, raise an
-  error, checked with a ``lag`` inside the same window pass (no extra job).
+  error, checked with a ``lag`` inside the same window pass (no extra job) by
+  a row filter, so it also runs when no key column is read.
+
+Runs are ordered by date and race id; runs equal in both (a missing race id)
+are ordered by a hash of all their columns, so results are repeatable.
 
 ``frame="trailing"`` (default) averages rows ``k PRECEDING .. 1 PRECEDING``.
 ``frame="as_written"`` reproduces the script literally: its 3- and 5-run
@@ -33,6 +40,8 @@ from .checks import adjacent_duplicate
 
 FRAMES = ("trailing", "as_written")
 ORDER_COLUMNS = ("held_date", "race_id")
+TIE = "_tie"                     # orders runs that are equal in both
+METRIC_VALUES = "_metrics"       # the metrics of a run as one struct of doubles
 
 
 def feature_name(group: str | None, k: int, metric: str) -> str:
@@ -52,11 +61,19 @@ def join_keys(group: str | None) -> list[str]:
     return ["race_id", "horse_id"] + ([group] if group else []) + ["held_date"]
 
 
+def with_tie(base: DataFrame) -> DataFrame:
+    """``base`` with the column that orders runs of one date and race id."""
+    return base.withColumn(TIE, F.xxhash64(*base.columns))
+
+
+def run_order() -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in (*ORDER_COLUMNS, TIE)]
+
+
 def run_window(group: str | None, extra_partition: Sequence[str] = ()) -> WindowSpec:
-    """Runs of one horse (and group), oldest first; ``race_id`` breaks date ties."""
+    """Runs of one horse (and group), oldest first."""
     parts = ["horse_id", *extra_partition] + ([group] if group else [])
-    return Window.partitionBy(*parts).orderBy(
-        *[F.col(c).asc_nulls_first() for c in ORDER_COLUMNS])
+    return Window.partitionBy(*parts).orderBy(*run_order())
 
 
 def key_mask(group: str | None) -> Column:
@@ -67,29 +84,38 @@ def key_mask(group: str | None) -> Column:
     return cond
 
 
-def trailing_columns(group: str | None, lengths: Sequence[int] = LENGTHS,
-                     metrics: Sequence[str] = METRICS, frame: str = "trailing",
-                     extra_partition: Sequence[str] = (), masked: bool = True) -> list[Column]:
-    """The ``len(lengths) * len(metrics)`` feature columns of one group block.
+def _average(runs: Sequence[Column], metric: str) -> Column:
+    """The mean of a metric over ``runs`` (oldest first) that have it."""
+    values = [r[metric] for r in runs]
+    total = n = None
+    for v in values:
+        x, one = F.coalesce(v, F.lit(0.0)), F.when(v.isNotNull(), 1).otherwise(0)
+        total, n = (x, one) if total is None else (total + x, n + one)
+    return F.when(n > 0, total / n)
+
+
+def with_trailing(df: DataFrame, group: str | None, lengths: Sequence[int] = LENGTHS,
+                  metrics: Sequence[str] = METRICS, frame: str = "trailing",
+                  extra_partition: Sequence[str] = ()) -> DataFrame:
+    """``df`` with the ``len(lengths) * len(metrics)`` feature columns of one group block.
 
-    ``masked`` gives NULL where a join key is NULL (see ``key_mask``); the
-    literal join form leaves it off because its joins do the same.
+    ``df`` has the columns ``TIE`` and ``METRIC_VALUES``.
     """
     if frame not in FRAMES:
         raise ValueError(f"frame must be one of {FRAMES}, got {frame!r}")
     w = run_window(group, extra_partition)
+    # As written, frames longer than one run start after their end and are empty.
+    used = [k for k in lengths if frame == "trailing" or k == 1]
+    before = {j: f"_before_{j}" for j in range(1, max(used, default=0) + 1)}
+    windowed = df.select("*", *[F.lag(METRIC_VALUES, j).over(w).alias(c) for j, c in before.items()])
     mask = key_mask(group)
-    cols = []
+    features = []
     for k in lengths:
+        runs = [F.col(before[j]) for j in range(k, 0, -1)] if k in used else []
         for m in metrics:
-            name = feature_name(group, k, m)
-            if frame == "as_written" and k != 1:
-                # ROWS BETWEEN 1 PRECEDING AND k PRECEDING: an empty frame.
-                cols.append(F.lit(None).cast("double").alias(name))
-            else:
-                avg = F.avg(F.col(m)).over(w.rowsBetween(-k, -1))
-                cols.append((F.when(mask, avg) if masked else avg).alias(name))
-    return cols
+            value = F.when(mask, _average(runs, m)) if runs else F.lit(None).cast("double")
+            features.append(value.alias(feature_name(group, k, m)))
+    return windowed.select(*df.columns, *features)
 
 
 def using_join_order(base_columns: Sequence[str], groups: Sequence[str | None]) -> list[str]:
@@ -105,50 +131,27 @@ def using_join_order(base_columns: Sequence[str], groups: Sequence[str | None])
     return order
 
 
-def trailing_average(base: DataFrame, group: str | None = None, lengths: Sequence[int] = LENGTHS,
-                     metrics: Sequence[str] = METRICS, frame: str = "trailing") -> DataFrame:
-    """One block: the run key (plus the group column) and its features."""
-    keys = join_keys(group)
-    return (base.repartition("horse_id")
-            .select(*keys, *trailing_columns(group, lengths, metrics, frame)))
-
-
 def race_features(base: DataFrame, groups: Sequence[str | None] = GROUPS,
                   lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
                   frame: str = "trailing", check_keys: bool = True,
-                  extra_partition: Sequence[str] = ()) -> DataFrame:
+                  extra_partition: Sequence[str] = (), dealt: bool = False) -> DataFrame:
     """Base columns plus every feature block, in the script's output order.
 
-    One shuffle: ``repartition("horse_id")`` (AQE may coalesce it) and then
-    one sort + Window per group spec inside each partition.
+    One shuffle: ``repartition("horse_id")`` (AQE may coalesce it), which is
+    left out if ``base`` is ``dealt`` that way, and then one sort + Window per
+    group spec inside each partition.
     ``extra_partition`` adds partition columns to every window (used by the
-    skew path, where a hot horse is split into time-ordered chunks).
+    skew path, where a hot horse is split into chunks).
     """
-    features = [c for g in groups for c in trailing_columns(g, lengths, metrics, frame, extra_partition)]
-    shuffle_keys = ["horse_id", *extra_partition]
-    df = base.repartition(*shuffle_keys)
-    order = using_join_order(base.columns, groups)
-    cols = [F.col(c) for c in order]
+    columns = [c for c in base.columns if c != TIE]
+    df = base if TIE in base.columns else with_tie(base)
+    values = F.struct(*[F.col(m).cast("double").alias(m) for m in metrics])
+    df = (df if dealt else df.repartition("horse_id", *extra_partition)).withColumn(METRIC_VALUES, values)
     if check_keys:
-        dup = adjacent_duplicate(list(RUN_KEY), run_window(None, extra_partition))
-        msg = f"duplicate run key {RUN_KEY}: the re-attach join would multiply rows"
-        cols[order.index("race_id")] = (F.when(dup, F.raise_error(F.lit(msg)))
-                                        .otherwise(F.col("race_id")).alias("race_id"))
-    return df.select(*cols, *features)
-
-
-def race_features_join_form(base: DataFrame, groups: Sequence[str | None] = GROUPS,
-                            lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
-                            frame: str = "trailing") -> DataFrame:
-    """The script's own plan: one window block per (group, k), LEFT JOINed back.
-
-    Kept as the reference plan for tests and the bench; it costs one join
-    (two exchanges) per block.  Use ``race_features`` for real work.
-    """
-    out = base
+        message = f"duplicate run key {RUN_KEY}: the re-attach join would multiply rows"
+        repeated = adjacent_duplicate(list(RUN_KEY), run_window(None, extra_partition))
+        df = df.withColumn("_repeated", repeated).where(F.assert_true(~F.col("_repeated"), message).isNull())
+        df = df.drop("_repeated")
     for g in groups:
-        for k in lengths:
-            keys = join_keys(g)
-            block = base.select(*keys, *trailing_columns(g, [k], metrics, frame, masked=False))
-            out = out.join(block, on=keys, how="left")
-    return out
+        df = with_trailing(df, g, lengths, metrics, frame, extra_partition)
+    return df.select(*using_join_order(columns, groups), *feature_names(groups, lengths, metrics))

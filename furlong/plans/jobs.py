@@ -1,7 +1,9 @@
-"""User-level jobs: the two steps of the surveyed workflow as single calls.
+"""User-level jobs: the steps of the surveyed workflow as single calls.
 
 * ``stack_crawl``  -- crawled CSV folders -> one deduplicated text table with ids
+* ``load_table``  -- stacked CSV -> typed Parquet or managed table
 * ``feature_table`` -- race (and horse) tables -> base columns + 165 features
+* ``crawl_to_features`` -- all of it
 
 They only compose the operators; the plan choices live here:
 
@@ -10,7 +12,7 @@ They only compose the operators; the plan choices live here:
   runs are hash-partitioned on ``horse_id`` *before* parsing, so the one
   exchange the windows need also spreads the regex/cast work over all
   post-shuffle tasks.  With hot horses the skew path partitions by
-  (horse, chunk) instead -- nothing is partitioned by ``horse_id`` alone;
+  (horse, chunk) instead;
 * ``skew="off"`` skips the count (the plain plan, for data known to be flat).
 """
 
@@ -19,12 +21,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from ..constants import CENTRAL_PLACES, GROUPS, LENGTHS, METRICS
+from ..constants import CENTRAL_PLACES, GROUPS, LENGTHS, METRICS, horse_input_schema, race_input_schema
 from ..operators.base import base_features
-from ..operators.skew import assign_chunks, chunked_race_features
+from ..operators.skew import race_features_skew_safe
 from ..operators.trailing import race_features
-from ..sources.csv_stack import stack_csv, write_csv, write_table
+from ..sources.csv_stack import read_typed, stack_csv, write_csv, write_table
 
 
 def stack_crawl(spark: SparkSession, paths, url_col: str, id_col: str,
@@ -42,7 +45,7 @@ def feature_table(races: DataFrame, horses: DataFrame | None = None,
                   places: Sequence[str] = CENTRAL_PLACES, lenient: bool = False,
                   skew: str = "auto", check_keys: bool = True,
                   max_rows_per_horse: int = 2_000_000, chunk_rows: int | None = None,
-                  max_chunks: int = 4096, broadcast_limit_bytes: int = 64 << 20) -> DataFrame:
+                  broadcast_limit_bytes: int = 64 << 20) -> DataFrame:
     """The ``race_features`` table: 26 base columns + trailing averages.
 
     ``max_rows_per_horse`` is the most runs one window task should take for a
@@ -51,18 +54,31 @@ def feature_table(races: DataFrame, horses: DataFrame | None = None,
     """
     if skew not in ("auto", "off"):
         raise ValueError(f"skew must be 'auto' or 'off', got {skew!r}")
-    checked = False
-    if skew == "auto":
-        base = base_features(races, horses, places, lenient)
-        checked = horses is not None   # the horse uniqueness check has run
-        tagged, n_hot = assign_chunks(base, max_rows_per_horse, chunk_rows, max_chunks,
-                                      broadcast_limit_bytes)
-        if n_hot:
-            return chunked_race_features(tagged, list(base.columns), groups, lengths, metrics,
-                                         frame, check_keys)
-    base = base_features(races, horses, places, lenient, check_horses=not checked,
-                         partition_by="horse_id")
-    return race_features(base, groups, lengths, metrics, frame, check_keys)
+    by_horse = base_features(races, horses, places, lenient, partition_by="horse_id")
+    if skew == "off":
+        return race_features(by_horse, groups, lengths, metrics, frame, check_keys, dealt=True)
+    base = base_features(races, None, places, lenient)
+    return race_features_skew_safe(base, groups, lengths, metrics, frame, check_keys, max_rows_per_horse, chunk_rows,
+                                   broadcast_limit_bytes, by_horse)
+
+
+def load_table(spark: SparkSession, stacked: str, schema: StructType, path: str | None = None,
+               table: str | None = None) -> DataFrame:
+    """Load a stacked CSV folder into a typed Parquet folder or managed table and return it."""
+    write_table(read_typed(spark, stacked, schema), path=path, table=table)
+    return spark.read.parquet(path) if table is None else spark.table(table)
+
+
+def crawl_to_features(spark: SparkSession, race_paths, horse_paths, folder: str, **settings) -> DataFrame:
+    """The whole workflow: crawled races and horses -> stacked CSV -> typed tables -> the feature table.
+
+    Intermediate data goes below ``folder``, which all machines share.
+    """
+    stack_crawl(spark, race_paths, "race_url", "race_id", out=f"{folder}/stacked-races")
+    stack_crawl(spark, horse_paths, "horse_url", "horse_id", out=f"{folder}/stacked-horses")
+    races = load_table(spark, f"{folder}/stacked-races", race_input_schema(), path=f"{folder}/races")
+    horses = load_table(spark, f"{folder}/stacked-horses", horse_input_schema(), path=f"{folder}/horses")
+    return feature_table(races, horses, **settings)
 
 
 def write_feature_table(df: DataFrame, path: str | None = None, table: str | None = None) -> None:

@@ -14,7 +14,6 @@ from collections.abc import Sequence
 
 from ..constants import (CENTRAL_PLACES, DAY_MARK, GROUPS, LENGTH_BANDS, LENGTHS, LONG_BAND,
                          METRICS, MONTH_MARK, RACE_INPUT_COLUMNS, YEAR_MARK)
-from ..operators.trailing import feature_name, join_keys
 from ..sources.fixtures import duckdb_horses_sql, duckdb_races_sql
 
 URL_ID_SQL = r"nullif(regexp_extract({c}, '/([\pL\pN_]+)/\n?$', 1), '')"
@@ -100,6 +99,17 @@ def base_ctes() -> list[str]:
     ]
 
 
+def join_keys(group: str | None) -> list[str]:
+    """The USING list of a block, as the script spells it."""
+    if group is None:
+        return ["race_id", "horse_id", "held_date"]
+    return ["race_id", "horse_id", group, "held_date"]
+
+
+def feature_name(group: str | None, k: int, metric: str) -> str:
+    return f"previous_{k}_{metric}_avgs" if group is None else f"same_{group}_previous_{k}_{metric}_avgs"
+
+
 def block_name(group: str | None, k: int) -> str:
     return f"blk_{group or 'all'}_{k}"
 
@@ -110,12 +120,10 @@ def block_cte(group: str | None, k: int, metrics: Sequence[str] = METRICS,
     keys = ", ".join(join_keys(group))
     avgs = []
     for m in metrics:
-        if frame == "as_written" and k != 1:
-            # the script's reversed frame 1 PRECEDING .. k PRECEDING: empty
-            expr = "cast(null as double)"
-        else:
-            expr = (f"avg({m}) over (partition by {parts} order by held_date asc nulls first, "
-                    f"race_id asc nulls first rows between {k} preceding and 1 preceding)")
+        # the script's own frames start after their end for k = 3 and 5
+        rows = f"1 preceding and {k} preceding" if frame == "as_written" and k != 1 else f"{k} preceding and 1 preceding"
+        expr = (f"avg({m}) over (partition by {parts} order by held_date asc nulls first, "
+                f"race_id asc nulls first rows between {rows})")
         avgs.append(f"{expr} as {feature_name(group, k, m)}")
     return f"{block_name(group, k)} as (select {keys}, {', '.join(avgs)} from base_features)"
 

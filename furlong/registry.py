@@ -14,12 +14,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .constants import GROUPS, RACE_INPUT_COLUMNS, race_input_schema
+from .constants import GROUPS, HORSE_INPUT_COLUMNS, RACE_INPUT_COLUMNS, horse_input_schema, race_input_schema
 from .functions import exprs as X
-from .functions.sql import register_sql_functions
 from .operators import base as B
 from .operators import checks as C
-from .operators import trailing as T
+from .operators import skew as K
 from .plans import jobs as J
 from .plans import oracle_sql as O
 from .session import scratch_dir
@@ -33,8 +32,8 @@ def _races(spark, sf):
     return fixtures.races(spark, sf)
 
 
-def _base(spark, sf, partition_by=None):
-    return B.base_features(_races(spark, sf), partition_by=partition_by)
+def _base(spark, sf):
+    return B.base_features(_races(spark, sf))
 
 
 def _group_key(g):
@@ -86,19 +85,6 @@ def q_extract_ids(spark, sf):
     return pages.select("page_id", X.extract_url_id("url").alias("url_id"))
 
 
-def q_parse_clock_sql(spark, sf):
-    # The SQL function twin, called from spark.sql over the same races.
-    register_sql_functions(spark)
-    return spark.sql("select race_id, goal_times, parse_goal_time(goal_times) as goal_seconds from {r}",
-                     r=_races(spark, sf))
-
-
-def q_extract_ids_sql(spark, sf):
-    register_sql_functions(spark)
-    return spark.sql("select page_id, extract_id_number(url) as url_id from {p}",
-                     p=fixtures.read_table(spark, sf, "pages"))
-
-
 def q_length_band(spark, sf):
     r = _races(spark, sf)
     return r.select("race_id", "course_length", X.length_band("course_length").alias("course_length_category"))
@@ -157,7 +143,7 @@ def q_ratios(spark, sf):
 
 def _trailing_query(group):
     def q(spark, sf):
-        return T.trailing_average(_base(spark, sf, "horse_id"), group)
+        return K.trailing_average(_base(spark, sf), group)
     q.__name__ = f"q_trailing_{_group_key(group)}"
     return q
 
@@ -168,7 +154,7 @@ def q_race_features(spark, sf):
 
 def q_race_features_skew_safe(spark, sf):
     # A low threshold so that many horses count as hot and are split into
-    # date chunks at small scale factors: the whole context machinery runs.
+    # chunks at small scale factors: the whole context machinery runs.
     return J.feature_table(_races(spark, sf), max_rows_per_horse=8, chunk_rows=3)
 
 
@@ -176,12 +162,8 @@ def q_frame_as_written(spark, sf):
     return J.feature_table(_races(spark, sf), frame="as_written")
 
 
-def q_feature_attach_join_form(spark, sf):
-    return T.race_features_join_form(_base(spark, sf))
-
-
 def q_sorted_view(spark, sf):
-    blk = T.trailing_average(_base(spark, sf, "horse_id"), "held_place")
+    blk = K.trailing_average(_base(spark, sf), "held_place")
     return blk.orderBy(F.desc_nulls_last("horse_id"), F.desc_nulls_last("held_place"),
                        F.desc_nulls_last("held_date"))
 
@@ -223,6 +205,24 @@ def q_load_typed(spark, sf):
     return S.read_typed(spark, _stacked_copy(spark, sf), race_input_schema())
 
 
+def _horse_crawl(spark, sf):
+    return fixtures.write_horse_crawl(fixtures.horses(spark, sf), scratch_dir(spark, "horse-crawl"))
+
+
+def q_csv_stack_horses(spark, sf):
+    return J.stack_crawl(spark, _horse_crawl(spark, sf), url_col="horse_url", id_col="horse_id")
+
+
+def q_load_horses(spark, sf):
+    out = scratch_dir(spark, "horses")
+    J.stack_crawl(spark, _horse_crawl(spark, sf), "horse_url", "horse_id", out=f"{out}/stacked")
+    return J.load_table(spark, f"{out}/stacked", horse_input_schema(), path=f"{out}/table")
+
+
+def q_crawl_to_features(spark, sf):
+    return J.crawl_to_features(spark, _crawl(spark, sf), _horse_crawl(spark, sf), scratch_dir(spark, "workflow"))
+
+
 def q_write_features(spark, sf):
     out = scratch_dir(spark, "race_features")
     J.write_feature_table(J.feature_table(_races(spark, sf)), path=out)
@@ -244,8 +244,6 @@ def queries() -> dict[str, Query]:
         "extract_ids": q_extract_ids,
         "length_band": q_length_band,
         "parse_clock": q_parse_clock,
-        "parse_clock_sql": q_parse_clock_sql,
-        "extract_ids_sql": q_extract_ids_sql,
         "held_month": q_held_month,
         "held_day_of_week": q_held_day_of_week,
         "parse_held_date": q_parse_held_date,
@@ -259,7 +257,6 @@ def queries() -> dict[str, Query]:
         "race_features": q_race_features,
         "race_features_skew_safe": q_race_features_skew_safe,
         "frame_as_written": q_frame_as_written,
-        "feature_attach_join_form": q_feature_attach_join_form,
         "sorted_view": q_sorted_view,
         "preview": q_preview,
         "csv_stack": q_csv_stack,
@@ -267,6 +264,9 @@ def queries() -> dict[str, Query]:
         "csv_roundtrip": q_csv_roundtrip,
         "load_typed": q_load_typed,
         "write_features": q_write_features,
+        "csv_stack_horses": q_csv_stack_horses,
+        "load_horses": q_load_horses,
+        "crawl_to_features": q_crawl_to_features,
     })
     return reg
 
@@ -311,8 +311,6 @@ from race_info left join horses using (horse_id) {centre}""",
         "length_band": _races_select(
             f"race_id, course_length, {O.length_band_sql('course_length')} as course_length_category"),
         "parse_clock": _races_select(f"race_id, goal_times, {O.parse_clock_sql('goal_times')} as goal_seconds"),
-        "parse_clock_sql": _races_select(f"race_id, goal_times, {O.parse_clock_sql('goal_times')} as goal_seconds"),
-        "extract_ids_sql": f"select page_id, {O.URL_ID_SQL.format(c='url')} as url_id from pages",
         "held_month": _races_select(f"race_id, {O.held_month_sql('held_date')} as held_month"),
         "held_day_of_week": _races_select(f"race_id, {O.held_day_of_week_sql('held_date')} as held_day_of_week"),
         "parse_held_date": _races_select(f"race_id, {O.parse_held_date_sql('held_date')} as held_date"),
@@ -333,7 +331,6 @@ from race_info left join horses using (horse_id) {centre}""",
     sql["race_features"] = O.features_sql()
     sql["race_features_skew_safe"] = O.features_sql()
     sql["frame_as_written"] = O.features_sql(frame="as_written")
-    sql["feature_attach_join_form"] = O.features_sql()
     sql["sorted_view"] = O.block_sql("held_place")
     sql["preview"] = (O.with_clause(O.input_ctes()) + "\nselect horse_id, horse_name, producer, origin_place, "
                       "mother, father, mother_of_father, father_of_father, mother_of_mother, father_of_mother "
@@ -351,4 +348,8 @@ from race_info left join horses using (horse_id) {centre}""",
                          + f"\nselect {typed} from (select {crawl_cols}, "
                          f"{O.URL_ID_SQL.format(c='race_url')} as race_id from stacked)")
     sql["write_features"] = O.features_sql()
+    horse_cols = ", ".join(["horse_url", *HORSE_INPUT_COLUMNS])
+    horses = O.with_clause(O.input_ctes()) + f"\nselect {horse_cols} from horses"
+    sql["csv_stack_horses"] = sql["load_horses"] = horses
+    sql["crawl_to_features"] = O.features_sql()
     return sql

@@ -49,9 +49,12 @@ select concat('https://races.example.com/race/', lpad(cast(o_orderkey as string)
 from {orders}
 """
 
+# Every tenth horse has an id that no run uses.
+HORSE_ID_SQL = "case when c_custkey % 10 = 0 then concat('unraced', cast(c_custkey as string)) else cast(c_custkey as string) end"
+
 HORSES_SQL = """
-select concat('https://races.example.com/horse/', cast(c_custkey as string), '/') as horse_url,
-       cast(c_custkey as string) as horse_id,
+select concat('https://races.example.com/horse/', {id}, '/') as horse_url,
+       {id} as horse_id,
        c_name as horse_name,
        concat('producer', cast(c_nationkey as string)) as producer,
        c_mktsegment as origin_place,
@@ -61,7 +64,7 @@ select concat('https://races.example.com/horse/', cast(c_custkey as string), '/'
        concat('ff', cast(c_custkey % 79 as string)) as father_of_father,
        concat('mm', cast(c_custkey % 73 as string)) as mother_of_mother,
        concat('fm', cast(c_custkey % 61 as string)) as father_of_mother
-from {customer} where c_custkey % 10 <> 0
+from {customer}
 """
 
 
@@ -70,7 +73,7 @@ def duckdb_races_sql() -> str:
 
 
 def duckdb_horses_sql() -> str:
-    return HORSES_SQL.format(customer="customer")
+    return HORSES_SQL.format(id=HORSE_ID_SQL, customer="customer")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,7 +87,7 @@ def races(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def horses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``horses`` input (one row per horse) derived from ``customer``."""
-    return spark.sql(HORSES_SQL, customer=read_table(spark, sf_dir, "customer"))
+    return spark.sql(HORSES_SQL.replace("{id}", HORSE_ID_SQL), customer=read_table(spark, sf_dir, "customer"))
 
 
 # ---------------------------------------------------------------- crawled CSV folders
@@ -131,6 +134,20 @@ def write_crawl(races_df: DataFrame, root: str) -> str:
     return root
 
 
+def write_horse_crawl(horses_df: DataFrame, root: str) -> str:
+    """Write ``horses_df`` under ``root`` as crawled CSV files: two layouts, every third horse in both; returns ``root``.
+
+    The crawl has the horse's URL and no id.
+    """
+    from pyspark.sql import functions as F
+    cols = [c for c in horses_df.columns if c != "horse_id"]
+    part = F.pmod(F.xxhash64("horse_url"), F.lit(3))
+    for sub, layout, keep in (("a", cols, part < 2), ("b/c", list(reversed(cols)), part > 0)):
+        horses_df.where(keep).select(*layout).write.mode("overwrite").option("header", "true").option(
+            "escape", '"').csv(os.path.join(root, sub))
+    return root
+
+
 def crawl_union_sql(distinct: bool) -> str:
     """DuckDB text of the stacked crawl (union by name, optional whole-row dedup)."""
     cols = crawl_columns()

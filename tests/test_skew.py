@@ -1,5 +1,7 @@
 """The skew path equals the direct path, also with one horse holding a third of all runs."""
 
+import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from conftest import SF01, rows_of
@@ -9,75 +11,104 @@ from furlong.operators import trailing as T
 from furlong.sources import fixtures
 
 
-def test_chunks_are_made_for_hot_horses(spark):
-    base = B.base_features(fixtures.races(spark, SF01))
-    tagged, n_hot = K.assign_chunks(base, max_rows_per_horse=8, chunk_rows=3)
-    assert n_hot > 0
-    hot = tagged.where("_hot")
-    n_chunks = hot.select("horse_id", "_chunk").distinct().count()
-    assert n_chunks > 2 * n_hot
-    # chunks are intervals of the date order inside every horse
-    bad = (hot.groupBy("horse_id", "_chunk").agg(F.min("held_date").alias("lo"), F.max("held_date").alias("hi"))
-           .selectExpr("horse_id", "_chunk", "lo", "hi",
-                       "lag(hi) over (partition by horse_id order by _chunk) as prev_hi")
-           .where("prev_hi >= lo").count())
-    assert bad == 0
+@pytest.fixture(scope="module")
+def base(spark):
+    return B.base_features(fixtures.races(spark, SF01)).cache()
 
 
-def test_nothing_hot_is_the_plain_plan(spark):
-    base = B.base_features(fixtures.races(spark, SF01))
-    assert K.assign_chunks(base, max_rows_per_horse=10**9)[1] == 0
+def third(base, value):
+    return F.when(F.abs(F.hash("race_id")) % 3 == 0, value)
 
 
-def test_skew_path_equals_direct_path(spark):
-    base = B.base_features(fixtures.races(spark, SF01))
-    direct = T.race_features(base)
-    cols = sorted(direct.columns)
-    expected = rows_of(direct, cols)
-    for limit, chunk in [(8, 3), (4, 1)]:
-        assert rows_of(K.race_features_skew_safe(base, max_rows_per_horse=limit, chunk_rows=chunk), cols) == expected
+def one_hot(base):
+    return base.withColumn("horse_id", third(base, F.lit("HOT")).otherwise(F.col("horse_id")))
+
+
+CASES = {
+    "many hot horses": lambda b: b,
+    "one horse with a third of all runs": one_hot,
+    "a third without a horse": lambda b: b.withColumn("horse_id", third(b, F.lit(None)).otherwise(F.col("horse_id"))),
+    "all dates missing": lambda b: one_hot(b).withColumn("held_date", F.when(F.col("horse_id") != "HOT", F.col("held_date"))),
+    "one date": lambda b: one_hot(b).withColumn(
+        "held_date", F.when(F.col("horse_id") == "HOT", F.lit("2020-01-01").cast("date")).otherwise(F.col("held_date"))),
+    "some dates and race ids missing": lambda b: one_hot(b)
+    .withColumn("held_date", F.when(F.abs(F.hash("race_id", F.lit(1))) % 5 > 0, F.col("held_date")))
+    .withColumn("race_id", F.when(F.abs(F.hash("race_id", F.lit(2))) % 5 > 0, F.col("race_id"))),
+    "repeated rows without a race id": lambda b: one_hot(b).withColumn("race_id", F.when(
+        F.abs(F.hash("race_id", F.lit(2))) % 2 > 0, F.col("race_id"))).withColumn("n", F.explode(F.sequence(
+            F.lit(0), F.when(F.col("race_id").isNull(), 1).otherwise(0)))).drop("n"),
+}
 
 
-def test_one_horse_with_a_third_of_all_runs(spark):
-    base = B.base_features(fixtures.races(spark, SF01))
-    hot = base.withColumn("horse_id", F.when(F.abs(F.hash("race_id")) % 3 == 0, F.lit("HOT"))
-                          .otherwise(F.col("horse_id")))
-    assert hot.where("horse_id = 'HOT'").count() > hot.count() / 4
-    direct = T.race_features(hot)
+@pytest.mark.parametrize("case,limit,chunk", [*((c, 500, 250) for c in list(CASES)[1:]), (list(CASES)[-1], 8, 400)])
+def test_skew_path_equals_direct_path(spark, base, case, limit, chunk):
+    runs = CASES[case](base)
+    groups = (None, "weather", "held_month")
+    direct = T.race_features(runs, groups)
     cols = sorted(direct.columns)
-    skewed = K.race_features_skew_safe(hot, max_rows_per_horse=500, chunk_rows=250)
+    skewed = K.race_features_skew_safe(runs, groups, max_rows_per_horse=limit, chunk_rows=chunk)
+    assert skewed.columns == direct.columns
     assert rows_of(skewed, cols) == rows_of(direct, cols)
-    # the hot horse really is spread over many chunks
-    tagged, _ = K.assign_chunks(hot, max_rows_per_horse=500, chunk_rows=250)
-    assert tagged.where("horse_id = 'HOT'").select("_chunk").distinct().count() >= 8
 
 
-def test_a_third_of_runs_without_horse_id(spark):
-    base = B.base_features(fixtures.races(spark, SF01))
-    nulls = base.withColumn("horse_id", F.when(F.abs(F.hash("race_id")) % 3 == 0, F.lit(None))
-                            .otherwise(F.col("horse_id")))
-    direct = T.race_features(nulls)
+def test_repeated_full_keys_without_the_check(spark, base):
+    runs = one_hot(base).union(one_hot(base).where("horse_id = 'HOT'"))
+    direct = T.race_features(runs, [None], check_keys=False)
     cols = sorted(direct.columns)
-    for limit in (500, 8):   # only the NULL id is hot; NULL id and horses are hot
-        skewed = K.race_features_skew_safe(nulls, max_rows_per_horse=limit, chunk_rows=250)
-        assert rows_of(skewed, cols) == rows_of(direct, cols)
-    tagged, _ = K.assign_chunks(nulls, max_rows_per_horse=500, chunk_rows=250)
-    assert tagged.where("horse_id is null").select("_chunk").distinct().count() >= 8
-
-
-def test_hot_horse_with_missing_dates(spark):
-    # Runs without a date sort first; they must sit in chunk 0 and still reach
-    # later chunks' frames through the context rows.
-    base = B.base_features(fixtures.races(spark, SF01))
-    hot = (base.withColumn("horse_id", F.when(F.abs(F.hash("race_id")) % 3 == 0, F.lit("HOT"))
-                           .otherwise(F.col("horse_id")))
-               .withColumn("held_date", F.when(F.abs(F.hash("race_id", F.lit(1))) % 50 == 0, F.lit(None))
-                           .otherwise(F.col("held_date"))))
-    assert hot.where("horse_id = 'HOT' and held_date is null").count() > 10
-    direct = T.race_features(hot)
+    skewed = K.race_features_skew_safe(runs, [None], max_rows_per_horse=500, chunk_rows=100, check_keys=False)
+    assert rows_of(skewed, cols) == rows_of(direct, cols)
+    with pytest.raises(PySparkException, match="duplicate run key"):
+        K.race_features_skew_safe(runs, [None], max_rows_per_horse=500, chunk_rows=100).select("horse_id").collect()
+
+
+@pytest.mark.parametrize("case", ["one horse with a third of all runs", "all dates missing", "one date"])
+def test_chunks_are_bounded_and_in_run_order(spark, base, case):
+    runs = CASES[case](base)
+    hot, other, n = K.hot_runs(runs, 500)
+    assert n == hot.count() and n + other.count() == runs.count()
+    tagged = K.assign_chunks(hot, n, 250)
+    sizes = [r["count"] for r in tagged.groupBy(K.CHUNK).count().collect()]
+    assert max(sizes) <= 3 * 250 and len(sizes) >= 8
+    ends = tagged.groupBy("horse_id", K.CHUNK).agg(
+        F.min(F.struct("held_date", "race_id", T.TIE)).alias("lo"), F.max(F.struct("held_date", "race_id", T.TIE)).alias("hi"))
+    assert ends.selectExpr("lo", "lag(hi) over (partition by horse_id order by _chunk) as before").where("before > lo").count() == 0
+
+
+def test_one_giant_does_not_shred_small_hot_horses(spark, base):
+    runs = one_hot(base)
+    hot, _, n = K.hot_runs(runs, 8)
+    context = K.context_rows(K.assign_chunks(hot, n, 100), [None], 5).count()
+    assert context <= 5 * (n // 100 + 2)
+
+
+def test_nothing_hot_is_the_plain_plan(spark, base):
+    hot, other, n = K.hot_runs(base, 10**9)
+    assert hot is None and n == 0
+
+
+def test_ids_beyond_the_broadcast_limit(spark, base):
+    runs = one_hot(base)
+    direct = T.race_features(runs, [None])
     cols = sorted(direct.columns)
-    skewed = K.race_features_skew_safe(hot, max_rows_per_horse=500, chunk_rows=250)
+    skewed = K.race_features_skew_safe(runs, [None], max_rows_per_horse=100, chunk_rows=1000, broadcast_limit_bytes=0)
     assert rows_of(skewed, cols) == rows_of(direct, cols)
-    tagged, _ = K.assign_chunks(hot, max_rows_per_horse=500, chunk_rows=250)
-    assert {r[0] for r in tagged.where("horse_id = 'HOT' and held_date is null")
-            .select("_chunk").distinct().collect()} == {0}
+
+
+@pytest.mark.parametrize("group", [None, "weather"])
+def test_one_block_with_a_hot_horse_and_missing_ids(spark, base, group):
+    runs = CASES["a third without a horse"](CASES["one horse with a third of all runs"](base).withColumn(
+        "horse_id", F.when(F.abs(F.hash("race_id", F.lit(9))) % 4 == 0, F.lit("HOT")).otherwise(F.col("horse_id"))))
+    plain = K.trailing_average(runs, group)
+    split = K.trailing_average(runs, group, max_rows_per_horse=100, chunk_rows=50)
+    assert rows_of(plain) == rows_of(split) and split.count() == runs.count()
+
+
+@pytest.mark.parametrize("limit", [2_000_000, 100])
+def test_horse_join_with_hot_and_missing_ids(spark, base, limit):
+    horses = fixtures.horses(spark, SF01)
+    hot_id = base.select("horse_id").first()[0]
+    runs = base.withColumn("horse_id", third(base, F.lit(hot_id)).when(F.abs(F.hash("race_id")) % 3 == 1, F.lit(None))
+                           .otherwise(F.col("horse_id")))
+    want = runs.join(horses.select("horse_id", "mother"), "horse_id", "left")
+    got = B.attach_horses(runs, horses, ["mother"], max_rows_per_horse=limit)
+    assert got.columns == want.columns and rows_of(got) == rows_of(want)
