@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from . import text as T
 
 OTHER, END = 0, 1                # outputs that are no words
+BOUND = 60.0                     # of a logit, either way
 COUNT_SLICE = 32 << 20
 
 
@@ -146,17 +147,18 @@ class Net:
         order = np.argsort(classes, kind="stable")
         h, classes, place = h[order], classes[order], place[order]
         rows = np.arange(len(h))
-        logits = h @ p["Wc"] + p["bc"]
-        logits -= logits.max(1, keepdims=True)
+        logits = h @ p["Wc"]
+        logits += p["bc"]
+        np.clip(logits, -BOUND, BOUND, out=logits)
         e = np.exp(logits)
-        total = e.sum(1)
+        total = e @ np.ones(e.shape[1], np.float32)
         logp = logits[rows, classes] - np.log(total)
         dh = None
         if grad is not None:
             weight = weight[order]
-            d = e / total[:, None]
-            d[rows, classes] -= 1
-            d *= weight[:, None]
+            d = e
+            d *= (weight / total)[:, None]
+            d[rows, classes] -= weight
             grad["Wc"] += h.T @ d
             grad["bc"] += d.sum(0)
             dh = d @ p["Wc"].T
@@ -165,16 +167,17 @@ class Net:
             a, b = cuts[c], cuts[c + 1]
             if a == b:
                 continue
-            own = h[a:b] @ p["Wo"][c] + p["bo"][c]
-            own -= own.max(1, keepdims=True)
+            own = h[a:b] @ p["Wo"][c]
+            own += p["bo"][c]
+            np.clip(own, -BOUND, BOUND, out=own)
             e = np.exp(own)
-            total = e.sum(1)
+            total = e @ np.ones(e.shape[1], np.float32)
             at = np.arange(b - a)
             logp[a:b] += own[at, place[a:b]] - np.log(total)
             if grad is not None:
-                d = e / total[:, None]
-                d[at, place[a:b]] -= 1
-                d *= weight[a:b, None]
+                d = e
+                d *= (weight[a:b] / total)[:, None]
+                d[at, place[a:b]] -= weight[a:b]
                 grad["Wo"][c] += h[a:b].T @ d
                 grad["bo"][c] += d.sum(0)
                 dh[a:b] += d @ p["Wo"][c].T
@@ -292,7 +295,10 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 tokens = np.insert(ids, offs[1:], END).astype("<u2")
                 rare = np.flatnonzero(ids == OTHER)
                 owner = np.searchsorted(offs, rare, side="right") - 1
-                pair, times = np.unique(owner * np.int64(len(words) + 1) + codes[rare], return_counts=True)
+                pair = np.sort(owner * np.int64(len(words) + 1) + codes[rare])
+                first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])[:len(pair)])
+                times = np.diff(np.append(first, len(pair)))
+                pair = pair[first]
                 ends = np.searchsorted(pair, np.arange(len(part) + 1) * np.int64(len(words) + 1))
                 data = pa.py_buffer(tokens.tobytes())
                 blob = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer((2 * starts).astype(np.int32)), data])
