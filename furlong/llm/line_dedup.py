@@ -5,7 +5,7 @@ least ``min_words`` words and one word inserted, deleted or replaced makes one
 the other (an edit bound of one word: at five words or more, a similarity of
 0.8 or more).  Of all occurrences of lines, in the order of document id and
 line number, one is dropped if the same line or a line within the bound occurs
-before it.  Blank lines are layout and stay.
+before it.  Blank lines (empty or spaces only) are layout and stay.
 
 Deletion neighbourhood: a line of n words has n variants, one with each word
 left out.  Lines that differ by a replaced word have the variant without that
@@ -44,7 +44,7 @@ from .names import fresh
 
 LINE_BITS = 31                   # of a line's number within its document
 NO_ID = Decimal(1 << 63)         # stands after every id
-BROADCAST_ROWS = 2_000_000       # of at most 32 bytes each
+BROADCAST_ROWS = 500_000         # of about 100 bytes each at most
 WORD_HASH_BITS = 40              # so that sums over 2^23 words stay within a long
 
 
@@ -65,8 +65,16 @@ def _lines(docs: DataFrame) -> DataFrame:
                     F.xxhash64(F.lit(1), "line").alias("h2"), place.cast("decimal(38,0)").alias("at")))
 
 
-def _words(line: Column) -> Column:
-    return F.filter(F.split(line, r"\s+"), lambda w: w != "")
+def _spaced(line: Column) -> Column:
+    """``line`` with one space between its words; most lines have that already."""
+    odd = line.startswith(" ") | line.endswith(" ")
+    for gap in ("  ", "\t", "\r", "\f", "\x0b"):
+        odd = odd | line.contains(gap)
+    return F.when(odd, F.trim(F.regexp_replace(line, r"\s+", " "))).otherwise(line)
+
+
+def _n_words(spaced: Column) -> Column:
+    return F.octet_length(spaced) - F.octet_length(F.replace(spaced, F.lit(" "), F.lit(""))) + 1
 
 
 def _part_length(n: Column) -> Column:
@@ -76,14 +84,16 @@ def _part_length(n: Column) -> Column:
     return F.floor(F.when((power >= 2) & (half >= 1.5 * power), 1.5 * power).otherwise(power)).cast("int")
 
 
-def _part_keys(min_words: int) -> Column:
-    """Keys of the first and the last part, for partners of n words or one more, and of one less."""
-    n, words = F.size("words"), F.col("words")
+def _part_keys(min_words: int) -> list[Column]:
+    """k0 to k3 from ``spaced`` and ``n``: the first and last part, for partners of n words or more, and of one less."""
+    spaced, n = F.col("spaced"), F.col("n")
+    own, less = _part_length(n), _part_length(n - 1)
     keys = []
-    for size in (_part_length(n), _part_length(n - 1)):
-        head, tail = F.slice(words, 1, size), F.slice(words, n - size + 1, size)
-        keys += [F.xxhash64(F.lit(k), size, F.array_join(part, " ")) for k, part in enumerate((head, tail))]
-    return F.when(n >= min_words, F.array_distinct(F.array(*keys)))
+    for k, (size, applies) in enumerate(((own, n >= min_words), (less, (n >= min_words) & (less != own)))):
+        for side, count in enumerate((size, -size)):
+            hashed = F.xxhash64(F.lit(side), size, F.call_function("substring_index", spaced, F.lit(" "), count))
+            keys.append(F.when(applies, hashed).alias(f"k{2 * k + side}"))
+    return keys
 
 
 def _variants(lines: DataFrame) -> DataFrame:
@@ -132,7 +142,7 @@ def _near_lines(docs: DataFrame, distinct: DataFrame, min_words: int) -> DataFra
     shared = key_rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     some = _bounded(key_rows.join(shared, "key").select("h1").distinct())
     lines = (_lines(docs).join(some, "h1", "left_semi").groupBy("h1", "h2", "line").agg(F.min("at").alias("at"))
-             .withColumn("words", _words(F.col("line"))).where(F.size("words") >= min_words).checkpoint())
+             .withColumn("words", F.split(_spaced(F.col("line")), " ")).where(F.size("words") >= min_words).checkpoint())
     key = ["n", "i", "v1", "v2"]
     variants = _variants(lines)
     groups = variants.groupBy(*key).agg(
@@ -159,8 +169,8 @@ def dropped_lines(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", t
     ensure_checkpoint_dir(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     lines = _lines(docs)
-    keyed = lines.withColumn("words", _words(F.col("line"))).withColumn("keys", _part_keys(min_words))
-    distinct = (keyed.select("h1", "h2", "at", *[F.get("keys", F.lit(k)).alias(f"k{k}") for k in range(4)])
+    keyed = lines.withColumn("spaced", _spaced(F.col("line"))).withColumn("n", _n_words(F.col("spaced")))
+    distinct = (keyed.select("h1", "h2", "at", *_part_keys(min_words))
                 .groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("rows"), F.min("at").alias("at"),
                                          *[F.max(f"k{k}").alias(f"k{k}") for k in range(4)])
                 .select("h1", "h2", "rows", "at",
