@@ -198,3 +198,42 @@ def test_stages_take_odd_rows(spark):
             if name != "bpe_encoding":
                 assert out.columns == base.columns and dict(out.dtypes) == dict(base.dtypes)
             assert out.count() >= 0
+
+
+def scan_all_windows(docs, items, window=64, min_share=.6, min_answer=.5):
+    """(doc, item) by the checks alone, on the words around every window."""
+    found, half = set(), window // 2
+    for i, item in items:
+        words = decontam.plain_words(item)
+        n, answer = len(words), words[decontam.answer_start(item):]
+        masks, answer_masks, known, reach = decontam._masks(words), decontam._masks(answer), set(words), max(half, n)
+        for d, text in docs:
+            text = decontam.plain_words(text)
+            for start in range(0, len(text), half):
+                part = [w for w in text[max(0, start - reach):start + window + reach] if w in known]
+                if (len(part) >= min_share * n and decontam.common_subsequence(masks, n, part) >= min_share * n
+                        and decontam.common_subsequence(answer_masks, len(answer), part) >= min_answer * len(answer)):
+                    found.add((d, i))
+                    break
+    return found
+
+
+def leaks(spark, docs, items, **settings):
+    rows, table = (spark.createDataFrame(x, s) for x, s in ((docs, "doc_id long, text string"), (items, "item_id long, text string")))
+    return {(r["doc_id"], r["item_id"]) for r in decontam.find_leaks(rows, table, **settings).collect()}
+
+
+def test_long_items_are_found_where_all_windows_have_them(spark):
+    rng = random.Random(11)
+    items = [(i, filler(rng, rng.randint(200, 500))) for i in range(10)]
+    docs = []
+    for i, item in items:
+        words, around = item.split(), filler(rng, 300).split()
+        broken = [x for k, w in enumerate(words) for x in ([w, filler(rng, 2)] if k % 5 == 0 else [w])]
+        some = sorted(rng.sample(range(len(words)), int(.67 * len(words))))
+        docs += [(k + i, " ".join(around[:130] + part + around[130:])) for k, part in (
+            (0, words), (100, broken), (200, [words[k] for k in some]), (300, words[:len(words) // 3]))]
+    want = scan_all_windows(docs, items)
+    assert {(k + i, i) for i in range(10) for k in (0, 100, 200)} <= want
+    assert leaks(spark, docs, items) == want
+    assert leaks(spark, docs, [*items, (50, "a short item of few words")]) == want
