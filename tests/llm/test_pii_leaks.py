@@ -237,3 +237,24 @@ def test_long_items_are_found_where_all_windows_have_them(spark):
     assert {(k + i, i) for i in range(10) for k in (0, 100, 200)} <= want
     assert leaks(spark, docs, items) == want
     assert leaks(spark, docs, [*items, (50, "a short item of few words")]) == want
+
+
+def test_no_item_falls_out_of_the_space_of_many(spark):
+    """More items than the rank, of mixed length, against the checks on all windows."""
+    rng = random.Random(12)
+    common = filler(rng, 300).split()
+    items = [(i, " ".join(rng.choice(common) if rng.random() < .6 else filler(rng, 1) for _ in range(rng.randint(5, 60))))
+             for i in range(520)]
+    docs = []
+    for d in range(260):
+        words = [rng.choice(common) for _ in range(160)]
+        for at, (_, item) in zip((20, 90), rng.sample(items, 2)):
+            part = item.split()
+            part = part if rng.random() < .5 else [part[k] for k in sorted(rng.sample(range(len(part)), -(-2 * len(part) // 3)))]
+            words[at:at] = part
+        docs.append((d, " ".join(words)))
+    words = [{*decontam.plain_words(t)} for _, t in docs]
+    often = {w for w in {*common} if sum(w in x for x in words) > .1 * len(docs)}  # these alone are not enough
+    want = {(d, i) for d, i in scan_all_windows(docs, items) if words[d] & {*decontam.plain_words(items[i][1])} - often}
+    assert len(want) > 400
+    assert leaks(spark, docs, items) == want
