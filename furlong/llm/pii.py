@@ -7,9 +7,12 @@ check leaves out) occurs in lexical contexts: the word before, the two words
 before, the word after, the words on both sides.  Contexts are the patterns
 of a bipartite pattern-instance graph, which Spark scores in rounds:
 
-* a pattern's confidence for a kind is the mean score for that kind of the
-  distinct values met in it, seeds of other kinds counting as 0, and it needs
-  ``min_seeds`` distinct seed values of that kind;
+* a pattern's confidence for a kind is that kind's share of the scores of the
+  distinct values met in it, so it is lowered by seeds and trusted values of
+  other kinds.  What a value lacks of score 1 is no evidence against a kind and
+  counts ``unseen`` of a value, which only matters where such values are many.
+  A string counts once, whatever number of kinds it has the shape of.  The
+  pattern needs ``min_seeds`` distinct seed values of that kind;
 * a candidate's score is the noisy-or of the confidences of its patterns of
   at least ``trust``.
 
@@ -113,20 +116,23 @@ def _contexts(rows: DataFrame) -> DataFrame:
 
 
 def trusted_values(seeds: DataFrame, candidates: DataFrame, rounds: int = 3, min_seeds: int = 3, trust: float = 0.8,
-                   accept: float = 0.9) -> DataFrame:
+                   accept: float = 0.9, unseen: float = 0.1) -> DataFrame:
     """kind, value: the candidate values that the scored graph accepts."""
     instances = seeds.withColumn("seed", F.lit(True)).unionByName(candidates.withColumn("seed", F.lit(False)))
     edges = _contexts(instances).checkpoint()
-    met = edges.groupBy("context").agg(F.count_distinct("kind", "value").alias("n_values"))
+    met = edges.select("context", "value").distinct()
     score = edges.select("kind", "value", "seed").distinct().groupBy("kind", "value").agg(
         F.max(F.col("seed").cast("double")).alias("score"))
     pattern_edges = edges.where("not seed")
     for _ in range(rounds):
+        known = score.groupBy("value").agg(F.max("score").alias("known"))
+        weight = F.col("known") + F.lit(unseen) * (1 - F.col("known"))
+        evidence = met.join(known, "value").groupBy("context").agg(F.round(F.sum(weight), 9).alias("evidence"))
         confidence = (edges.join(score, ["kind", "value"]).groupBy("context", "kind")
                       .agg(F.round(F.sum("score"), 9).alias("total"),
                            F.count_distinct(F.when(F.col("seed"), F.col("value"))).alias("n_seeds"))
-                      .where(F.col("n_seeds") >= min_seeds).join(met, "context")
-                      .select("context", "kind", (F.col("total") / F.col("n_values")).alias("confidence"))
+                      .where(F.col("n_seeds") >= min_seeds).join(evidence, "context")
+                      .select("context", "kind", (F.col("total") / F.col("evidence")).alias("confidence"))
                       .where(F.col("confidence") >= trust))
         miss = F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-12))))
         found = (pattern_edges.join(confidence, ["context", "kind"]).groupBy("kind", "value")
@@ -148,7 +154,7 @@ def _spelled(spans: Column) -> Column:
 
 
 def find_identifiers(docs: DataFrame, rounds: int = 3, min_seeds: int = 3, trust: float = 0.8, accept: float = 0.9,
-                     id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+                     unseen: float = 0.1, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """``(base, added)``: doc_id, text_hash, kind, start, end, value of base spans and of discovered ones."""
     ensure_checkpoint_dir(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -161,7 +167,7 @@ def find_identifiers(docs: DataFrame, rounds: int = 3, min_seeds: int = 3, trust
                                         F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("text_hash") == F.col("t_hash")), "left")
     loose = loose.where(~F.coalesce(F.exists("taken", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start"))),
                                     F.lit(False))).select(base.columns).checkpoint()
-    values = trusted_values(base, loose, rounds, min_seeds, trust, accept)
+    values = trusted_values(base, loose, rounds, min_seeds, trust, accept, unseen)
     return base, loose.join(values, ["kind", "value"], "left_semi").select(base.columns)
 
 

@@ -258,3 +258,33 @@ def test_no_item_falls_out_of_the_space_of_many(spark):
     want = {(d, i) for d, i in scan_all_windows(docs, items) if words[d] & {*decontam.plain_words(items[i][1])} - often}
     assert len(want) > 400
     assert leaks(spark, docs, items) == want
+
+
+def test_unseen_identifiers_do_not_take_trust_from_their_context(spark):
+    """Half of a context's phones and a third of its cards are unseen; others are reached through these only."""
+    def luhn(n):
+        return next(f"{n}{c}" for c in range(10) if passes("card", f"{n}{c}"))
+
+    def spaced(card):
+        return " ".join(card[k:k + 4] for k in range(0, 16, 4))
+
+    texts = {i: f"please call hotline +1 (499) 555-{6000 + i} today thanks" for i in range(30)}
+    texts |= {100 + i: f"please call hotline 030 {1234000 + 7 * i} today thanks" for i in range(30)}
+    cards = [spaced(luhn(411111111111000 + i)) for i in range(20)]
+    texts |= {200 + i: f"paid with visa {c} on monday" for i, c in enumerate(cards)}
+    wrong = [c[:-1] + str((int(c[-1]) + 1) % 10) for c in cards[:10]]
+    texts |= {300 + i: f"paid with visa {c} on monday" for i, c in enumerate(wrong)}
+    # the next round: a context of three seeds and many that only the round before tells to be phones
+    texts |= {400 + i: f"ring desk +1 (499) 777-{6000 + i} for help" for i in range(3)}
+    texts |= {500 + i: f"ring desk 030 {1234000 + 7 * i} for help" for i in range(30)}
+    texts |= {600 + i: f"ring desk 040 {5234000 + 7 * i} for help" for i in range(10)}
+    # numbers of which next to nothing is known
+    texts |= {700 + i: f"in years +1 (499) 888-{6000 + i} of growth" for i in range(3)}
+    texts |= {800 + i: f"in years 1990 {1000 + i} of growth" for i in range(60)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = [{r["doc_id"]: r["spans"] for r in pii.identifier_report(docs, rounds=n).collect()} for n in (1, 3)]
+    for got in found:
+        assert all(got[100 + i] == "phone:20:31" for i in range(30))
+        assert all(got[300 + i] == "card:15:34" for i in range(10))
+        assert not any(got[800 + i] for i in range(60))
+    assert not any(found[0][600 + i] for i in range(10)) and all(found[1][600 + i] == "phone:10:21" for i in range(10))
