@@ -6,7 +6,7 @@ paragraphs, lane by lane, modulo a power of two:
 
 * ``wide``: 8 lanes modulo 2^32, hashed from the whole paragraph.  It decides
   equality: the same paragraphs in any order give the same vector.
-* ``near``: 126 lanes modulo 2^16.  A paragraph's vector is the sum of a 0/1
+* ``near``: 126 lanes modulo 2^32, of which 16 bits are spelled.  A paragraph's vector is the sum of a 0/1
   vector hashed from each of its sentences, so a paragraph that is edited in
   part keeps part of its vector.  With ``n``, the number of sentences, twice a
   lane less ``n`` is a sum of random signs, and the mean product of two
@@ -20,7 +20,8 @@ ranges of their ids, so that the next document is in the same partition; a
 range also gets the first document of the next one.  Everything after that
 (edited texts, exploded sentences, sums, the next document's vectors) stays
 in that partition.  Sentence vectors are summed three lanes to a long, 21 bits
-a lane, in blocks of 2^20 sentences, which cannot carry over.
+a lane, in blocks of 2^20 sentences, which cannot carry over; the upper and
+the lower bits of the blocks' lanes are then summed apart.
 
 Edge cases: a null text is the empty text, which has one empty paragraph; a
 null id comes before all ids; rows of one id are ordered by text and each has
@@ -37,10 +38,13 @@ from .ordering import with_next
 
 WIDE_SEEDS = (11, 12, 13, 14)    # two lanes of 32 bits each
 NEAR_SEEDS = (21, 22)            # 63 lanes of one bit each
-NEAR_BITS, NEAR_FIELD = 16, 21
+NEAR_BITS, NEAR_FIELD = 32, 21
+SPELLED_BITS = 16                # of a near lane
 FIELDS = 63 // NEAR_FIELD        # lanes summed in one long
 ONES = sum(1 << (NEAR_FIELD * f) for f in range(FIELDS))
-LOW = sum(((1 << NEAR_BITS) - 1) << (NEAR_FIELD * f) for f in range(FIELDS))
+LOW_BITS = 10                    # of a block's lane; its upper 11 and these leave room for 2^11 blocks
+LOW = sum(((1 << LOW_BITS) - 1) << (NEAR_FIELD * f) for f in range(FIELDS))
+HIGH = sum(((1 << (NEAR_FIELD - LOW_BITS)) - 1) << (NEAR_FIELD * f) for f in range(FIELDS))
 BLOCK = 20                       # sentences in a block, as a power of two
 SENTENCE_END = r"\n|(?<=[.!?]) "
 
@@ -74,17 +78,20 @@ SUMS = [f"s{i}" for i in range(N_WIDE + N_NEAR)]
 
 
 def _folded() -> list[Column]:
-    """Sums of the block sums, whose lanes are first taken modulo their powers."""
+    """Sums of the block sums, wide lanes modulo 2^32 and near ones in two parts."""
     wide = [F.sum(F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))).alias(c) for c in SUMS[:N_WIDE]]
-    return wide + [F.sum(F.col(c).bitwiseAND(F.lit(LOW))).alias(c) for c in SUMS[N_WIDE:]]
+    low = [F.sum(F.col(c).bitwiseAND(F.lit(LOW))).alias(c) for c in SUMS[N_WIDE:]]
+    high = [F.sum(F.shiftrightunsigned(c, LOW_BITS).bitwiseAND(F.lit(HIGH))).alias(f"{c}_high") for c in SUMS[N_WIDE:]]
+    return wide + low + high
 
 
 def _vectors() -> Column:
     """The struct (wide, near, n) of a row of sums."""
     wide = F.array(*[F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) for c in SUMS[:N_WIDE]])
-    low = F.lit((1 << NEAR_BITS) - 1).cast("long")
-    near = F.flatten(F.transform(F.array(*SUMS[N_WIDE:]), lambda x: F.array(
-        *[F.shiftrightunsigned(x, NEAR_FIELD * f).bitwiseAND(low).cast("int") for f in range(FIELDS)])))
+    field = F.lit((1 << NEAR_FIELD) - 1).cast("long")
+    near = F.flatten(F.zip_with(F.array(*SUMS[N_WIDE:]), F.array(*[f"{c}_high" for c in SUMS[N_WIDE:]]), lambda x, y: F.array(
+        *[F.shiftrightunsigned(x, NEAR_FIELD * f).bitwiseAND(field)
+          + F.shiftleft(F.shiftrightunsigned(y, NEAR_FIELD * f).bitwiseAND(field), LOW_BITS) for f in range(FIELDS)])))
     return F.struct(wide.alias("wide"), near.alias("near"), F.col("n").alias("n"))
 
 
@@ -115,16 +122,15 @@ def text_vector(text: Column) -> Column:
     wide = [lanes(lines, s, 32, i) for s in WIDE_SEEDS for i in range(2)]
     near = [lanes(sents, s, 1, i + NEAR_FIELD * f) for s in NEAR_SEEDS for i in range(NEAR_FIELD) for f in range(FIELDS)]
     return F.struct(F.array(*[w.bitwiseAND(F.lit(0xFFFFFFFF)) for w in wide]).alias("wide"),
-                    F.array(*[n.bitwiseAND(F.lit(0xFFFF)).cast("int") for n in near]).alias("near"),
+                    F.array(*[n.bitwiseAND(F.lit(0xFFFFFFFF)) for n in near]).alias("near"),
                     F.size(sents).cast("long").alias("n"))
 
 
 def _lanewise(a: Column, b: Column, sign: int) -> Column:
-    def lanes(name: str, bits: int, kind: str) -> Column:
-        return F.zip_with(a[name], b[name], lambda x, y: F.pmod(
-            x.cast("long") + sign * y.cast("long"), F.lit(1 << bits)).cast(kind)).alias(name)
+    def lanes(name: str, bits: int) -> Column:
+        return F.zip_with(a[name], b[name], lambda x, y: F.pmod(x + sign * y, F.lit(1 << bits))).alias(name)
 
-    return F.struct(lanes("wide", 32, "long"), lanes("near", NEAR_BITS, "int"), (a["n"] + sign * b["n"]).alias("n"))
+    return F.struct(lanes("wide", 32), lanes("near", NEAR_BITS), (a["n"] + sign * b["n"]).alias("n"))
 
 
 def add(a: Column, b: Column) -> Column:
@@ -138,16 +144,17 @@ def subtract(a: Column, b: Column) -> Column:
 
 
 def spelled(vector: Column) -> Column:
-    """A vector as text: its lanes in hex."""
+    """A vector as text: its lanes in hex, near ones modulo 2^16."""
     def hexed(lanes, digits):
         return F.array_join(F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), digits, "0")), "")
 
-    return F.concat(hexed(vector["wide"], 8), hexed(vector["near"], NEAR_BITS // 4))
+    near = F.transform(vector["near"], lambda x: x.bitwiseAND(F.lit((1 << SPELLED_BITS) - 1)))
+    return F.concat(hexed(vector["wide"], 8), hexed(near, SPELLED_BITS // 4))
 
 
 def _product(a: Column, b: Column) -> Column:
-    lanes = F.zip_with(a["near"], b["near"], lambda x, y: (2 * x - a["n"]) * (2 * y - b["n"]))
-    return F.aggregate(lanes, F.lit(0).cast("long"), lambda acc, x: acc + x)
+    lanes = F.zip_with(a["near"], b["near"], lambda x, y: (2 * x - a["n"]).cast("double") * (2 * y - b["n"]))
+    return F.aggregate(lanes, F.lit(0.0), lambda acc, x: acc + x)
 
 
 def likeness(a: Column, b: Column) -> Column:

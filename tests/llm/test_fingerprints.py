@@ -225,3 +225,24 @@ def test_line_query_equals_its_sql(spark, duck):
     columns, rows, _ = duck(queries.oracle_sql()["op4_line_dedup"])
     got = queries.op4_line_dedup(spark, SF01).select(*columns).collect()
     assert sorted(map(tuple, got)) == sorted(rows)
+
+
+def test_likeness_of_very_long_texts(spark):
+    """Beyond 2^17 sentences, and beyond a block of 2^20."""
+    def text(name, n):
+        return "\n".join(f"{name}{i}" for i in range(n))
+
+    n = 210_000
+    rows = [(1, text("a", n)), (2, text("b", n)), (3, text("a", n // 2) + "\n" + text("c", n // 2)), (4, text("d", 500)),
+            (5, "\n" * n), (6, "\n" * (n // 2) + text("e", n // 2)), (7, "\n" * 2_200_000)]
+    docs = spark.createDataFrame(rows, "k int, text string").repartition(7)
+    got = fingerprint.vectors(docs, ["k"], ["text"]).select("k", "vector").cache()
+    a, b = (got.select(F.col("k").alias(k), F.col("vector").alias(v)) for k, v in (("x", "v"), ("y", "w")))
+    like = {(r["x"], r["y"]): r["z"] for r in a.join(b, F.col("x") <= F.col("y")).select(
+        "x", "y", fingerprint.likeness(F.col("v"), F.col("w")).alias("z")).collect()}
+    assert all(like[k, k] == 1 for k in range(1, 8))
+    assert like[1, 2] < .35 and like[1, 4] < .35 and like[2, 3] < .35  # noise of 126 lanes
+    assert .25 < like[1, 3] < .75
+    assert .6 < like[5, 6] < .95  # 2 pq / (pp + qq) with half of the repeats
+    v = {r["k"]: r["vector"] for r in got.where("k in (5, 7)").collect()}
+    assert all(x in (0, 2_200_001) for x in v[7]["near"]) and [x > 0 for x in v[5]["near"]] == [x > 0 for x in v[7]["near"]]
