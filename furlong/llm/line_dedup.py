@@ -2,8 +2,9 @@
 
 A line is a copy of another if both are the same string, or if both have at
 least ``min_words`` words and one word inserted, deleted or replaced makes one
-the other (an edit bound of one word: at five words or more, a similarity of
-0.8 or more).  Of all occurrences of lines, in the order of document id and
+the other.  The bound is one word at every length, so it is a similarity of
+0.8 at five words and of 0.99 at a hundred: long lines that differ in two
+words both stay.  Of all occurrences of lines, in the order of document id and
 line number, one is dropped if the same line or a line within the bound occurs
 before it.  Blank lines (empty or spaces only) are layout and stay.
 
