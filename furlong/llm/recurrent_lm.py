@@ -343,6 +343,11 @@ def _trained(rows: DataFrame, settings: Settings, weights: np.ndarray, rate: flo
     return (out[:-1] / out[-1]).astype(np.float32)
 
 
+def warm_rows(learned: DataFrame, share: int) -> DataFrame:
+    """One of about ``share`` rows, in row order in one task; all tasks scan, and only these rows move."""
+    return learned.where(F.pmod(F.xxhash64("row"), F.lit(share)) == 0).repartition(1).sortWithinPartitions("row")
+
+
 def score_documents(docs: DataFrame, folder: str, settings: Settings = Settings(), held: Column | None = None,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score: one row per row of ``docs``.
@@ -370,8 +375,7 @@ def score_documents(docs: DataFrame, folder: str, settings: Settings = Settings(
     net.start(vocabulary.counts)
     if vocabulary.n_train:
         share = max(1, round(vocabulary.n_train / settings.warm_tokens))
-        warm = learned.where(F.pmod(F.xxhash64("row"), F.lit(share)) == 0).coalesce(1)
-        net = Net(settings, _trained(warm, settings, net.weights, settings.warm_rate))
+        net = Net(settings, _trained(warm_rows(learned, share), settings, net.weights, settings.warm_rate))
         net = Net(settings, _trained(learned, settings, net.weights, settings.rate))
     denominator = float(vocabulary.n_train + vocabulary.n_types + 1)
     weights, base = net.weights, np.log10((vocabulary.counts + 1) / denominator)

@@ -162,3 +162,13 @@ def test_training_gradient_equals_differences():
 def test_the_model_beats_the_counts_on_held_out_documents(spark):
     rows = queries.op8_language_model(spark, SF01).where("held_out").collect()
     assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
+def test_the_warm_start_scans_in_all_tasks(spark):
+    rows = spark.range(0, 1000, 1, 8).withColumnRenamed("id", "row")
+    warm = R.warm_rows(rows, 10)
+    got = warm.mapInArrow(lambda batches: batches, "row long").collect()
+    assert [r["row"] for r in got] == sorted(r["row"] for r in got) and 50 < len(got) < 200
+    assert warm.rdd.getNumPartitions() == 1
+    plan = warm._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.index("Filter") and "Coalesce" not in plan  # the filter runs before the rows move
