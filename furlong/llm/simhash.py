@@ -15,7 +15,9 @@ are linked through the bit patterns within d / 2 bits of each of them: two
 fingerprints at distance d or less have such a pattern in common, and any two
 that share one are at distance d or less.  Each pattern's members link to its
 least one, so a dense group costs rows in proportion to its size, not its
-square, and no link between different texts is lost.
+square, and no link between different texts is lost.  For an odd d a pattern's
+members are within (d + 1) / 2 bits and link to its least one within
+(d - 1) / 2, which are at distance d or less as well.
 
 Equal fingerprints are one node, so exact copies meet in an aggregate only.
 Components come from star steps (``components``).
@@ -154,15 +156,19 @@ def _retained(batches: Iterator[pa.RecordBatch], max_bits: int, list_limit: int)
         yield from pairs(open_choice, open_key, open_fp)
 
 
-def _patterns(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    flips = np.array([sum(1 << p for p in c) for r in range(radius + 1) for c in combinations(range(64), r)], np.uint64)
+def _patterns(batches: Iterator[pa.RecordBatch], inner: int, outer: int) -> Iterator[pa.RecordBatch]:
+    """The patterns within ``outer`` bits of each fingerprint; ``core`` is the fingerprint within ``inner`` bits, else null."""
+    flips = np.array([sum(1 << p for p in c) for r in range(outer + 1) for c in combinations(range(64), r)], np.uint64)
+    within = np.bitwise_count(flips) <= inner
+    step = max(1, (1 << 17) // len(flips))
     for batch in batches:
         fps = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-        for at in range(0, len(fps), 64):
-            part = fps[at:at + 64]
+        for at in range(0, len(fps), step):
+            part = fps[at:at + step]
             around = (part[:, None] ^ flips[None, :]).ravel().view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(around), pa.array(np.repeat(part, len(flips)).view(np.int64))],
-                                             ["pattern", "fp"])
+            fp = np.repeat(part, len(flips)).view(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(around), pa.array(fp), pa.array(fp, mask=np.tile(~within, len(part)))], ["pattern", "fp", "core"])
 
 
 def links(fps: DataFrame, max_bits: int = 4, list_limit: int = 256) -> DataFrame:
@@ -179,9 +185,11 @@ def links(fps: DataFrame, max_bits: int = 4, list_limit: int = 256) -> DataFrame
     dense = met.where("b is null").select(F.col("a").alias("fp"))
     if dense.isEmpty():
         return found
-    near = dense.distinct().mapInArrow(lambda it: _patterns(it, max_bits // 2), "pattern long, fp long")
+    inner, outer = max_bits // 2, -(-max_bits // 2)
+    near = dense.distinct().mapInArrow(lambda it: _patterns(it, inner, outer), "pattern long, fp long, core long")
     near = near.checkpoint()
-    least = near.groupBy("pattern").agg(F.min("fp").alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    least = (near.groupBy("pattern").agg(F.min("core").alias("m"), F.count(F.lit(1)).alias("n"))
+             .where("n > 1 and m is not null"))
     through = near.join(least, "pattern").where("fp <> m").select(F.col("fp").alias("a"), F.col("m").alias("b"))
     return found.union(through.distinct())
 

@@ -246,3 +246,16 @@ def test_likeness_of_very_long_texts(spark):
     assert .6 < like[5, 6] < .95  # 2 pq / (pp + qq) with half of the repeats
     v = {r["k"]: r["vector"] for r in got.where("k in (5, 7)").collect()}
     assert all(x in (0, 2_200_001) for x in v[7]["near"]) and [x > 0 for x in v[5]["near"]] == [x > 0 for x in v[7]["near"]]
+
+
+@pytest.mark.parametrize("limit", [8, 100000])
+def test_dense_groups_lose_no_link_of_an_odd_distance(spark, limit):
+    rng = np.random.default_rng(1)
+    fps = set()
+    for centre in rng.integers(0, 1 << 62, 6).tolist():  # one is 5 bits from each of the eight, in long lists only
+        group = [centre ^ (1 << k) for k in range(8)]
+        fps |= {*group, centre ^ sum(1 << b for b in (40, 48, 56, 57)), centre ^ sum(1 << b for b in (20, 28, 33, 41, 50))}
+    fps = sorted(np.array(sorted(fps), np.uint64).view(np.int64).tolist())
+    df = spark.createDataFrame([(x,) for x in fps], "fp long").repartition(3)
+    got = {r["node"]: r["root"] for r in connected_components(simhash.links(df, 5, limit)).collect()}
+    assert [got.get(x, x) for x in fps] == brute_components(np.array(fps).view(np.uint64), fps, 5)
