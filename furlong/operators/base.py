@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import CENTRAL_PLACES, HORSE_INPUT_COLUMNS, RACE_INPUT_COLUMNS
@@ -36,6 +36,13 @@ def central_filter(df: DataFrame, places: Sequence[str] = CENTRAL_PLACES) -> Dat
     return df.where(X.central_place("held_place", places))
 
 
+def horse_slot(runs: DataFrame) -> Column:
+    """One number per horse id; runs without an id get one from what else is known of them."""
+    others = [c for c in ("race_id", "held_date", "jockey_names", "trainer_names", "horse_owners", "held_place",
+                          "goal_times", "arrival_orders") if c in runs.columns]
+    return F.when(F.col("horse_id").isNull(), F.xxhash64(*others)).otherwise(F.xxhash64("horse_id"))
+
+
 def attach_horses(runs: DataFrame, horses: DataFrame, columns: Sequence[str] = (),
                   check_unique: bool = True, max_rows_per_horse: int = 2_000_000) -> DataFrame:
     """LEFT JOIN runs to horses USING (horse_id), keeping ``columns`` of the horse side.
@@ -68,12 +75,11 @@ def attach_horses(runs: DataFrame, horses: DataFrame, columns: Sequence[str] = (
 
 def base_features(races: DataFrame, horses: DataFrame | None = None,
                   places: Sequence[str] = CENTRAL_PLACES, lenient: bool = False,
-                  check_horses: bool = True, partition_by: str | None = None) -> DataFrame:
+                  check_horses: bool = True, partition_by: str | None = None, slot: str | None = None) -> DataFrame:
     """The 26 typed base columns of every central run.
 
-    Every expression reads the *source* columns (``held_date`` and
-    ``course_length`` are both re-used and re-defined), so this is one single
-    ``select``.  The script's horse join selects no horse column; with a
+    One select parses each source column once; a second one divides the parsed
+    numbers.  The script's horse join selects no horse column; with a
     unique dimension it changes nothing.  So it is not run; when ``horses`` is
     given, its uniqueness is checked.
 
@@ -81,32 +87,43 @@ def base_features(races: DataFrame, horses: DataFrame | None = None,
     parsing projection.  The feature windows need exactly that exchange, so
     it costs nothing extra, and the regex and cast work then runs in the
     post-shuffle tasks -- all cores busy even when the scan yields few splits.
+    With ``slot`` they are dealt by a column of that name instead, which the
+    result keeps last: a hash of the horse id, or of the run where there is none,
+    so that runs without an id spread over all tasks.
     """
     runs = central_filter(race_projection(races), places)
     if horses is not None and check_horses:
         assert_unique(horse_projection(horses).select("horse_id"), ["horse_id"], "horses")
     if partition_by is not None:
-        runs = runs.repartition(partition_by)
-    hd = F.col("held_date")
-    return runs.select(
-        "race_id", "horse_id", "held_place", "weather", "jockey_names", "trainer_names",
-        "horse_owners", "course_type", "course_condition", "course_direction", "race_number",
-        X.held_month(hd).alias("held_month"),
-        X.held_day_of_week(hd, lenient).alias("held_day_of_week"),
-        X.length_band("course_length").alias("course_length_category"),
-        X.parse_held_date(hd, lenient).alias("held_date"),
+        runs = runs.repartition(partition_by) if slot is None else runs.withColumn(slot, horse_slot(runs)).repartition(slot)
+    texts = {c for c, t in runs.dtypes if t == "string"}
+
+    def number(name):
+        return X.to_double(name, lenient) if name in texts else F.col(name).cast("double")
+
+    numbers = ("jockey_weights", "half_times", "horse_weights", "horse_weight_diffs", "course_length")
+    kept = ["race_id", "horse_id", "held_place", "weather", "jockey_names", "trainer_names", "horse_owners",
+            "course_type", "course_condition", "course_direction", "race_number"]
+    slots = [] if slot is None else [slot]
+    held, date = F.col("held_date"), X.parse_held_date("held_date", lenient)
+    parsed = runs.select(
+        *kept, *slots,
+        X.held_month(held, date).alias("held_month"),
+        X.held_day_of_week(held, lenient, date).alias("held_day_of_week"),
+        date.alias("held_date"),
         X.to_long("horse_ages", lenient).alias("horse_ages"),
-        X.to_double("jockey_weights", lenient).alias("jockey_weights"),
         X.parse_clock("goal_times", lenient).alias("goal_times"),
-        X.to_double("half_times", lenient).alias("half_times"),
-        X.to_double("horse_weights", lenient).alias("horse_weights"),
-        X.to_double("horse_weight_diffs", lenient).alias("horse_weight_diffs"),
-        X.to_double("course_length", lenient).alias("course_length"),
-        X.weight_ratio("jockey_weights", "horse_weights", lenient).alias("weight_ratio"),
-        X.avg_velocity("course_length", "goal_times", lenient).alias("avg_velocity"),
-        X.avg_half_velocity("course_length", "half_times", lenient).alias("avg_half_velocity"),
-        X.safe_to_long("arrival_orders").alias("arrival_orders"),
-    )
+        *[number(c).alias(c) for c in numbers],
+        X.length_band("course_length").alias("course_length_category"),
+        X.safe_to_long("arrival_orders").alias("arrival_orders"))
+    return parsed.select(
+        *kept, "held_month", "held_day_of_week",
+        "course_length_category", "held_date", "horse_ages", "jockey_weights", "goal_times", "half_times",
+        "horse_weights", "horse_weight_diffs", "course_length",
+        X.divide(F.col("jockey_weights"), F.col("horse_weights"), lenient).alias("weight_ratio"),
+        X.divide(F.col("course_length"), F.col("goal_times"), lenient).alias("avg_velocity"),
+        X.divide(F.col("course_length") / F.lit(2), F.col("half_times"), lenient).alias("avg_half_velocity"),
+        "arrival_orders", *slots)
 
 
 def categorical_features(races: DataFrame, horses: DataFrame,

@@ -11,22 +11,23 @@ are not output.
 1. ``count`` per horse with partial aggregation finds the hot horses (more
    than ``max_rows_per_horse`` runs).  If there is none, the plain plan runs.
    Their ids are broadcast only when their measured bytes are under a limit;
-   beyond it, all runs take the chunked path, which is right for any horse.
-2. Runs without a horse id have NULL features by the join mask and sit in no
-   other run's frame, so they need no window and no shuffle at all.
-3. The hot runs are range-partitioned by (horse, date, race id, tie) and
-   checkpointed with their partition as chunk and a row number, so a
+   beyond it, all runs with an id take the chunked path, which is right for
+   any horse.
+2. The hot runs are range-partitioned by (horse, date, race id, tie) and
+   written to the shared folder with their partition as chunk and a row number, so a
    recomputed stage cannot move a boundary.  A chunk is bounded by about
    ``chunk_rows`` (Spark's sampling keeps ranges near their mean) unless runs
    are equal in every column.
-4. Tails: per chunk and group value, the last ``K`` runs.  The last ``K`` runs
+3. Tails: per chunk and group value, the last ``K`` runs, found where the chunk
+   lies (a limited rank needs no shuffle of the runs).  The last ``K`` runs
    of a (horse, value) before a chunk are always among the tails of earlier
    chunks; walking the tails in run order, a tail row is sent to the chunks
    that begin within its next ``K`` tail rows (one window with a bounded
    frame, at most ``K`` copies per row; no join, no chunk pairs).  Context
-   rows are made unique by their row number.
-5. One pass of ``race_features`` over real and context rows, partitioned by
-   (horse, chunk).  Context rows of another group never reach a frame of
+   rows are made unique by their row number and hold only what frames read.
+4. One pass of ``race_features`` over all runs, hot ones in their chunks with
+   their context rows, the others in a chunk of their own: one exchange and
+   one plan for both.  Context rows of another group never reach a frame of
    length <= K (at least K rows of that group sit between them and the chunk),
    so one shared context set per chunk is exact.
 """
@@ -40,8 +41,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import GROUPS, LENGTHS, METRICS
-from ..session import ensure_checkpoint_dir
-from .trailing import TIE, feature_names, race_features, run_order, using_join_order, with_tie
+from ..session import scratch_dir
+from .trailing import ORDER_COLUMNS, TIE, feature_names, race_features, run_order, with_tie
 
 CHUNK, CONTEXT, ROW = "_chunk", "_context", "_row"
 
@@ -57,7 +58,7 @@ def _group_value(g: str | None) -> Column:
 
 def hot_runs(base: DataFrame, max_rows_per_horse: int,
              broadcast_limit_bytes: int = 64 << 20) -> tuple[DataFrame | None, DataFrame, int]:
-    """``(hot, other, number of hot runs)`` of runs with a horse id; hot is None when no horse is."""
+    """``(hot, other, number of hot runs)``; hot is None when no horse is."""
     load = horse_load(base).where(F.col("horse_id").isNotNull())
     hot = load.where(F.col("n_runs") > max_rows_per_horse)
     size = hot.agg(F.coalesce(F.sum("n_runs"), F.lit(0)).alias("runs"),
@@ -65,54 +66,49 @@ def hot_runs(base: DataFrame, max_rows_per_horse: int,
     if not size["runs"]:
         return None, base, 0
     if size["bytes"] > broadcast_limit_bytes:
-        return base, base.limit(0), load.agg(F.sum("n_runs")).first()[0]
+        keyed = F.col("horse_id").isNotNull()
+        return base.where(keyed), base.where(~keyed), load.agg(F.sum("n_runs")).first()[0]
     ids = F.broadcast(hot.select("horse_id"))
     return base.join(ids, "horse_id", "left_semi"), base.join(ids, "horse_id", "left_anti"), size["runs"]
 
 
 def assign_chunks(hot: DataFrame, n_runs: int, chunk_rows: int) -> DataFrame:
-    """``hot`` with the columns TIE, CHUNK (ascending in run order within a horse) and ROW, checkpointed."""
-    ensure_checkpoint_dir(hot.sparkSession)
+    """``hot`` with the columns TIE, CHUNK (ascending in run order within a horse) and ROW, from a written table.
+
+    A table and not a checkpoint: a checkpoint keeps what Spark inferred of its columns, and a hash of all
+    of them makes that inference grow with the power set of the columns wherever they are renamed.
+    """
+    folder = scratch_dir(hot.sparkSession, "hot-runs")
     n = max(1, math.ceil(n_runs / chunk_rows))
     dealt = with_tie(hot).repartitionByRange(n, F.col("horse_id"), *run_order())
-    return dealt.withColumn(CHUNK, F.spark_partition_id()).withColumn(ROW, F.monotonically_increasing_id()).checkpoint()
+    dealt = dealt.withColumn(CHUNK, F.spark_partition_id()).withColumn(ROW, F.monotonically_increasing_id())
+    dealt.write.parquet(folder)
+    return hot.sparkSession.read.parquet(folder)
 
 
-def context_rows(tagged: DataFrame, groups: Sequence[str | None], k_max: int) -> DataFrame:
-    """For every chunk, the earlier runs its frames can reach (see module doc, step 4)."""
-    columns = [c for c in tagged.columns if c != CHUNK]
-    latest = [F.col(c).desc_nulls_last() for c in ("held_date", "race_id", TIE, ROW)]
-    n = max(1, int(tagged.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    rows = tagged.repartition(n, "horse_id", CHUNK)
+def context_rows(tagged: DataFrame, groups: Sequence[str | None], k_max: int,
+                 metrics: Sequence[str] = METRICS) -> DataFrame:
+    """For every chunk, the earlier runs its frames can reach (see module doc, step 3)."""
+    needed = list(dict.fromkeys(["horse_id", *ORDER_COLUMNS, TIE, ROW, *[g for g in groups if g], *metrics]))
+    needed = [c for c in needed if c in tagged.columns]
     marks = []
     for i, g in enumerate(groups):
-        parts = ["horse_id", CHUNK] + ([g] if g else [])
-        rank = F.row_number().over(Window.partitionBy(*parts).orderBy(*latest))
-        keep = (rank <= k_max) if g is None else ((rank <= k_max) & F.col(g).isNotNull())
-        marks.append(F.when(keep, F.struct(F.lit(i).alias("_g"), _group_value(g).alias("_v"))))
-    tails = (rows.select(*columns, CHUNK, F.array(*marks).alias("_marks"))
-             .select(*columns, CHUNK, F.explode(F.array_compact("_marks")).alias("_m"))
-             .select(*columns, CHUNK, "_m.*"))
+        mark = F.struct(F.lit(i).alias("_g"), _group_value(g).alias("_v"))
+        marks.append(mark if g is None else F.when(F.col(g).isNotNull(), mark))
+    rows = (tagged.select(*needed, CHUNK, F.explode(F.array_compact(F.array(*marks))).alias("_m"))
+            .select(*needed, CHUNK, "_m.*"))
+    latest = [F.col(c).desc_nulls_last() for c in (*ORDER_COLUMNS, TIE, ROW)]
+    rank = F.row_number().over(Window.partitionBy("horse_id", CHUNK, "_g", "_v").orderBy(*latest))
+    tails = rows.withColumn("_rank", rank).where(F.col("_rank") <= k_max).drop("_rank")
     w = Window.partitionBy("horse_id", "_g", "_v").orderBy(F.col(CHUNK), *run_order(), F.col(ROW))
     begins = F.coalesce(F.lag(CHUNK, 1).over(w) != F.col(CHUNK), F.lit(True))
     targets = F.collect_list(F.when(F.col("_begins"), F.col(CHUNK))).over(w.rowsBetween(1, k_max))
     # A tail row is needed by every chunk whose first tail row is among its next K.
-    return (tails.withColumn("_begins", begins).select(*columns, CHUNK, targets.alias("_targets"))
-            .select(*columns, F.col(CHUNK).alias("_from"), F.explode("_targets").alias(CHUNK))
+    return (tails.withColumn("_begins", begins).select(*needed, CHUNK, targets.alias("_targets"))
+            .select(*needed, F.col(CHUNK).alias("_from"), F.explode("_targets").alias(CHUNK))
             .where(F.col("_from") != F.col(CHUNK)).drop("_from").dropDuplicates([ROW, CHUNK]))
 
 
-def chunked_race_features(hot: DataFrame, n_runs: int, chunk_rows: int, groups: Sequence[str | None] = GROUPS,
-                          lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
-                          frame: str = "trailing", check_keys: bool = True) -> DataFrame:
-    """``race_features`` of hot horses' runs, one window partition per (horse, chunk)."""
-    tagged = assign_chunks(hot, n_runs, chunk_rows)
-    context = context_rows(tagged, groups, max(lengths)).withColumn(CONTEXT, F.lit(True))
-    both = tagged.withColumn(CONTEXT, F.lit(False)).unionByName(context)
-    out = race_features(both, groups, lengths, metrics, frame, check_keys, extra_partition=[CHUNK])
-    return out.where(~F.col(CONTEXT)).drop(CHUNK, CONTEXT, ROW)
-
-
 def race_features_skew_safe(base: DataFrame, groups: Sequence[str | None] = GROUPS,
                             lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
                             frame: str = "trailing", check_keys: bool = True,
@@ -120,24 +116,19 @@ def race_features_skew_safe(base: DataFrame, groups: Sequence[str | None] = GROU
                             broadcast_limit_bytes: int = 64 << 20, by_horse: DataFrame | None = None) -> DataFrame:
     """``race_features`` with hot horses split into parallel chunks (see module doc).
 
-    ``by_horse`` may give the rows of ``base`` dealt by ``horse_id`` already;
-    the plain plan then starts from it.
+    ``by_horse`` may give the rows of ``base`` dealt by ``SLOT`` already; the
+    plain plan then starts from it.
     """
     hot, other, n_runs = hot_runs(base, max_rows_per_horse, broadcast_limit_bytes)
     if hot is None:
-        rows = base if by_horse is None else by_horse
-        keyed = race_features(rows.where(F.col("horse_id").isNotNull()), groups, lengths, metrics, frame, check_keys,
-                              dealt=by_horse is not None)
-    else:
-        hot = hot.where(F.col("horse_id").isNotNull())
-        keyed = chunked_race_features(hot, n_runs, chunk_rows or max_rows_per_horse, groups, lengths, metrics, frame,
-                                      check_keys)
-        other = other.where(F.col("horse_id").isNotNull())
-        keyed = keyed.unionByName(race_features(other, groups, lengths, metrics, frame, check_keys))
-    names = feature_names(groups, lengths, metrics)
-    unkeyed = base.where(F.col("horse_id").isNull()).select(
-        *using_join_order(base.columns, groups), *[F.lit(None).cast("double").alias(n) for n in names])
-    return keyed.unionByName(unkeyed)
+        return race_features(base if by_horse is None else by_horse, groups, lengths, metrics, frame, check_keys)
+    tagged = assign_chunks(hot, n_runs, chunk_rows or max_rows_per_horse)
+    context = context_rows(tagged, groups, max(lengths), metrics).withColumn(CONTEXT, F.lit(True))
+    runs = (with_tie(other, check_keys).withColumns({CHUNK: F.lit(-1), CONTEXT: F.lit(False)})
+            .unionByName(tagged.drop(ROW).withColumn(CONTEXT, F.lit(False)))
+            .unionByName(context.drop(ROW), allowMissingColumns=True))
+    out = race_features(runs, groups, lengths, metrics, frame, check_keys, extra_partition=[CHUNK])
+    return out.where(~F.col(CONTEXT)).drop(CHUNK, CONTEXT)
 
 
 def trailing_average(base: DataFrame, group: str | None = None, lengths: Sequence[int] = LENGTHS,

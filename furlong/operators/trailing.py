@@ -8,20 +8,21 @@ run key.
 
 Here the features are computed directly on the base table:
 
-* every grouping refines ``horse_id``, so one hash exchange on ``horse_id``
-  serves all eleven window specs (the 33 self-joins and their 33+
-  exchanges are gone);
-* a window only fetches the metrics of the five runs before a run (``lag``);
-  the averages of the last 1, 3 and 5 of them are plain arithmetic after it,
-  added oldest first like a sliding frame would;
+* every grouping refines ``horse_id``, so one hash exchange on the horse's slot
+  (a hash of its id) serves all eleven window specs (the 33 self-joins and
+  their 33+ exchanges are gone); runs without a horse id, whose features are
+  NULL, have slots of their own and spread over all tasks of the same exchange;
+* a feature is one ``avg`` over a sliding frame, the previous run's value one
+  ``lag``: 165 small expressions in two selects, so the plan is built quickly;
 * the join's NULL semantics are kept with a mask: a run whose key or group
   value is NULL gets NULL features, exactly as an unmatched LEFT JOIN row;
 * duplicate run keys, which would multiply rows in the join form, raise an
-  error, checked with a ``lag`` inside the same window pass (no extra job) by
-  a row filter, so it also runs when no key column is read.
+  error, checked with a ``lag`` in the first group's window (no extra window or
+  job) and a row filter after it, so it also runs when no key column is read.
 
-Runs are ordered by date and race id; runs equal in both (a missing race id)
-are ordered by a hash of all their columns, so results are repeatable.
+Runs are ordered by date and race id; runs that these do not decide (a missing
+date or race id) are ordered by a hash of all their columns, so results are
+repeatable.
 
 ``frame="trailing"`` (default) averages rows ``k PRECEDING .. 1 PRECEDING``.
 ``frame="as_written"`` reproduces the script literally: its 3- and 5-run
@@ -36,12 +37,13 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..constants import FEATURE_NAME, GROUP_FEATURE_NAME, GROUPS, LENGTHS, METRICS, RUN_KEY
+from .base import horse_slot
 from .checks import adjacent_duplicate
 
 FRAMES = ("trailing", "as_written")
 ORDER_COLUMNS = ("held_date", "race_id")
-TIE = "_tie"                     # orders runs that are equal in both
-METRIC_VALUES = "_metrics"       # the metrics of a run as one struct of doubles
+TIE = "_tie"                     # orders runs that these do not decide
+SLOT = "_slot"                   # what runs are dealt by, see base.horse_slot
 
 
 def feature_name(group: str | None, k: int, metric: str) -> str:
@@ -61,9 +63,16 @@ def join_keys(group: str | None) -> list[str]:
     return ["race_id", "horse_id"] + ([group] if group else []) + ["held_date"]
 
 
-def with_tie(base: DataFrame) -> DataFrame:
-    """``base`` with the column that orders runs of one date and race id."""
-    return base.withColumn(TIE, F.xxhash64(*base.columns))
+def with_tie(base: DataFrame, unique_keys: bool = False) -> DataFrame:
+    """``base`` with the column that orders runs of one date and race id.
+
+    With ``unique_keys`` only runs without a date or race id need it; others have NULL.
+    """
+    tie = F.xxhash64(*[c for c in base.columns if c != SLOT])
+    undecided = F.lit(not unique_keys)
+    for c in ORDER_COLUMNS:
+        undecided = undecided | F.col(c).isNull()
+    return base.withColumn(TIE, F.when(undecided, tie))
 
 
 def run_order() -> list[Column]:
@@ -72,7 +81,7 @@ def run_order() -> list[Column]:
 
 def run_window(group: str | None, extra_partition: Sequence[str] = ()) -> WindowSpec:
     """Runs of one horse (and group), oldest first."""
-    parts = ["horse_id", *extra_partition] + ([group] if group else [])
+    parts = [*extra_partition, "horse_id"] + ([group] if group else [])
     return Window.partitionBy(*parts).orderBy(*run_order())
 
 
@@ -84,38 +93,24 @@ def key_mask(group: str | None) -> Column:
     return cond
 
 
-def _average(runs: Sequence[Column], metric: str) -> Column:
-    """The mean of a metric over ``runs`` (oldest first) that have it."""
-    values = [r[metric] for r in runs]
-    total = n = None
-    for v in values:
-        x, one = F.coalesce(v, F.lit(0.0)), F.when(v.isNotNull(), 1).otherwise(0)
-        total, n = (x, one) if total is None else (total + x, n + one)
-    return F.when(n > 0, total / n)
-
-
-def with_trailing(df: DataFrame, group: str | None, lengths: Sequence[int] = LENGTHS,
-                  metrics: Sequence[str] = METRICS, frame: str = "trailing",
-                  extra_partition: Sequence[str] = ()) -> DataFrame:
-    """``df`` with the ``len(lengths) * len(metrics)`` feature columns of one group block.
-
-    ``df`` has the columns ``TIE`` and ``METRIC_VALUES``.
-    """
+def trailing_columns(group: str | None, lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
+                     frame: str = "trailing", extra_partition: Sequence[str] = ()) -> list[Column]:
+    """The ``len(lengths) * len(metrics)`` feature columns of one group block."""
     if frame not in FRAMES:
         raise ValueError(f"frame must be one of {FRAMES}, got {frame!r}")
     w = run_window(group, extra_partition)
-    # As written, frames longer than one run start after their end and are empty.
-    used = [k for k in lengths if frame == "trailing" or k == 1]
-    before = {j: f"_before_{j}" for j in range(1, max(used, default=0) + 1)}
-    windowed = df.select("*", *[F.lag(METRIC_VALUES, j).over(w).alias(c) for j, c in before.items()])
     mask = key_mask(group)
-    features = []
+    columns = []
     for k in lengths:
-        runs = [F.col(before[j]) for j in range(k, 0, -1)] if k in used else []
         for m in metrics:
-            value = F.when(mask, _average(runs, m)) if runs else F.lit(None).cast("double")
-            features.append(value.alias(feature_name(group, k, m)))
-    return windowed.select(*df.columns, *features)
+            if frame == "as_written" and k != 1:  # a frame that starts after its end is empty
+                value = F.lit(None).cast("double")
+            elif k == 1:
+                value = F.when(mask, F.lag(F.col(m).cast("double"), 1).over(w))
+            else:
+                value = F.when(mask, F.avg(m).over(w.rowsBetween(-k, -1)))
+            columns.append(value.alias(feature_name(group, k, m)))
+    return columns
 
 
 def using_join_order(base_columns: Sequence[str], groups: Sequence[str | None]) -> list[str]:
@@ -134,24 +129,32 @@ def using_join_order(base_columns: Sequence[str], groups: Sequence[str | None])
 def race_features(base: DataFrame, groups: Sequence[str | None] = GROUPS,
                   lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
                   frame: str = "trailing", check_keys: bool = True,
-                  extra_partition: Sequence[str] = (), dealt: bool = False) -> DataFrame:
+                  extra_partition: Sequence[str] = ()) -> DataFrame:
     """Base columns plus every feature block, in the script's output order.
 
-    One shuffle: ``repartition("horse_id")`` (AQE may coalesce it), which is
-    left out if ``base`` is ``dealt`` that way, and then one sort + Window per
-    group spec inside each partition.
-    ``extra_partition`` adds partition columns to every window (used by the
-    skew path, where a hot horse is split into chunks).
+    One shuffle, by ``SLOT`` (AQE may coalesce it), which is left out if
+    ``base`` has that column and so is dealt by it already, and then one sort +
+    Window per group spec inside each partition.
+    ``extra_partition`` adds partition columns to every window and the shuffle
+    (used by the skew path, where a hot horse is split into chunks).
     """
-    columns = [c for c in base.columns if c != TIE]
-    df = base if TIE in base.columns else with_tie(base)
-    values = F.struct(*[F.col(m).cast("double").alias(m) for m in metrics])
-    df = (df if dealt else df.repartition("horse_id", *extra_partition)).withColumn(METRIC_VALUES, values)
+    columns = [c for c in base.columns if c not in (TIE, SLOT)]
+    dealt = SLOT in base.columns and not extra_partition
+    df = base if SLOT in base.columns else base.withColumn(SLOT, horse_slot(base))
+    df = df if TIE in df.columns else with_tie(df, check_keys)
+    if not dealt:
+        df = df.repartition(SLOT, *extra_partition)
+    parts = [SLOT, *extra_partition]
+
+    def block(g):
+        return trailing_columns(g, lengths, metrics, frame, parts)
+
+    groups = list(groups)
+    checked = groups[:1] if check_keys else []
     if check_keys:
+        repeated = adjacent_duplicate(list(RUN_KEY), run_window(None, parts)).alias("_repeated")
         message = f"duplicate run key {RUN_KEY}: the re-attach join would multiply rows"
-        repeated = adjacent_duplicate(list(RUN_KEY), run_window(None, extra_partition))
-        df = df.withColumn("_repeated", repeated).where(F.assert_true(~F.col("_repeated"), message).isNull())
-        df = df.drop("_repeated")
-    for g in groups:
-        df = with_trailing(df, g, lengths, metrics, frame, extra_partition)
-    return df.select(*using_join_order(columns, groups), *feature_names(groups, lengths, metrics))
+        df = df.select("*", repeated, *[c for g in checked for c in block(g)])
+        df = df.where(F.assert_true(~F.col("_repeated"), message).isNull())
+    return df.select(*using_join_order(columns, groups), *feature_names(checked, lengths, metrics),
+                     *[c for g in groups[len(checked):] for c in block(g)])

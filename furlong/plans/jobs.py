@@ -9,7 +9,7 @@ They only compose the operators; the plan choices live here:
 
 * ``skew="auto"`` (default) first counts runs per horse (one narrow scan,
   partial aggregation).  With no hot horse the plain plan runs: the filtered
-  runs are hash-partitioned on ``horse_id`` *before* parsing, so the one
+  runs are hash-partitioned on the horse's slot *before* parsing, so the one
   exchange the windows need also spreads the regex/cast work over all
   post-shuffle tasks.  With hot horses the skew path partitions by
   (horse, chunk) instead;
@@ -26,7 +26,7 @@ from pyspark.sql.types import StructType
 from ..constants import CENTRAL_PLACES, GROUPS, LENGTHS, METRICS, horse_input_schema, race_input_schema
 from ..operators.base import base_features
 from ..operators.skew import race_features_skew_safe
-from ..operators.trailing import race_features
+from ..operators.trailing import SLOT, race_features
 from ..sources.csv_stack import read_typed, stack_csv, write_csv, write_table
 
 
@@ -54,9 +54,9 @@ def feature_table(races: DataFrame, horses: DataFrame | None = None,
     """
     if skew not in ("auto", "off"):
         raise ValueError(f"skew must be 'auto' or 'off', got {skew!r}")
-    by_horse = base_features(races, horses, places, lenient, partition_by="horse_id")
+    by_horse = base_features(races, horses, places, lenient, partition_by="horse_id", slot=SLOT)
     if skew == "off":
-        return race_features(by_horse, groups, lengths, metrics, frame, check_keys, dealt=True)
+        return race_features(by_horse, groups, lengths, metrics, frame, check_keys)
     base = base_features(races, None, places, lenient)
     return race_features_skew_safe(base, groups, lengths, metrics, frame, check_keys, max_rows_per_horse, chunk_rows,
                                    broadcast_limit_bytes, by_horse)
