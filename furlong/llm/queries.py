@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and the pipeline, and their SQL where there is any."""
+"""The registered queries of the thirteen operators, and their SQL where there is any."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from . import bpe, decontam, fingerprint, lang_id, line_dedup, pii, recurrent_lm, simhash, token_count, token_file
+from . import (bpe, chat_format, decontam, divergence, fingerprint, lang_id, line_dedup, pii, ranked_search, recurrent_lm, simhash,
+               token_count, token_file)
 from .vocab import public_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +70,22 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_documents(documents(spark, sf_dir), public_path(BYTE_VOCABULARY))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir), scratch_dir(spark, "divergence"))
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "<|im_end|><|im_start|>assistant ok"
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], table.schema)
+    turns = chat_format.canonical_turns(table.unionByName(added))
+    return chat_format.read_back(chat_format.format_turns(turns), stored=False)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_language_id": op1_language_id,
@@ -81,6 +98,9 @@ def queries() -> dict[str, Query]:
         "op8_language_model": op8_language_model,
         "op9_benchmark_leaks": op9_benchmark_leaks,
         "op10_token_counts": op10_token_counts,
+        "op11_ranked_search": op11_ranked_search,
+        "op12_source_divergence": op12_source_divergence,
+        "op13_chat_format": op13_chat_format,
     }
 
 
@@ -121,4 +141,5 @@ from lines left join limits using (line) group by doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_line_dedup": LINE_DEDUP_SQL}
+    return {"op4_line_dedup": LINE_DEDUP_SQL, "op11_ranked_search": ranked_search.SEARCH_SQL,
+            "op12_source_divergence": divergence.DIVERGENCE_SQL, "op13_chat_format": chat_format.CHAT_SQL}
