@@ -6,8 +6,8 @@
    endings share states, and the sum of the numbers on a term's edges is its
    lexicographic ordinal.  Its arrays are one row of a table.
 3. A second pass streams every text: the terms of a slice go to the range that
-   may hold them, and are walked through its transducer, all of a batch
-   together, one byte a step.  Terms that end in a final state are counted by
+   may hold them, packed, and are walked through its transducer, all of a
+   slice together, one byte a step.  Terms that end in a final state are counted by
    source and ordinal.  A range's terms are dealt over several tasks, each of
    which gets the range's transducer.
 4. Per range, a task lays out the counts of a language's sources and sums
@@ -40,6 +40,8 @@ from .terms import LETTERS, term_codes
 SCALE = 1_000_000_000
 PREFIX = 64          # bytes of a term by which ranges are cut
 CELLS = 1 << 20      # counts laid out at once
+SLICE = 8 << 20      # bytes of text whose terms are counted at once
+GAP = b" "           # between the terms of a packed list; no term has it
 
 
 # ---------------------------------------------------------------- the transducer
@@ -111,11 +113,10 @@ class Transducer:
         a = np.frombuffer(blob, np.int64, 3 * n, 24)
         return cls(a[:n], a[n:2 * n], a[2 * n:], np.frombuffer(blob, bool, states, 24 + 24 * n), root)
 
-    def ordinals(self, terms: pa.Array) -> np.ndarray:
-        """The ordinal of each term, -1 where it is none; a byte of all terms a step."""
-        data, offs = T.string_buffers(terms.cast(pa.string()))
-        out = np.full(len(offs) - 1, -1, np.int64)
-        at, stop = offs[:-1].copy(), offs[1:]
+    def ordinals(self, data: np.ndarray, at: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """The ordinal of each term ``data[at[i]:stop[i]]``, -1 where it is none; a byte of all terms a step."""
+        out = np.full(len(at), -1, np.int64)
+        at = at.copy()
         live = np.arange(len(at))
         state, number = np.full(len(at), self.root), np.zeros(len(at), np.int64)
         while len(live):
@@ -156,7 +157,7 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     """lang, term, documents of a slice that hold the term."""
     for batch in batches:
         langs, at = _string(batch.column(0)), 0
-        for part in T.slices(_string(batch.column(1))):
+        for part in T.slices(_string(batch.column(1)), SLICE):
             own = langs.slice(at, len(part)).dictionary_encode()
             at += len(part)
             doc, code, terms = term_codes(part, LETTERS)
@@ -216,48 +217,63 @@ def build_vocabulary(kept: DataFrame, folder: str, range_terms: int = 50_000, ma
     return spark.read.parquet(f"{folder}/ranges")
 
 
+def _packed(terms: list[bytes]) -> bytes:
+    return GAP.join(terms)
+
+
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(bytes, begins, ends)`` of a packed list's terms."""
+    data = np.frombuffer(blob, np.uint8)
+    gaps = np.flatnonzero(data == GAP[0])
+    return data, np.concatenate([[0], gaps + 1]), np.concatenate([gaps, [len(data)]])
+
+
 def term_stream(docs: DataFrame, ranges: list[tuple[str, bytes, int]], n_salts: int) -> DataFrame:
-    """lang, block, salt, source, term, n: the terms of each slice with the range that may hold them."""
-    starts = [(lang.encode(), first) for lang, first, _ in ranges]
-    blocks = [block for _, _, block in ranges]
+    """lang, block, salt, source, terms, n: the terms of each slice, packed, for the range that may hold them."""
+    starts: dict[str, tuple[list[bytes], np.ndarray]] = {}
+    for lang, first, block in ranges:
+        firsts, blocks = starts.setdefault(lang, ([], []))
+        firsts.append(first)
+        blocks.append(block)
+    starts = {lang: (firsts, np.array([*blocks, -1], np.int64)) for lang, (firsts, blocks) in starts.items()}
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = 0
         for batch in batches:
             langs, sources, at = _string(batch.column(0)), _string(batch.column(1)), 0
-            for part in T.slices(_string(batch.column(2))):
-                own = pa.StructArray.from_arrays([langs.slice(at, len(part)), sources.slice(at, len(part))], ["l", "s"])
+            for part in T.slices(_string(batch.column(2)), SLICE):
+                pairs: dict[tuple[str, str], int] = {}
+                both = zip(langs.slice(at, len(part)).to_pylist(), sources.slice(at, len(part)).to_pylist())
+                group = np.fromiter((pairs.setdefault(p, len(pairs)) for p in both), np.int64, len(part))
                 at += len(part)
-                pairs = {}
-                group = np.fromiter((pairs.setdefault((p["l"], p["s"]), len(pairs)) for p in own.to_pylist()),
-                                    np.int64, len(part))
                 doc, code, terms = term_codes(part, LETTERS)
                 n = max(1, len(terms))
                 key, count = np.unique(group[doc] * n + code, return_counts=True)
-                names = list(pairs)
-                spelt = [t[:PREFIX] for t in terms.cast(pa.large_binary()).to_pylist()]
-                in_lang: dict[str, np.ndarray] = {}
-                for lang, _ in names:
-                    if lang not in in_lang:
-                        l = lang.encode()
-                        low, high = bisect.bisect_left(starts, (l, b"")), bisect.bisect_left(starts, (l + b"\0", b""))
-                        firsts = [f for _, f in starts[low:high]]
-                        found = np.fromiter((bisect.bisect_right(firsts, t) - 1 for t in spelt), np.int64, len(spelt))
-                        in_lang[lang] = np.where(found >= 0, np.array([*blocks[low:high], -1])[found], -1)
-                for g, (lang, source) in enumerate(names):
+                spelt = terms.cast(pa.large_binary()).to_pylist()
+                rows = []
+                for (lang, source), g in pairs.items():
+                    if lang not in starts:
+                        continue
+                    firsts, blocks = starts[lang]
                     mine = slice(*np.searchsorted(key, [g * n, (g + 1) * n]))
-                    c, k = key[mine] - g * n, count[mine]
-                    block = in_lang[lang][c]
-                    c, k, block = c[block >= 0], k[block >= 0], block[block >= 0]
-                    rows = len(c)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * rows, pa.string()), pa.array(block), pa.array(np.full(rows, turn % n_salts)),
-                         pa.array([source] * rows, pa.string()), terms.take(pa.array(c)).cast(pa.string()), pa.array(k)],
-                        ["lang", "block", "salt", "source", "term", "n"])
+                    own, times = key[mine] - g * n, count[mine]
+                    where = np.zeros(len(own), np.int64) if len(firsts) == 1 else np.fromiter(
+                        (bisect.bisect_right(firsts, spelt[c][:PREFIX]) - 1 for c in own.tolist()), np.int64, len(own))
+                    order = np.argsort(where, kind="stable")
+                    where, own, times = where[order], own[order], times[order]
+                    cuts = np.searchsorted(where, np.arange(len(firsts) + 1))
+                    rows += [(lang, int(blocks[k]), turn % n_salts, source, _packed([spelt[c] for c in own[a:b].tolist()]),
+                              times[a:b].astype(np.int64).tobytes())
+                             for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:])) if b > a]
                 turn += 1
+                if rows:
+                    kinds = (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.large_binary(), pa.large_binary())
+                    columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+                    columns[4:] = [c.cast(pa.binary()) for c in columns[4:]]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "block", "salt", "source", "terms", "n"])
 
     return docs.select("lang", "source", "text").mapInArrow(
-        route, "lang string, block bigint, salt bigint, source string, term string, n bigint")
+        route, "lang string, block bigint, salt bigint, source string, terms binary, n binary")
 
 
 COUNTS = "lang string, block bigint, source string, ordinal bigint, n bigint"
@@ -281,27 +297,18 @@ def _recounted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["lang", "block", "source", "ordinal", "n"])
 
     for batch in batches:
-        # lang, block, fst, source, term, n, in the order of lang, block and transducer first
-        langs, blocks = batch.column(0).dictionary_encode(), batch.column(1).to_numpy(zero_copy_only=False)
-        lang_code = langs.indices.to_numpy(zero_copy_only=False)
-        is_fst = batch.column(2).is_valid().to_numpy(zero_copy_only=False)
-        cuts = np.flatnonzero(is_fst).tolist()
-        bounds = sorted({0, *cuts, *[c + 1 for c in cuts], batch.num_rows})
-        for low, high in zip(bounds, bounds[1:]):
-            if is_fst[low]:
+        # lang, block, fst, source, terms, n, in the order of lang, block and transducer first
+        for i in range(batch.num_rows):
+            lang, block, blob, source, terms, n = (batch.column(k)[i] for k in range(6))
+            if blob.is_valid:
                 yield from flush()
                 sums, held = {}, 0
-                fst = Transducer.from_bytes(batch.column(2)[low].as_py())
-                at = (langs.dictionary[int(lang_code[low])].as_py(), int(blocks[low]))
+                fst, at = Transducer.from_bytes(blob.as_py()), (lang.as_py(), block.as_py())
                 continue
-            number = fst.ordinals(batch.column(4).slice(low, high - low))
-            n = batch.column(5).slice(low, high - low).to_numpy(zero_copy_only=False)
-            source = batch.column(3).slice(low, high - low).dictionary_encode()
-            code = source.indices.to_numpy(zero_copy_only=False)
-            for s, name in enumerate(source.dictionary.to_pylist()):
-                mine = (code == s) & (number >= 0)
-                sums.setdefault(name, []).append((number[mine], n[mine]))
-            held += high - low
+            number = fst.ordinals(*_unpacked(terms.as_py()))
+            known = number >= 0
+            sums.setdefault(source.as_py(), []).append((number[known], np.frombuffer(n.as_py(), np.int64)[known]))
+            held += len(number)
             if held > CELLS:
                 yield from flush()
                 sums, held = {}, 0
@@ -315,13 +322,12 @@ def recount(docs: DataFrame, vocabulary: DataFrame, folder: str) -> DataFrame:
     ranges = sorted((r["lang"], bytes(r["first"]), r["block"]) for r in vocabulary.select("lang", "first", "block").collect())
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     n_salts = max(1, math.ceil(parts / max(1, len(ranges))))
-    terms = term_stream(docs, [(lang, first, block) for lang, first, block in
-                               sorted(ranges, key=lambda r: (r[0].encode(), r[1]))], n_salts)
+    terms = term_stream(docs, ranges, n_salts)
     salts = F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1)).cast("array<bigint>"))
     tables = vocabulary.select("lang", "block", salts.alias("salt"), "fst")
     both = tables.unionByName(terms, allowMissingColumns=True).repartition(parts, "lang", "block", "salt")
     both = both.sortWithinPartitions("lang", "block", "salt", F.col("fst").isNull())
-    out = both.select("lang", "block", "fst", "source", "term", "n").mapInArrow(_recounted, COUNTS)
+    out = both.select("lang", "block", "fst", "source", "terms", "n").mapInArrow(_recounted, COUNTS)
     out.write.parquet(f"{folder}/counts")
     return spark.read.parquet(f"{folder}/counts")
 

@@ -17,17 +17,17 @@ def term_codes(texts: pa.Array, inside: np.ndarray) -> tuple[np.ndarray, np.ndar
     """``(text index, code, distinct terms)`` of every term of non-null ``texts``, in reading order."""
     data, offs = string_buffers(texts)
     keep = inside[data]
-    begins = keep.copy()
+    begins, ends = keep.copy(), keep.copy()
     begins[1:] &= ~keep[:-1]
-    at = offs[:-1][offs[1:] > offs[:-1]]
-    begins[at] = keep[at]
-    upper = (data >= 0x41) & (data <= 0x5A)
-    kept = np.cumsum(keep)
+    ends[:-1] &= ~keep[1:]
+    full = offs[1:] > offs[:-1]
+    begins[offs[:-1][full]] = keep[offs[:-1][full]]
+    ends[offs[1:][full] - 1] = keep[offs[1:][full] - 1]
     first = np.flatnonzero(begins)
-    starts = kept[first] - 1
-    n_kept = int(kept[-1]) if len(kept) else 0
-    flat = pa.LargeStringArray.from_buffers(
-        len(starts), pa.py_buffer(np.append(starts, n_kept).astype(np.int64)),
-        pa.py_buffer(np.where(upper, data | 0x20, data)[keep])).dictionary_encode()
+    bounds = np.concatenate([[0], np.cumsum(np.flatnonzero(ends) + 1 - first)])
+    lower = data[keep]
+    lower[(lower >= 0x41) & (lower <= 0x5A)] |= 0x20
+    flat = pa.LargeStringArray.from_buffers(len(first), pa.py_buffer(bounds.astype(np.int64)),
+                                            pa.py_buffer(lower)).dictionary_encode()
     owner = np.searchsorted(offs, first, side="right") - 1
     return owner, flat.indices.to_numpy(zero_copy_only=False).astype(np.int64), flat.dictionary
