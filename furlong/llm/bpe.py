@@ -17,12 +17,14 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from . import text as T
 from .vocab import Merges, byte_letters, load_merges, split_specials, word_pieces
@@ -177,22 +179,25 @@ def decode_ids(ids, path: str) -> str:
     return " ".join([tokens[i] for i in ids])
 
 
-ENCODED = pa.struct([("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 DIGEST = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
-ENCODED_DDL = "struct<n_tokens: bigint, ids: array<int>, decoded: string>"
 DIGEST_DDL = "struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>"
 
 
-def _encoded(texts: pa.Array, path: str) -> pa.Array:
-    out = []
-    for part in T.slices(T.filled(texts)):
-        starts, ids = encode_batch(part, path)
-        decoded = [decode_ids(ids[a:b].tolist(), path) for a, b in zip(starts[:-1], starts[1:])]
-        out.append(pa.StructArray.from_arrays(
-            [pa.array(np.diff(starts), pa.int64()),
-             pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids.astype(np.int32))),
-             pa.array(decoded, pa.string())], fields=list(ENCODED)))
-    return pa.concat_arrays(out) if out else pa.array([], ENCODED)
+ENCODE_SLICE = 1 << 20  # bytes of text that are encoded and given out at once
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    """Each text's id, n_tokens, ids and decoded text, a slice of a batch at a time."""
+    for batch in batches:
+        at = 0
+        for part in T.slices(T.filled(batch.column(1)), ENCODE_SLICE):
+            starts, ids = encode_batch(part, path)
+            decoded = [decode_ids(ids[a:b].tolist(), path) for a, b in zip(starts[:-1], starts[1:])]
+            lists = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(at, len(part)), pa.array(np.diff(starts), pa.int64()), lists,
+                 pa.array(decoded, pa.string())], ["doc_id", "n_tokens", "ids", "decoded"])
+            at += len(part)
 
 
 @lru_cache(4)
@@ -227,11 +232,6 @@ def _digests(texts: pa.Array, path: str) -> pa.Array:
                                        pa.array(by_text, pa.string())], fields=list(DIGEST))
 
 
-def encoded(text: Column, tokenizer_path: str) -> Column:
-    """A struct of ``n_tokens``, ``ids`` and ``decoded`` for each text."""
-    return F.arrow_udf(lambda t: _encoded(t, tokenizer_path), ENCODED_DDL)(text)
-
-
 def digests(text: Column, tokenizer_path: str) -> Column:
     """A struct of ``n_tokens`` and the SHA-256 of the ids and of the decoded text."""
     return F.arrow_udf(lambda t: _digests(t, tokenizer_path), DIGEST_DDL)(text)
@@ -240,7 +240,9 @@ def digests(text: Column, tokenizer_path: str) -> Column:
 def encode_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids, decoded: one row per row of ``docs``."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return rows.select("doc_id", encoded(F.col("text"), tokenizer_path).alias("e")).select("doc_id", "e.*")
+    schema = T_.StructType([rows.schema["doc_id"], *[T_.StructField(n, t) for n, t in (
+        ("n_tokens", T_.LongType()), ("ids", T_.ArrayType(T_.IntegerType())), ("decoded", T_.StringType()))]])
+    return rows.mapInArrow(lambda batches: _encoded(batches, tokenizer_path), schema)
 
 
 def digest_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -38,7 +38,7 @@ from .names import fresh
 UNKNOWN = "und"
 ORDERS = 3
 CODE_BITS = 21  # of a Unicode code point
-SLICE = 2 << 20  # bytes of text ranked at once
+SLICE = 1 << 20  # bytes of text ranked at once
 
 
 @lru_cache(1)

@@ -100,6 +100,7 @@ def _part_keys(min_words: int) -> list[Column]:
 def _variants(lines: DataFrame) -> DataFrame:
     """n, i, v1, v2, h1, h2, at, whole: the variants of each line, by place for replaced words and without for others."""
     order = Window.partitionBy("h1", "h2").orderBy("i")
+    lines = lines.repartition("h1", "h2")  # before the words are rows, which the windows then take as they lie
     rows = lines.select("h1", "h2", "at", F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
     for s in (1, 2):
         mask = F.lit((1 << WORD_HASH_BITS) - 1)

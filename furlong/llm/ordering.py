@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 LOWEST = -(1 << 63)
@@ -28,12 +28,21 @@ def count_not_above(bounds: list[int], value: Column) -> Column:
                        F.struct(F.lit(0).alias("lo"), F.lit(len(bounds)).alias("hi")), halve, lambda acc: acc["lo"])
 
 
+def spread_labels(spark: SparkSession, n: int) -> list[int]:
+    """``n`` distinct longs of which Spark's hash deals one to each of ``n`` partitions."""
+    place = F.pmod(F.hash("id"), F.lit(n))
+    rows = spark.range(32 * n + 64).groupBy(place.alias("place")).agg(F.min("id").alias("id")).collect()
+    found = {r["place"]: r["id"] for r in rows}
+    return [found.get(i, -1 - i) for i in range(n)]  # one in e^32 has none of its own and shares
+
+
 def with_next(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``rows`` with bucket, place, own and ``next_<text_col>``, the text of the row that follows in id order.
 
     Ranges of the id hold about the same number of rows.  Their bounds and
     first ids are what the driver learns: two numbers a range, as literals, so
-    that a stage that is run again deals the rows the same way.  The first row
+    that a stage that is run again deals the rows the same way.  A range's label
+    is chosen so that each has a partition of its own.  The first row
     of a range also goes to the range before (and the first of all to the last
     range) as a guest, ``own`` = false.  (bucket, place) is unique.  One
     exchange on bucket, which the result keeps.
@@ -56,8 +65,10 @@ def with_next(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
     first = F.element_at(F.lit([firsts.get(b, 0) for b in range(len(bounds) + 1)]).cast("array<bigint>"), at)
     guest_of = F.element_at(F.lit([before.get(b, full[-1]) for b in range(len(bounds) + 1)]).cast("array<int>"), at)
 
+    labels = F.lit(spread_labels(spark, max(n, len(bounds) + 1))).cast("array<bigint>")
+
     def copy(to, own, wraps):
-        return F.struct(to.cast("int").alias("bucket"), F.lit(own).alias("own"), wraps.alias("wraps"))
+        return F.struct(F.element_at(labels, to.cast("int") + 1).alias("bucket"), F.lit(own).alias("own"), wraps.alias("wraps"))
 
     own = copy(F.col("bucket"), True, F.lit(False))
     guest = copy(guest_of, False, F.col("bucket") == full[0])

@@ -4,7 +4,8 @@ Base spans are the leftmost, non-overlapping matches of four patterns (email,
 ip, card, phone) that pass their checks.  They are the seeds.  Every seed
 value and every looser candidate (text of a kind's shape that its pattern or
 check leaves out) occurs in lexical contexts: the word before, the two words
-before, the word after, the words on both sides.  Contexts are the patterns
+before, the word after, the words on both sides.  A context has a letter: marks
+and numbers alone are no lexical pattern.  Contexts are the patterns
 of a bipartite pattern-instance graph, which Spark scores in rounds:
 
 * a pattern's confidence for a kind is that kind's share of the scores of the
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 KINDS = ("email", "ip", "card", "phone")
-CONTEXT = 80                     # code points kept on each side of a match to find words in
+CONTEXT = 200                    # code points kept on each side of a match; a word that is cut there is none
 
 # Fixed patterns: \G is where the last match ended.
 BASE = {
@@ -89,30 +90,35 @@ def _matches(docs: DataFrame, patterns: dict[str, str]) -> DataFrame:
         text, pattern = F.col("text"), F.lit(patterns[kind])
         pieces = F.split(text, pattern, -1)
         rows = F.zip_with(pieces, F.regexp_extract_all(text, pattern, 0), lambda p, m: F.struct(
-            F.length(p).alias("gap"), F.right(p, F.lit(CONTEXT)).alias("left"), m.alias("value")))
-        after = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda p: F.left(p, F.lit(CONTEXT)))
+            F.length(p).alias("gap"), F.right(p, F.lit(CONTEXT + 1)).alias("left"), m.alias("value")))
+        after = F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(0))), lambda p: F.left(p, F.lit(CONTEXT + 1)))
         rows = F.zip_with(rows, after, lambda r, a: F.struct(
             r["gap"].alias("gap"), r["left"].alias("left"), r["value"].alias("value"), a.alias("right")))
         found.append(F.struct(F.lit(kind).alias("kind"), F.when(F.regexp(text, F.lit(HINT[kind])), rows).alias("rows")))
-    rows = (docs.select("doc_id", "text_hash", F.explode(F.array(*found)).alias("f"))
-            .select("doc_id", "text_hash", "f.kind", F.posexplode("f.rows").alias("at", "r"))
-            .select("doc_id", "text_hash", "kind", "at", "r.*").where("value is not null"))
-    order = Window.partitionBy("doc_id", "text_hash", "kind").orderBy("at")
+    rows = (docs.select("doc_id", "text_hash", "row", F.explode(F.array(*found)).alias("f"))
+            .select("doc_id", "text_hash", "row", "f.kind", F.posexplode("f.rows").alias("at", "r"))
+            .select("doc_id", "text_hash", "row", "kind", "at", "r.*").where("value is not null"))
+    order = Window.partitionBy("doc_id", "text_hash", "row", "kind").orderBy("at")
     end = F.sum(F.col("gap") + F.length("value")).over(order)
+    # rows that repeat an id and a text have the same matches, which are one here
     return rows.withColumn("end", end).select(
-        "doc_id", "text_hash", "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value", "left", "right")
+        "doc_id", "text_hash", "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value", "left", "right").distinct()
 
 
 def _contexts(rows: DataFrame) -> DataFrame:
     """kind, value, context: the lexical patterns in which each value was met."""
-    left = F.filter(F.split(F.lower("left"), r"\s+"), lambda w: w != "")
-    right = F.filter(F.split(F.lower("right"), r"\s+"), lambda w: w != "")
+    # a piece longer than CONTEXT loses its outermost word, which may be cut
+    left = F.when(F.length("left") > CONTEXT, F.regexp_replace("left", r"^\S*", "")).otherwise(F.col("left"))
+    right = F.when(F.length("right") > CONTEXT, F.regexp_replace("right", r"\S*$", "")).otherwise(F.col("right"))
+    left = F.filter(F.split(F.lower(left), r"\s+"), lambda w: w != "")
+    right = F.filter(F.split(F.lower(right), r"\s+"), lambda w: w != "")
     before = F.coalesce(F.try_element_at(left, F.lit(-1)), F.lit("^"))
     before2 = F.coalesce(F.try_element_at(left, F.lit(-2)), F.lit("^"))
     after = F.coalesce(F.get(right, F.lit(0)), F.lit("$"))
     contexts = F.array(F.concat(before, F.lit(" _")), F.concat(F.lit("_ "), after),
                        F.concat(before2, F.lit(" "), before, F.lit(" _")), F.concat(before, F.lit(" _ "), after))
-    return rows.select("kind", "value", "seed", F.explode(contexts).alias("context")).distinct()
+    lexical = F.filter(contexts, lambda c: F.regexp(c, F.lit(r"\p{L}")))
+    return rows.select("kind", "value", "seed", F.explode(lexical).alias("context")).distinct()
 
 
 def trusted_values(seeds: DataFrame, candidates: DataFrame, rounds: int = 3, min_seeds: int = 3, trust: float = 0.8,
@@ -158,9 +164,8 @@ def find_identifiers(docs: DataFrame, rounds: int = 3, min_seeds: int = 3, trust
     """``(base, added)``: doc_id, text_hash, kind, start, end, value of base spans and of discovered ones."""
     ensure_checkpoint_dir(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    texts = texts.where(F.regexp("text", F.lit("[0-9@]|\\(at\\)|\\[at\\]"))).withColumn("text_hash", F.xxhash64("text"))
-    # rows that repeat an id and a text are one here
-    texts = texts.groupBy("doc_id", "text_hash", "text").agg(F.lit(1).alias("one")).drop("one")
+    texts = texts.where(F.regexp("text", F.lit("[0-9@]|\\(at\\)|\\[at\\]"))).withColumns(
+        {"text_hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
     base = _matches(texts, BASE).where(_valid(F.col("kind"), F.col("value"))).checkpoint()
     taken = base.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("taken"))
     loose = _matches(texts, LOOSE).join(taken.select(F.col("doc_id").alias("t_id"), F.col("text_hash").alias("t_hash"), "taken"),

@@ -172,3 +172,40 @@ def test_the_warm_start_scans_in_all_tasks(spark):
     assert warm.rdd.getNumPartitions() == 1
     plan = warm._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Exchange") < plan.index("Filter") and "Coalesce" not in plan  # the filter runs before the rows move
+
+
+def test_distance_and_score_equal_the_definition(spark):
+    """Prediction by summed out-of-place distance, ties by name, over profiles counted by hand."""
+    size = 30
+    rows = [("the cat sat on the mat and the dog", "en"), ("le chat et le chien sur le tapis", "fr"),
+            ("der hund und die katze auf der matte", "de"), ("THE dog 12 the", "en"), ("aaa", "b-tie"), ("aaa", "a-tie")]
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    profiles = {}
+    for lang in {r[1] for r in rows}:
+        counts = collections.Counter()
+        for t, own in rows:
+            if own == lang:
+                for g in brute_grams(t):
+                    counts[g] += 1
+        ordered = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:size]
+        profiles[lang] = {g: k for k, (g, _) in enumerate(ordered)}
+    asked = ["the dog and the cat", "un chien", "die matte", "aaa", "", "zzz 99", "the chat katze", "a" * 200_000, "x y z " * 30_000]
+    got = lang_id.identify(spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string"),
+                           lang_id.learn(docs, size)).orderBy("doc_id").collect()
+    for text, r in zip(asked, got):
+        ranks = [tuple(g) for g in brute_ranks(text, size)]
+        if not ranks:
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+            continue
+        distance = {lang: sum(abs(p[g] - k) if g in p else size for k, g in enumerate(ranks)) for lang, p in profiles.items()}
+        best = min(sorted(distance), key=distance.get)
+        assert r["lang_pred"] == best
+        assert r["score"] == pytest.approx(1 - distance[best] / (len(ranks) * size))
+
+
+def brute_grams(text):
+    """Every n-gram occurrence of a text, spelt like brute_ranks."""
+    line = " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split())
+    line = f" {line} "
+    grams = [line[i:i + n] for n in (1, 2, 3) for i in range(len(line) - n + 1)]
+    return [tuple([1 if c == " " else ord(c) for c in g] + [0] * (3 - len(g))) for g in grams if g != " "]

@@ -288,3 +288,53 @@ def test_unseen_identifiers_do_not_take_trust_from_their_context(spark):
         assert all(got[300 + i] == "card:15:34" for i in range(10))
         assert not any(got[800 + i] for i in range(60))
     assert not any(found[0][600 + i] for i in range(10)) and all(found[1][600 + i] == "phone:10:21" for i in range(10))
+
+
+@pytest.mark.parametrize("settings", [dict(rank=8), dict(rank=8, block_items=3), dict(rank=32, sample=5, min_cosine=2.0)])
+def test_low_rank_and_groups_lose_nothing(spark, monkeypatch, settings):
+    """A space of low rank blurs items; the exact products find what it misses, in one scan or several."""
+    monkeypatch.setattr(decontam, "CELLS", 100)
+    rng = random.Random(21)
+    common = filler(rng, 40).split()
+    items = [(i, " ".join(rng.choice(common) if rng.random() < .5 else filler(rng, 1) for _ in range(rng.randint(6, 90))))
+             for i in range(40)]
+    docs = []
+    for d in range(80):
+        words = [rng.choice(common) for _ in range(rng.randint(0, 200))]
+        part = items[d % 40][1].split()
+        part = part if d % 3 else [part[k] for k in sorted(rng.sample(range(len(part)), -(-2 * len(part) // 3)))]
+        docs.append((d, " ".join(words[:90] + part + words[90:])))
+    words = [{*decontam.plain_words(t)} for _, t in docs]
+    often = {w for w in {*common} if sum(w in x for x in words) > .1 * len(docs)}
+    want = {(d, i) for d, i in scan_all_windows(docs, items) if words[d] & {*decontam.plain_words(items[i][1])} - often}
+    assert len(want) > 60
+    copies = [*items, *[(100 + i, t) for i, t in items]]
+    assert leaks(spark, docs, copies, **settings) == want | {(d, i + 100) for d, i in want}
+
+
+def test_a_leak_deep_in_a_very_long_text(spark):
+    rng = random.Random(22)
+    item = filler(rng, 30)
+    long = " ".join([filler(rng, 60)] * 3000)
+    assert leaks(spark, [(1, f"{long} {item} {long}"), (2, long), (3, "x" * 2_000_000)], [(7, item), (8, "")]) == {(1, 7)}
+
+
+def test_related_words_are_found_where_no_rare_word_is_shared(spark):
+    """A rewording that keeps only frequent words: the sampled documents say which words go together."""
+    rng = random.Random(31)
+    frequent = filler(rng, 12).split()
+    topics = [(filler(rng, 8).split(), filler(rng, 8).split()) for _ in range(6)]  # two sets of words of a topic
+    docs = []
+    for d in range(600):
+        own = topics[d % 60][0] + topics[d % 60][1] if d % 60 < 6 else filler(rng, 16).split()
+        words = [rng.choice(own) if rng.random() < .5 else rng.choice(frequent) for _ in range(64)]
+        docs.append((d, " ".join(words)))
+    items, planted = [], []
+    for k, (one, other) in enumerate(topics):
+        frame = [rng.choice(frequent) if j % 3 else None for j in range(24)]
+        items.append((k, " ".join(w or one[j % 8] for j, w in enumerate(frame))))
+        planted.append((1000 + k, " ".join(w or other[j % 8] for j, w in enumerate(frame))))
+    want = {(1000 + k, k) for k in range(6)}
+    got = leaks(spark, docs + planted, items)
+    plainly = leaks(spark, docs + planted, items, min_cosine=2.0)  # TF-IDF alone
+    assert len(want & got) >= 0.9 * len(want) and not want & plainly
