@@ -31,9 +31,12 @@ from ..sources.csv_stack import read_typed, stack_csv, write_csv, write_table
 
 
 def stack_crawl(spark: SparkSession, paths, url_col: str, id_col: str,
-                out: str | None = None, glob: str = "*.csv") -> DataFrame:
-    """Stack, dedup and derive ids; optionally write the result as CSV parts to ``out``."""
-    df = stack_csv(spark, paths, url_col=url_col, id_col=id_col, glob=glob)
+                out: str | None = None, glob: str = "*.csv", header: Sequence[str] | None = None) -> DataFrame:
+    """Stack, dedup and derive ids; optionally write the result as CSV parts to ``out``.
+
+    ``header`` names the columns of all files where they are known to be the same; it saves a pass over them.
+    """
+    df = stack_csv(spark, paths, url_col=url_col, id_col=id_col, glob=glob, header=header)
     if out is not None:
         write_csv(df, out)
     return df

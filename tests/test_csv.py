@@ -130,3 +130,63 @@ def test_replacing_a_table_twice(spark):
         S.write_table(spark.createDataFrame(rows, "k long, v string"), table=name)
         assert sorted(tuple(r) for r in spark.table(name).collect()) == rows
     spark.sql(f"drop table {name}")
+
+
+def test_short_rows_are_filled_up_like_pandas(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('x,y,z\n1\n1,2\n1,2,3\n"q\nr",5\n')
+    (tmp_path / "b.csv").write_text("z,x\n7\n")
+    got = S.stack_csv(spark, str(tmp_path)).toPandas()
+    want = pandas_stack(str(tmp_path))
+    assert as_set(got, list("xyz")) == as_set(want, list("xyz")) and len(got) == 5
+
+
+def test_long_rows_are_an_error_that_names_the_file(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n1,2,3,4\n")
+    with pytest.raises(Exception, match="more fields than its header.*a.csv"):
+        S.read_csv_stack(spark, str(tmp_path)).collect()
+    with pytest.raises(Exception, match="more fields"):
+        S.read_csv_stack(spark, str(tmp_path)).select("x").collect()
+
+
+@pytest.mark.parametrize("body", ['x,"y\nz"\n1,2\n', '\n"a ""b""\n\nc",d\n1,2\n3,"4\n5"\n'])
+def test_headers_with_line_breaks_equal_pandas(spark, tmp_path, body):
+    (tmp_path / "h b.csv").write_text(body)
+    (tmp_path / "plain.csv").write_text("d\n9\n")
+    got = S.stack_csv(spark, str(tmp_path)).toPandas()
+    want = pandas_stack(str(tmp_path))
+    assert sorted(got.columns) == sorted(want.columns)
+    assert as_set(got, sorted(want.columns)) == as_set(want, sorted(want.columns))
+
+
+def test_a_given_header_saves_the_header_pass_and_is_checked(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,NA\n")
+    (tmp_path / "b.csv").write_text("x,y\n3,4\n")
+    rows = S.read_csv_stack(spark, str(tmp_path), header=["x", "y"])
+    assert sorted((tuple(r) for r in rows.collect()), key=repr) == [("1", None), ("3", "4")]
+    (tmp_path / "c.csv").write_text("y,x\n5,6\n")
+    with pytest.raises(Exception):
+        S.read_csv_stack(spark, str(tmp_path), header=["x", "y"]).collect()
+
+
+def test_a_failing_write_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    good = spark.createDataFrame([(1,), (2,)], "k long")
+    bad = good.selectExpr("k", "cast(assert_true(k < 2) as int) as v")
+    for target in ({"path": path}, {"table": "furlong_kept_table"}):
+        S.write_table(good, **target)
+        with pytest.raises(Exception):
+            S.write_table(bad, **target)
+        read = (lambda: spark.read.parquet(path)) if "path" in target else (lambda: spark.table("furlong_kept_table"))
+        assert sorted(r["k"] for r in read().collect()) == [1, 2]
+        S.write_table(read().selectExpr("k + 1 as k"), **target)  # reads the table that it replaces
+        assert sorted(r["k"] for r in read().collect()) == [2, 3]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    spark.sql("drop table furlong_kept_table")
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("furlong_kept")]
+
+
+def test_typed_load_scans_once(spark, tmp_path):
+    out = str(tmp_path / "s")
+    S.write_csv(spark.createDataFrame([("u", 1)], "race_url string, horse_ids long"), out)
+    plan = S.read_typed(spark, out, race_input_schema())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
