@@ -3,6 +3,7 @@
 import glob
 import os
 import tempfile
+import uuid
 
 import pandas as pd
 import pytest
@@ -172,17 +173,18 @@ def test_a_failing_write_leaves_the_old_table(spark, tmp_path):
     path = str(tmp_path / "t")
     good = spark.createDataFrame([(1,), (2,)], "k long")
     bad = good.selectExpr("k", "cast(assert_true(k < 2) as int) as v")
-    for target in ({"path": path}, {"table": "furlong_kept_table"}):
+    name = f"furlong_kept_{uuid.uuid4().hex[:8]}"
+    for target in ({"path": path}, {"table": name}):
         S.write_table(good, **target)
         with pytest.raises(Exception):
             S.write_table(bad, **target)
-        read = (lambda: spark.read.parquet(path)) if "path" in target else (lambda: spark.table("furlong_kept_table"))
+        read = (lambda: spark.read.parquet(path)) if "path" in target else (lambda: spark.table(name))
         assert sorted(r["k"] for r in read().collect()) == [1, 2]
         S.write_table(read().selectExpr("k + 1 as k"), **target)  # reads the table that it replaces
         assert sorted(r["k"] for r in read().collect()) == [2, 3]
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
-    spark.sql("drop table furlong_kept_table")
-    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("furlong_kept")]
+    spark.sql(f"drop table {name}")
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(name)]
 
 
 def test_typed_load_scans_once(spark, tmp_path):
