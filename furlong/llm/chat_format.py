@@ -31,7 +31,6 @@ import json
 import re
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -145,8 +144,11 @@ def canonical_turns(table: DataFrame, id_col: str = "conv_id", layouts: Sequence
         texts = [F.nullif(get(p).cast("string"), F.lit("")) for p in t.text]
         return F.struct(role.alias("role"), F.concat_ws("\n\n", *texts).alias("text"), F.lit(t.optional).alias("optional"))
 
-    parts = [F.coalesce(F.transform(F.col(t.each), lambda e, t=t: one(t, lambda p: e[p])), F.array().cast(
-        "array<struct<role:string,text:string,optional:boolean>>")) if t.each else F.array(one(t, F.col)) for t in layout.turns]
+    def several(t: Turn) -> Column:
+        none = F.array().cast("array<struct<role:string,text:string,optional:boolean>>")
+        return F.coalesce(F.transform(F.col(t.each), lambda e: one(t, lambda p: e[p])), none)
+
+    parts = [several(t) if t.each else F.array(one(t, F.col)) for t in layout.turns]
     turns = F.filter(F.concat(*parts), lambda t: ~t["optional"] | (t["text"] != ""))
     return (table.select(F.col(id_col).cast("bigint").alias("conv_id"), F.posexplode(turns).alias("turn", "t"))
             .select("conv_id", F.col("turn").cast("bigint").alias("turn"), "t.role", "t.text"))
@@ -180,14 +182,18 @@ def canonical_json(records: DataFrame, id_col: str = "conv_id", json_col: str =
 
     Records that are null, no JSON object or of no layout have no turns; ``layout_report`` counts them.
     """
-    chosen = lru_cache(1024)(lambda paths: select_layout(paths, layouts))
-
     def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen: dict[frozenset, Layout | None] = {}  # one entry a layout that a task meets, up to a bound
         for batch in batches:
             rows: list[tuple] = []
+            if len(chosen) > 10_000:
+                chosen.clear()
             for conv, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 record = _parsed(text)
-                layout = chosen(frozenset(value_paths(record))) if isinstance(record, dict) else None
+                paths = frozenset(value_paths(record)) if isinstance(record, dict) else frozenset()
+                if paths not in chosen:
+                    chosen[paths] = select_layout(paths, layouts)
+                layout = chosen[paths]
                 if layout is None:
                     continue
                 if layout.row_paths:

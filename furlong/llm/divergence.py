@@ -1,7 +1,8 @@
 """Source divergence audit: how the word use of each source departs from its language's and from other sources'.
 
 1. One pass counts in how many documents of a language each term occurs; terms in at least ``min_docs`` are kept.
-2. The kept terms are dealt into ranges of (language, term).  Each range is
+2. The kept terms are dealt into ranges of (language, term), of a size that
+   does not depend on the cluster.  Each range is
    built, from its sorted terms, into a minimal acyclic transducer: equal
    endings share states, and the sum of the numbers on a term's edges is its
    lexicographic ordinal.  Its arrays are one row of a table.
@@ -198,6 +199,14 @@ def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
+def _range_bounds(kept: DataFrame, total: int, n: int) -> list[tuple[bytes, bytes]]:
+    """Language and prefix at which the second to the n-th range begin, from about 20 terms a range chosen by hash."""
+    some = kept.where(F.pmod(F.xxhash64("lang", "term"), F.lit(max(1, total // (20 * n)))) == 0)
+    prefix = F.substring(F.col("term").cast("binary"), 1, PREFIX).alias("first")
+    keys = sorted((r["lang"].encode(), bytes(r["first"])) for r in some.select("lang", prefix).collect())
+    return sorted({keys[len(keys) * i // n] for i in range(1, n)}) if keys else []
+
+
 def build_vocabulary(kept: DataFrame, folder: str, range_terms: int = 50_000, max_ranges: int = 4096) -> DataFrame:
     """Writes and returns the ranges: block, lang, first, n_terms, fst.
 
@@ -207,10 +216,19 @@ def build_vocabulary(kept: DataFrame, folder: str, range_terms: int = 50_000, ma
     spark = kept.sparkSession
     kept.write.parquet(f"{folder}/kept")
     kept = spark.read.parquet(f"{folder}/kept")
-    n = min(max_ranges, max(1, math.ceil(kept.count() / range_terms)))
-    prefix = F.substring(F.col("term").cast("binary"), 1, PREFIX)
-    dealt = (kept.withColumn("first", prefix).repartitionByRange(n, "lang", "first")
-             .withColumn("block", F.spark_partition_id().cast("bigint")).sortWithinPartitions("lang", "term"))
+    total = kept.count()
+    n = min(max_ranges, max(1, math.ceil(total / range_terms)))
+    bounds = _range_bounds(kept, total, n) if n > 1 else []
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, terms = (batch.column(i).cast(pa.binary()).to_pylist() for i in (0, 1))
+            block = [bisect.bisect_right(bounds, (lang, t[:PREFIX])) for lang, t in zip(langs, terms)]
+            yield pa.RecordBatch.from_arrays([pa.array(block, pa.int64()), batch.column(0), batch.column(1)],
+                                             ["block", "lang", "term"])
+
+    dealt = (kept.mapInArrow(place, "block bigint, lang string, term string")
+             .repartition("block").sortWithinPartitions("block", "lang", "term"))
     built = dealt.select("block", "lang", "term").mapInArrow(
         _built, "block bigint, lang string, first binary, n_terms bigint, fst binary")
     built.write.parquet(f"{folder}/ranges")
@@ -317,7 +335,7 @@ def _recounted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def recount(docs: DataFrame, vocabulary: DataFrame, folder: str) -> DataFrame:
-    """Writes and returns lang, block, source, ordinal, n; the same key may have several rows."""
+    """Writes and returns lang, block, source, ordinal, n: the counts that are not 0."""
     spark = docs.sparkSession
     ranges = sorted((r["lang"], bytes(r["first"]), r["block"]) for r in vocabulary.select("lang", "first", "block").collect())
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -328,6 +346,7 @@ def recount(docs: DataFrame, vocabulary: DataFrame, folder: str) -> DataFrame:
     both = tables.unionByName(terms, allowMissingColumns=True).repartition(parts, "lang", "block", "salt")
     both = both.sortWithinPartitions("lang", "block", "salt", F.col("fst").isNull())
     out = both.select("lang", "block", "fst", "source", "terms", "n").mapInArrow(_recounted, COUNTS)
+    out = out.groupBy("lang", "block", "source", "ordinal").agg(F.sum("n").alias("n"))  # of the range's tasks
     out.write.parquet(f"{folder}/counts")
     return spark.read.parquet(f"{folder}/counts")
 
