@@ -78,12 +78,15 @@ def assign_chunks(hot: DataFrame, n_runs: int, chunk_rows: int) -> DataFrame:
     A table and not a checkpoint: a checkpoint keeps what Spark inferred of its columns, and a hash of all
     of them makes that inference grow with the power set of the columns wherever they are renamed.
     """
-    folder = scratch_dir(hot.sparkSession, "hot-runs")
+    spark = hot.sparkSession
+    folder = scratch_dir(spark, "hot-runs")
     n = max(1, math.ceil(n_runs / chunk_rows))
+    files = max(1, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     dealt = with_tie(hot).repartitionByRange(n, F.col("horse_id"), *run_order())
     dealt = dealt.withColumn(CHUNK, F.spark_partition_id()).withColumn(ROW, F.monotonically_increasing_id())
-    dealt.write.parquet(folder)
-    return hot.sparkSession.read.parquet(folder)
+    # Small chunks share a task and a file; their numbers are those of the ranges.
+    (dealt.coalesce(files) if n > files else dealt).write.parquet(folder)
+    return spark.read.parquet(folder)
 
 
 def context_rows(tagged: DataFrame, groups: Sequence[str | None], k_max: int,
