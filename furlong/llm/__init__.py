@@ -1 +1 @@
-"""Operators for training-data pipelines: ten operators, their queries, nothing the rest of the library needs."""
+"""Operators for training-data pipelines: thirteen operators, their queries, nothing the rest of the library needs."""
