@@ -144,7 +144,8 @@ def header_groups(spark: SparkSession, paths, glob: str = "*.csv",
     ``(file, header)`` pairs are collected in one job from the persisted
     one-row-per-file table (no per-group ``collect_list`` in one task).
     """
-    heads = _whole_headers(spark, csv_headers(spark, paths, glob, recursive).persist()).persist()
+    lines = csv_headers(spark, paths, glob, recursive).persist()
+    heads = _whole_headers(spark, lines).persist()
     try:
         summary = heads.groupBy("header").agg(F.min("file_path").alias("first")).collect()
         if len(summary) <= 1:
@@ -154,6 +155,7 @@ def header_groups(spark: SparkSession, paths, glob: str = "*.csv",
             by_header.setdefault(r["header"], []).append(_plain_path(r["file_path"]))
     finally:
         heads.unpersist()
+        lines.unpersist()
     groups = [(parse_header(h), sorted(files)) for h, files in by_header.items()]
     groups.sort(key=lambda g: g[1][0])
     return groups
