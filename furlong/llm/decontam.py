@@ -1,13 +1,16 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Passages are the benchmark's distinct items and one window of words from each
-of about ``sample`` documents, chosen by a hash; words are weighted by their
-document frequency over all documents.  A randomised SVD of the passages'
-TF-IDF matrix gives the latent space, of a rank well below their number, so
-words of the same passages share directions: tasks multiply their passages
-with a random matrix, the driver orthonormalises the bounded product (passages
-x rank), tasks project their passages on it and Spark adds up the result by
-word; its small SVD gives each word's latent vector.
+Passages are the benchmark's distinct items and every window of words of every
+document; words are weighted by their document frequency over all documents.
+The words of the items are known each; all other words share ``BUCKETS``
+hashed ones, so no document, window or word is left out of what is learned and
+what a task holds stays bounded.  One scan cuts the texts and writes the words'
+codes, 2 or 4 bytes each, with a task's document counts; the later steps read
+these.  The latent space is that of a one-pass randomised eigendecomposition
+of the passages' Gram matrix (words x words, never built): tasks multiply each
+passage with a random matrix and add up the products by word, Spark adds up the
+tasks' sums, and the driver solves the bounded rest (words x rank).  Its rank is
+well below the number of passages, so words of the same passages share directions.
 
 Documents are searched as windows of words, half overlapping, in one scan.  A
 window's vector is the sum of its words' vectors, and items whose cosine with
@@ -36,8 +39,6 @@ on either side gives an empty result.
 
 from __future__ import annotations
 
-import collections
-import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -48,6 +49,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from . import text as T
 from .names import fresh
 
@@ -55,6 +57,10 @@ MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~«»“”„‘’…–—¿¡"
 SLICE = 4 << 20  # bytes of text searched at once
 CELLS = 1 << 21  # products of windows and items held at once
 OVERSAMPLE = 10
+CODES = 1 << 18  # words of texts that one step of the sums by word holds
+BUCKET_BITS = 14
+BUCKETS = 1 << BUCKET_BITS  # hashed words for all that are in no item
+_FACTORS = np.random.default_rng(17).integers(0, 1 << 63, 64, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _plain(words: pa.Array) -> pa.Array:
@@ -75,9 +81,9 @@ def answer_start(text: str | None) -> int:
 
 @dataclass
 class Space:
-    """What a block's search needs: words, their weights and latent vectors, and the items."""
+    """What a block's search needs: the items' words, all words' weights and latent vectors, and the items."""
 
-    vocabulary: list[str]
+    vocabulary: list[str]                  # of the items; hashed words follow
     weights: np.ndarray                    # by word
     vectors: np.ndarray                    # by word: weight x latent direction
     keys: list[str]
@@ -85,129 +91,198 @@ class Space:
     answers: list[int]                     # where its answer starts
 
 
-def _vocabulary_codes(part: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """``(offsets, ids)`` of the words of each text, -1 for words that are in no item."""
+# ------------------------------------------------------------------ the codes
+
+def _buckets(words: pa.Array) -> np.ndarray:
+    """The hashed word of each word."""
+    data, offs = T.string_buffers(words)
+    place = np.arange(len(data)) - np.repeat(offs[:-1], np.diff(offs))
+    terms = (data.astype(np.uint64) + np.uint64(1)) * (_FACTORS[place % 64] + (place // 64).astype(np.uint64) * np.uint64(2))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(terms)])
+    h = total[offs[1:]] - total[offs[:-1]]
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    return (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+
+
+def _word_codes(part: pa.Array, own: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """``(offsets, codes)`` of the words of each text: the items' words, then the hashed ones, then "no word"."""
     offs, codes, distinct = T.word_parts(part, marks=False)
-    known = pc.fill_null(pc.index_in(_plain(distinct), vocabulary), -1).to_numpy(zero_copy_only=False)
-    return offs, known.astype(np.int64)[codes]
+    plain = _plain(distinct)
+    ids = pc.fill_null(pc.index_in(plain, own), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    other = np.flatnonzero(ids < 0)
+    ids[other] = len(own) + _buckets(plain.take(pa.array(other)))
+    ids[pc.equal(plain, "").to_numpy(zero_copy_only=False)] = len(own) + BUCKETS
+    return offs, ids[codes]
 
 
-# ------------------------------------------------------------ the latent space
+def _code_type(n_own: int) -> str:
+    return "<u2" if n_own + BUCKETS < 1 << 16 else "<u4"
 
-def document_frequency(docs: DataFrame, vocabulary: list[str], text_col: str = "text") -> tuple[np.ndarray, int]:
-    """In how many documents each word occurs, and the number of documents; all rows count."""
-    words = pa.array(vocabulary, pa.string())
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(len(words) + 1, np.int64), 0
+def coded(docs: DataFrame, vocabulary: list[str], folder: str) -> DataFrame:
+    """doc_id and the codes of each text's words, from a table written to ``folder``; in rows without codes, a task's counts.
+
+    The counts are, by word, in how many documents it occurs, and last the number of documents.
+    """
+    own, kind = pa.array(vocabulary, pa.string()), _code_type(len(vocabulary))
+    width = len(vocabulary) + BUCKETS + 1
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(width, np.int64), 0
         for batch in batches:
-            n += batch.num_rows
-            for part in T.slices(T.filled(batch.column(0)), SLICE):
-                offs, ids = _vocabulary_codes(part, words)
+            n, at = n + batch.num_rows, 0
+            for part in T.slices(T.filled(batch.column(1)), SLICE):
+                offs, ids = _word_codes(part, own)
                 owner = np.repeat(np.arange(len(part)), np.diff(offs))
-                met = np.unique((owner * (len(words) + 1) + ids)[ids >= 0])
-                total += np.bincount(met % (len(words) + 1), minlength=len(words) + 1)
-        total[-1] = n
+                met = np.sort(owner * width + ids)
+                met = met[np.flatnonzero(np.diff(met, prepend=-1))]
+                total += np.bincount(met % width, minlength=width)
+                size = np.dtype(kind).itemsize
+                words = pa.BinaryArray.from_buffers(pa.binary(), len(part), [
+                    None, pa.py_buffer((offs * size).astype(np.int32)), pa.py_buffer(ids.astype(kind))])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(part)), words, pa.nulls(len(part), pa.binary())],
+                                                 ["doc_id", "words", "counts"])
+                at += len(part)
+        if n:
+            total[-1] = n
+            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([None], pa.binary()),
+                                              pa.array([total.tobytes()])], ["doc_id", "words", "counts"])
+
+    schema = "doc_id long, words binary, counts binary"
+    docs.select("doc_id", "text").mapInArrow(encode, schema).write.parquet(folder)
+    return docs.sparkSession.read.schema(schema).parquet(folder)
+
+
+def _codes(part: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """``(offsets, codes)`` of texts, from their codes as bytes."""
+    data, offs = T.string_buffers(part)
+    return offs // np.dtype(kind).itemsize, np.frombuffer(data.tobytes(), kind).astype(np.int64)
+
+
+# ------------------------------------------------------------ the latent space
+
+def document_frequency(table: DataFrame, n_words: int) -> tuple[np.ndarray, int]:
+    """In how many documents each word occurs, and the number of documents; all rows count."""
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_words + 1, np.int64)
+        for batch in batches:
+            for counts in batch.column(0):
+                total += np.frombuffer(counts.as_py(), np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["word", "n"])
 
-    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "word long, n long").groupBy("word").agg(
+    rows = table.where("counts is not null").select("counts").mapInArrow(spread, "word long, n long").groupBy("word").agg(
         F.sum("n").alias("n")).toPandas()
-    out = np.zeros(len(words) + 1, np.int64)
+    out = np.zeros(n_words + 1, np.int64)
     out[rows["word"]] = rows["n"]
     return out[:-1], int(out[-1])
 
 
-def latent_vectors(items: DataFrame, weights: np.ndarray, rank: int, seed: int = 7) -> np.ndarray:
-    """Right singular vectors (words x rank) of the items' TF-IDF matrix, rows of length 1; ``items`` has at and words (ids)."""
-    n_items = items.count()
-    width = min(n_items, rank + OVERSAMPLE)
+def _row_sums(vectors: np.ndarray, row: np.ndarray, place: np.ndarray, ids: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """The sums of the vectors of the words of each row, words at their places; the last vector is 0, that of no word."""
+    table = np.full(shape, len(vectors) - 1)
+    table[row, place] = ids
+    ones, out = np.ones((1, shape[1]), vectors.dtype), np.zeros((shape[0], vectors.shape[1]), vectors.dtype)
+    for a in range(0, len(table), 64):  # what fits the cache
+        out[a:a + 64] = np.matmul(ones, np.take(vectors, table[a:a + 64], axis=0, mode="clip"))[:, 0]
+    return out
 
-    def rows_of(batch: pa.RecordBatch):
-        for at, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            ids, n = np.unique(np.array(words, np.int64), return_counts=True)
-            x = n * weights[ids]
-            yield at, ids, x / max(np.linalg.norm(x), 1e-12)
 
-    def sketch(batches):
-        omega = np.random.default_rng(seed).standard_normal((len(weights), width))
-        for batch in batches:
-            for at, ids, x in rows_of(batch):
-                yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([(x @ omega[ids]).tolist()])], ["at", "y"])
+def _with_none(vectors: np.ndarray) -> np.ndarray:
+    return np.concatenate([vectors, np.zeros((1, vectors.shape[1]), vectors.dtype)])
 
-    y = items.mapInArrow(sketch, "at long, y array<double>").toPandas().sort_values("at")
-    basis, _ = np.linalg.qr(np.array(y["y"].tolist()).reshape(-1, width))
-    place = {at: i for i, at in enumerate(y["at"])}
 
-    def project(batches):
-        sums: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for at, ids, x in rows_of(batch):
-                q = basis[place[at]]
-                for i, v in zip(ids.tolist(), x.tolist()):
-                    sums[i] = sums[i] + v * q if i in sums else v * q
-        if sums:
-            yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()])],
-                                             ["word", "b"])
-
-    added = F.aggregate(F.collect_list("b"), F.array_repeat(F.lit(0.0), basis.shape[1]),
-                        lambda total, x: F.zip_with(total, x, lambda p, q: p + q))  # a row per task
-    summed = items.mapInArrow(project, "word long, b array<double>").groupBy("word").agg(added.alias("b")).collect()
-    b = np.zeros((basis.shape[1], len(weights)))
-    for r in summed:
-        b[:, r["word"]] = r["b"]
-    u, s, _ = np.linalg.svd(b @ b.T)
-    keep = (s > 1e-9 * max(s[0], 1e-300))[:rank] if len(s) else np.zeros(0, bool)
-    u, s = u[:, :len(keep)][:, keep], np.sqrt(s[:len(keep)][keep])
-    return b.T @ u / s
-
-
-def sampled_passages(docs: DataFrame, sample: int, window: int) -> list[list[str]]:
-    """The words of one window from each of about ``sample`` documents (``2 * sample`` at most), at a hashed place."""
-    chosen = docs.select(F.xxhash64("doc_id", "text").alias("hash"), "text")
-    chosen = chosen.where(F.pmod("hash", F.lit(max(1, docs.count() // max(1, sample)))) == 0)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for place, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = plain_words(text)
-                start = place % max(1, len(words) - window + 1)
-                out.append(words[start:start + window])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.string()))], ["hash", "words"])
+def _gram_product(offs: np.ndarray, ids: np.ndarray, weights: np.ndarray, omega: np.ndarray, window: int,
+                  out: np.ndarray) -> None:
+    """Adds the Gram matrix of the texts' windows of ``window`` words, times a matrix, to ``out``.
 
-    rows = chosen.mapInArrow(cut, "hash bigint, words array<string>").orderBy("hash", "words").limit(2 * sample)
-    return [r["words"] for r in rows.collect()]
+    ``omega`` is that matrix by word, with the words' weights in it, then the squares of these, and a row of
+    zeros; the rows of ``out`` lack their weights.  A window counts as a row of length 1, by the sum of its
+    words' squared weights.
+    """
+    sizes = np.diff(offs)
+    n_windows = -(-sizes // window)
+    first = np.cumsum(n_windows) - n_windows
+    at = np.arange(len(ids)) - np.repeat(offs[:-1], sizes)
+    row = np.repeat(first, sizes) + at // window
+    y = _row_sums(omega, row, at % window, ids, (int(n_windows.sum()), window))
+    y = np.ascontiguousarray((y[:, :-1] / np.maximum(y[:, -1:], 1e-12)).T)
+    has = np.flatnonzero(np.append(weights > 0, False)[ids])
+    if not len(has):
+        return
+    ids, row = ids[has], row[has]
+    order = np.argsort(ids.astype(np.uint16) if len(weights) < 1 << 16 else ids, kind="stable")
+    ids = ids[order]
+    cut = np.flatnonzero(np.diff(ids, prepend=-1))
+    out[ids[cut]] += np.add.reduceat(np.take(y, row[order], axis=1), cut, axis=1).T
+
+
+def latent_directions(table: DataFrame, items: list[list[int]], weights: np.ndarray, rank: int, window: int, kind: str,
+                      seed: int = 7) -> np.ndarray:
+    """The first ``rank`` eigenvectors (words x rank) of the Gram matrix of all windows of ``table`` and of ``items``.
+
+    With G the matrix and R a random one, G is about (G R) (R' G R)^-1 (G R)', which needs one pass (Nystroem).
+    """
+    width = rank + OVERSAMPLE
 
+    def random_rows() -> np.ndarray:
+        return np.random.default_rng(seed).standard_normal((len(weights), width))
 
-def build_space(rows: list[tuple[str, str]], docs: DataFrame, rank: int = 32, common: float = 0.1, sample: int = 2000,
-                window: int = 64) -> Space:
-    """The search space of a block of benchmark items, given as (key, text); ``docs`` has doc_id and text.
+    def weighted() -> np.ndarray:
+        return _with_none(np.concatenate([weights[:, None] * random_rows(), weights[:, None] ** 2], axis=1))
 
-    A word in over ``common`` of all documents has no weight, unless an item
-    has no other words.
+    def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        omega, out = weighted().astype(np.float32), np.zeros((len(weights), width))
+        for batch in batches:
+            for part in T.slices(batch.column(0), CODES * np.dtype(kind).itemsize):
+                _gram_product(*_codes(part, kind), weights, omega, window, out)
+        at = np.flatnonzero(out.any(1))
+        if len(at):
+            b = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1) * width, pa.int32()), pa.array(out[at].ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(at), b], ["word", "b"])
+
+    added = F.aggregate(F.collect_list("b"), F.array_repeat(F.lit(0.0), width),
+                        lambda total, x: F.zip_with(total, x, lambda p, q: p + q))  # a row per task
+    summed = (table.where("words is not null").select("words").mapInArrow(products, "word long, b array<double>")
+              .groupBy("word").agg(added.alias("b")).toPandas())
+    omega, weighted_rows, total = random_rows(), weighted(), np.zeros((len(weights), width))
+    if len(summed):
+        total[summed["word"]] = np.array(summed["b"].tolist())
+    for item in items:
+        _gram_product(np.array([0, len(item)]), np.array(item, np.int64), weights, weighted_rows, max(1, len(item)), total)
+    total *= weights[:, None]
+    core = omega.T @ total
+    values, vectors = np.linalg.eigh((core + core.T) / 2)
+    keep = values > 1e-9 * max(values[-1], 1e-300)
+    u, s, _ = np.linalg.svd(total @ vectors[:, keep] / np.sqrt(values[keep]), full_matrices=False)
+    return u[:, :rank][:, s[:rank] > 1e-9 * max([*s[:1], 1e-300])]
+
+
+def build_space(rows: list[tuple[str, str]], docs: DataFrame, folder: str, rank: int = 32, common: float = 0.1,
+                window: int = 64) -> tuple[Space, DataFrame | None]:
+    """The search space of a block of benchmark items, given as (key, text), and the coded documents.
+
+    ``docs`` has doc_id and text; their codes are written to ``folder``.  A word
+    in over ``common`` of all documents has no weight, unless an item has no
+    other words.
     """
     words = [plain_words(text) for _, text in rows]
-    own = {w for ws in words for w in ws}
-    if not own:
-        return Space([], np.zeros(0), np.zeros((0, 1), np.float32), [k for k, _ in rows], words, [0] * len(rows))
-    passages = sampled_passages(docs, sample, window)
-    met = collections.Counter(w for p in passages for w in set(p))
-    vocabulary = [*sorted(own), *sorted(w for w, n in met.items() if n > 1 and w not in own)]
+    vocabulary = sorted({w for ws in words for w in ws})
+    if not vocabulary:
+        return Space([], np.zeros(0), np.zeros((0, 1), np.float32), [k for k, _ in rows], words, [0] * len(rows)), None
     place = {w: i for i, w in enumerate(vocabulary)}
     ids = [[place[w] for w in ws] for ws in words]
-    df, n = document_frequency(docs, vocabulary)
+    table = coded(docs, vocabulary, folder)
+    df, n = document_frequency(table, len(vocabulary) + BUCKETS)
     weights = np.log((n + 1) / (df + 0.5))
     rare = df <= common * n
     for i in ids:
         if i and not rare[i].any():
             rare[i] = True
     weights = np.where(rare, np.maximum(weights, 0.05), 0.0)
-    table = [*ids, *[[place[w] for w in p if w in place] for p in passages]]
-    table = docs.sparkSession.createDataFrame([(k, i) for k, i in enumerate(table) if i], "at long, words array<long>")
-    directions = latent_vectors(table, weights, rank)
+    directions = latent_directions(table, ids, weights, rank, window, _code_type(len(vocabulary)))
     return Space(vocabulary, weights, (weights[:, None] * directions).astype(np.float32), [k for k, _ in rows], ids,
-                 [answer_start(t) for _, t in rows])
+                 [answer_start(t) for _, t in rows]), table
 
 
 # --------------------------------------------------------------------- search
@@ -236,8 +311,8 @@ class Searcher:
     def __init__(self, space: Space, window: int, min_cosine: float, min_share: float, min_answer: float):
         self.space, self.half = space, window // 2
         self.min_cosine, self.min_share, self.min_answer = min_cosine, min_share, min_answer
-        self.words = pa.array(space.vocabulary, pa.string())
         n_items = len(space.items)
+        self.vectors = _with_none(space.vectors)
         self.sizes = np.array([len(i) for i in space.items])
         self.masks = [_masks(i) for i in space.items]
         self.answer_masks = [_masks(i[a:]) for i, a in zip(space.items, space.answers)]
@@ -255,7 +330,7 @@ class Searcher:
         self.list_items, self.list_counts = item[rare], n[rare]
         self.list_sizes = np.bincount(word[rare], minlength=len(space.vocabulary))
         frequent = np.unique(word[~rare])
-        self.column = np.full(len(space.vocabulary) + 1, -1)  # the last: no word of the space
+        self.column = np.full(len(space.vocabulary), -1)
         self.column[frequent] = np.arange(len(frequent))
         self.frequent = np.zeros((len(frequent), n_items), np.float32)
         self.frequent[self.column[word[~rare]], item[~rare]] = n[~rare]
@@ -289,25 +364,23 @@ class Searcher:
                 best = max(best or (share, answer), (share, answer))
         return best
 
-    def _candidates(self, word: np.ndarray, block: np.ndarray, lo: np.ndarray, hi: np.ndarray, a: int, b: int):
-        """``(window, item, cosine)`` of blocks a to b, which begin windows; words by block, and each block's text's ends."""
+    def _candidates(self, word: np.ndarray, block: np.ndarray, place: np.ndarray, lo: np.ndarray, hi: np.ndarray, a: int, b: int):
+        """``(window, item, cosine)`` of blocks a to b, which begin windows; words by block and place, and each block's text's ends."""
         space, n_items, n = self.space, len(self.space.items), len(lo)
-        width = len(space.vocabulary) + 1
-        met = np.unique(block * width + word)  # a word once a block
+        width = len(space.vocabulary)
+        own = word < width
+        met = np.sort(block[own] * width + word[own])
+        met = met[np.flatnonzero(np.diff(met, prepend=-1))]  # a word once a block
         row, once = met // width, met % width
-        sizes = np.append(self.list_sizes, 0)
-        cell = np.repeat(row * n_items, sizes[once]) + self.list_items[T.ragged_take(sizes, once)]
-        rare = np.bincount(cell, self.list_counts[T.ragged_take(sizes, once)], n * n_items).reshape(n, n_items)
+        listed = T.ragged_take(self.list_sizes, once)
+        cell = np.repeat(row * n_items, self.list_sizes[once]) + self.list_items[listed]
+        rare = np.bincount(cell, self.list_counts[listed], n * n_items).reshape(n, n_items)
         rare = np.concatenate([np.zeros((1, n_items)), np.cumsum(rare, 0)])
         column = self.column[once]
         present = np.zeros((n + 1, len(self.frequent)), np.int32)
         present[row[column >= 0] + 1, column[column >= 0]] = 1
         present = np.cumsum(present, 0, dtype=np.int32)
-        weighted = np.append(space.weights > 0, False)[word]
-        vec = np.zeros((n + 1, space.vectors.shape[1]), np.float32)
-        starts = np.flatnonzero(np.diff(block[weighted], prepend=-1))
-        if len(starts):
-            vec[block[weighted][starts]] = np.add.reduceat(space.vectors[word[weighted]], starts, axis=0)
+        vec = _with_none(_row_sums(self.vectors, block, place, word, (n, self.half)))
         at = np.arange(a, b)
         own = vec[a:b] + np.where((at + 1 < hi[a:b])[:, None], vec[a + 1:b + 1], 0)
         cosine = own @ self.item_vectors.T / np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-12)
@@ -321,16 +394,15 @@ class Searcher:
             w, k = np.nonzero(possible & ((shared > 0) | (cosine[:, items] >= self.min_cosine)))
             yield at[w], items[k], cosine[w, items[k]]
 
-    def search(self, texts: pa.Array) -> Iterator[tuple[int, int, float, float, float]]:
-        """(text index, item index, cosine, share, answer share): the best of each text and item."""
+    def search(self, offs: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, int, float, float, float]]:
+        """(text index, item index, cosine, share, answer share): the best of each text and item, of texts' codes."""
         space, half = self.space, self.half
-        offs, ids = _vocabulary_codes(texts, self.words)
         n_blocks = -(-np.diff(offs) // half)
         first_block = np.cumsum(n_blocks) - n_blocks
-        owner = np.repeat(np.arange(len(texts)), n_blocks)
-        known = np.flatnonzero(ids >= 0)
+        owner = np.repeat(np.arange(len(offs) - 1), n_blocks)
+        known = np.flatnonzero(ids < len(space.weights))
         doc = np.searchsorted(offs, known, side="right") - 1
-        block, word = first_block[doc] + (known - offs[doc]) // half, ids[known]
+        block, place, word = first_block[doc] + (known - offs[doc]) // half, (known - offs[doc]) % half, ids[known]
         lo, hi = first_block[owner], first_block[owner] + n_blocks[owner]
         halo = int(-(-self.reach.max() // half)) + 2
         step = max(64, CELLS // max(len(space.items), len(self.frequent)))
@@ -340,7 +412,7 @@ class Searcher:
             # a text's blocks before and after the step are at hand as far as an item can reach
             a, b = max(0, low - halo), min(len(owner), high + halo)
             p, q = np.searchsorted(block, [a, b])
-            for w, k, c in self._candidates(word[p:q], block[p:q] - a, np.maximum(lo[a:b] - a, 0),
+            for w, k, c in self._candidates(word[p:q], block[p:q] - a, place[p:q], np.maximum(lo[a:b] - a, 0),
                                             np.minimum(hi[a:b] - a, b - a), low - a, high - a):
                 met.append((owner[w + a], k, w + a, c))
         if not met:
@@ -372,22 +444,26 @@ def _groups(items: DataFrame, block_items: int) -> Iterator[list[tuple[str, str]
 def find_leaks(docs: DataFrame, items: DataFrame, window: int = 64, min_cosine: float = 0.6, min_share: float = 0.6,
                min_answer: float = 0.5, rank: int = 32, block_items: int = 5000, sample: int = 2000, id_col: str = "doc_id",
                text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
-    """doc_id, item_id, cosine, share, answer_share: one row per document and item that is found in it."""
+    """doc_id, item_id, cosine, share, answer_share: one row per document and item that is found in it.
+
+    ``sample`` has no effect any more: every window of every document is learned from.
+    """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     named = items.select(F.col(item_id).alias("item_id"), F.coalesce(F.col(item_text), F.lit("")).alias("_text"))
     named = named.withColumn("_item", F.sha2("_text", 256))
     out = docs.sparkSession.createDataFrame([], FOUND)
-    for rows in _groups(named, block_items):
-        space = build_space(rows, texts, rank, sample=sample, window=window)
+    folder = scratch_dir(docs.sparkSession, "leaks")
+    for k, rows in enumerate(_groups(named, block_items)):
+        space, table = build_space(rows, texts, f"{folder}/{k}", rank, window=window)
+        if table is None:
+            continue
 
         def search(batches: Iterator[pa.RecordBatch], space=space) -> Iterator[pa.RecordBatch]:
-            if not space.vocabulary:
-                return
-            searcher = Searcher(space, window, min_cosine, min_share, min_answer)
+            searcher, kind = Searcher(space, window, min_cosine, min_share, min_answer), _code_type(len(space.vocabulary))
             for batch in batches:
                 ids, at = batch.column(0).to_pylist(), 0
-                for part in T.slices(T.filled(batch.column(1)), SLICE):
-                    rows = [(ids[at + d], space.keys[i], c, s, a) for d, i, c, s, a in searcher.search(part)]
+                for part in T.slices(batch.column(1), 2 * CODES * np.dtype(kind).itemsize):
+                    rows = [(ids[at + d], space.keys[i], c, s, a) for d, i, c, s, a in searcher.search(*_codes(part, kind))]
                     at += len(part)
                     if rows:
                         columns = list(zip(*rows))
@@ -396,7 +472,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = 64, min_cosine:
                              *[pa.array(c, pa.float64()) for c in columns[2:]]],
                             ["doc_id", "_item", "cosine", "share", "answer_share"])
 
-        out = out.unionByName(texts.mapInArrow(search, FOUND))
+        out = out.unionByName(table.where("words is not null").select("doc_id", "words").mapInArrow(search, FOUND))
     return (out.join(named.select("_item", "item_id"), "_item")
             .select("doc_id", F.col("item_id").cast("long").alias("item_id"), "cosine", "share", "answer_share"))
 
