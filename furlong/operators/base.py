@@ -75,7 +75,8 @@ def attach_horses(runs: DataFrame, horses: DataFrame, columns: Sequence[str] = (
 
 def base_features(races: DataFrame, horses: DataFrame | None = None,
                   places: Sequence[str] = CENTRAL_PLACES, lenient: bool = False,
-                  check_horses: bool = True, partition_by: str | None = None, slot: str | None = None) -> DataFrame:
+                  check_horses: bool = True, partition_by: str | None = None, slot: str | None = None,
+                  n_tasks: int | None = None) -> DataFrame:
     """The 26 typed base columns of every central run.
 
     One select parses each source column once; a second one divides the parsed
@@ -89,13 +90,15 @@ def base_features(races: DataFrame, horses: DataFrame | None = None,
     post-shuffle tasks -- all cores busy even when the scan yields few splits.
     With ``slot`` they are dealt by a column of that name instead, which the
     result keeps last: a hash of the horse id, or of the run where there is none,
-    so that runs without an id spread over all tasks.
+    so that runs without an id spread over all tasks.  ``n_tasks`` says over how
+    many; otherwise the session does.
     """
     runs = central_filter(race_projection(races), places)
     if horses is not None and check_horses:
         assert_unique(horse_projection(horses).select("horse_id"), ["horse_id"], "horses")
     if partition_by is not None:
-        runs = runs.repartition(partition_by) if slot is None else runs.withColumn(slot, horse_slot(runs)).repartition(slot)
+        runs = runs if slot is None else runs.withColumn(slot, horse_slot(runs))
+        runs = runs.repartition(*[n_tasks] * (n_tasks is not None), partition_by if slot is None else slot)
     texts = {c for c, t in runs.dtypes if t == "string"}
 
     def number(name):

@@ -13,13 +13,15 @@ are not output.
    Their ids are broadcast only when their measured bytes are under a limit;
    beyond it, all runs with an id take the chunked path, which is right for
    any horse.
-2. The hot runs are range-partitioned by (horse, date, race id, tie) and
-   written to the shared folder with their partition as chunk and a row number, so a
-   recomputed stage cannot move a boundary.  A chunk is bounded by about
-   ``chunk_rows`` (Spark's sampling keeps ranges near their mean) unless runs
-   are equal in every column.
+2. The hot runs are range-partitioned by (horse, date, race id, tie), sorted,
+   numbered in that order and written to the shared folder, so a recomputed
+   stage cannot move a boundary.  Every ``chunk_rows`` runs of a range are a
+   chunk, named by its first row's number: a range holds many small chunks, or
+   about one of many runs.
 3. Tails: per chunk and group value, the last ``K`` runs, found where the chunk
-   lies (a limited rank needs no shuffle of the runs).  The last ``K`` runs
+   lies (a limited rank needs no shuffle of the runs).  In chunks of at most ``K``
+   runs every run is one, so there they are dealt by horse instead, once for all
+   groups.  The last ``K`` runs
    of a (horse, value) before a chunk are always among the tails of earlier
    chunks; walking the tails in run order, a tail row is sent to the chunks
    that begin within its next ``K`` tail rows (one window with a bounded
@@ -34,15 +36,14 @@ are not output.
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import GROUPS, LENGTHS, METRICS
 from ..session import scratch_dir
-from .trailing import ORDER_COLUMNS, TIE, feature_names, race_features, run_order, with_tie
+from .trailing import ORDER_COLUMNS, TIE, feature_names, race_features, run_order, task_count, with_tie
 
 CHUNK, CONTEXT, ROW = "_chunk", "_context", "_row"
 
@@ -80,17 +81,17 @@ def assign_chunks(hot: DataFrame, n_runs: int, chunk_rows: int) -> DataFrame:
     """
     spark = hot.sparkSession
     folder = scratch_dir(spark, "hot-runs")
-    n = max(1, math.ceil(n_runs / chunk_rows))
-    files = max(1, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = with_tie(hot).repartitionByRange(n, F.col("horse_id"), *run_order())
-    dealt = dealt.withColumn(CHUNK, F.spark_partition_id()).withColumn(ROW, F.monotonically_increasing_id())
-    # Small chunks share a task and a file; their numbers are those of the ranges.
-    (dealt.coalesce(files) if n > files else dealt).write.parquet(folder)
+    n = max(1, min(task_count(spark, n_runs), -(-n_runs // chunk_rows)))
+    order = [F.col("horse_id"), *run_order()]
+    dealt = with_tie(hot).repartitionByRange(n, *order).sortWithinPartitions(*order)
+    dealt = dealt.withColumn(ROW, F.monotonically_increasing_id())
+    in_range = F.col(ROW).bitwiseAND(F.lit((1 << 33) - 1))  # of a row number, what counts rows
+    dealt.withColumn(CHUNK, F.col(ROW) - in_range % F.lit(chunk_rows)).write.parquet(folder)
     return spark.read.parquet(folder)
 
 
 def context_rows(tagged: DataFrame, groups: Sequence[str | None], k_max: int,
-                 metrics: Sequence[str] = METRICS) -> DataFrame:
+                 metrics: Sequence[str] = METRICS, chunk_rows: int | None = None) -> DataFrame:
     """For every chunk, the earlier runs its frames can reach (see module doc, step 3)."""
     needed = list(dict.fromkeys(["horse_id", *ORDER_COLUMNS, TIE, ROW, *[g for g in groups if g], *metrics]))
     needed = [c for c in needed if c in tagged.columns]
@@ -98,39 +99,49 @@ def context_rows(tagged: DataFrame, groups: Sequence[str | None], k_max: int,
     for i, g in enumerate(groups):
         mark = F.struct(F.lit(i).alias("_g"), _group_value(g).alias("_v"))
         marks.append(mark if g is None else F.when(F.col(g).isNotNull(), mark))
-    rows = (tagged.select(*needed, CHUNK, F.explode(F.array_compact(F.array(*marks))).alias("_m"))
-            .select(*needed, CHUNK, "_m.*"))
-    latest = [F.col(c).desc_nulls_last() for c in (*ORDER_COLUMNS, TIE, ROW)]
-    rank = F.row_number().over(Window.partitionBy("horse_id", CHUNK, "_g", "_v").orderBy(*latest))
-    tails = rows.withColumn("_rank", rank).where(F.col("_rank") <= k_max).drop("_rank")
-    w = Window.partitionBy("horse_id", "_g", "_v").orderBy(F.col(CHUNK), *run_order(), F.col(ROW))
+    all_tails = chunk_rows is not None and chunk_rows <= k_max
+    runs = tagged.select(*needed, CHUNK)
+    if all_tails:
+        runs = runs.repartition(task_count(tagged.sparkSession, len(groups) * tagged.count()), "horse_id")
+    tails = (runs.select(*needed, CHUNK, F.explode(F.array_compact(F.array(*marks))).alias("_m"))
+             .select(*needed, CHUNK, "_m.*"))
+    if not all_tails:
+        rank = F.row_number().over(Window.partitionBy("horse_id", CHUNK, "_g", "_v").orderBy(F.desc(ROW)))
+        tails = tails.withColumn("_rank", rank).where(F.col("_rank") <= k_max).drop("_rank")
+    w = Window.partitionBy("horse_id", "_g", "_v").orderBy(ROW)  # row numbers are in run order
     begins = F.coalesce(F.lag(CHUNK, 1).over(w) != F.col(CHUNK), F.lit(True))
     targets = F.collect_list(F.when(F.col("_begins"), F.col(CHUNK))).over(w.rowsBetween(1, k_max))
     # A tail row is needed by every chunk whose first tail row is among its next K.
     return (tails.withColumn("_begins", begins).select(*needed, CHUNK, targets.alias("_targets"))
             .select(*needed, F.col(CHUNK).alias("_from"), F.explode("_targets").alias(CHUNK))
-            .where(F.col("_from") != F.col(CHUNK)).drop("_from").dropDuplicates([ROW, CHUNK]))
+            .where(F.col("_from") != F.col(CHUNK)).drop("_from").dropDuplicates(["horse_id", ROW, CHUNK]))
 
 
 def race_features_skew_safe(base: DataFrame, groups: Sequence[str | None] = GROUPS,
                             lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
                             frame: str = "trailing", check_keys: bool = True,
                             max_rows_per_horse: int = 2_000_000, chunk_rows: int | None = None,
-                            broadcast_limit_bytes: int = 64 << 20, by_horse: DataFrame | None = None) -> DataFrame:
+                            broadcast_limit_bytes: int = 64 << 20,
+                            by_horse: Callable[[int], DataFrame] | None = None) -> DataFrame:
     """``race_features`` with hot horses split into parallel chunks (see module doc).
 
-    ``by_horse`` may give the rows of ``base`` dealt by ``SLOT`` already; the
-    plain plan then starts from it.
+    ``by_horse`` may give the rows of ``base`` dealt by ``SLOT`` over a number of
+    tasks; the plain plan then starts from it.
     """
+    spark, n_all = base.sparkSession, base.count()
     hot, other, n_runs = hot_runs(base, max_rows_per_horse, broadcast_limit_bytes)
     if hot is None:
-        return race_features(base if by_horse is None else by_horse, groups, lengths, metrics, frame, check_keys)
-    tagged = assign_chunks(hot, n_runs, chunk_rows or max_rows_per_horse)
-    context = context_rows(tagged, groups, max(lengths), metrics).withColumn(CONTEXT, F.lit(True))
-    runs = (with_tie(other, check_keys).withColumns({CHUNK: F.lit(-1), CONTEXT: F.lit(False)})
+        n_tasks = task_count(spark, n_all)
+        dealt = base if by_horse is None else by_horse(n_tasks)
+        return race_features(dealt, groups, lengths, metrics, frame, check_keys, n_tasks=n_tasks)
+    chunk_rows = chunk_rows or max_rows_per_horse
+    tagged = assign_chunks(hot, n_runs, chunk_rows)
+    context = context_rows(tagged, groups, max(lengths), metrics, chunk_rows).withColumn(CONTEXT, F.lit(True))
+    n_tasks = task_count(spark, n_all + 2 * max(lengths) * -(-n_runs // chunk_rows))  # context rows: as many, roughly
+    runs = (with_tie(other, check_keys).withColumns({CHUNK: F.lit(-1).cast("long"), CONTEXT: F.lit(False)})
             .unionByName(tagged.drop(ROW).withColumn(CONTEXT, F.lit(False)))
             .unionByName(context.drop(ROW), allowMissingColumns=True))
-    out = race_features(runs, groups, lengths, metrics, frame, check_keys, extra_partition=[CHUNK])
+    out = race_features(runs, groups, lengths, metrics, frame, check_keys, extra_partition=[CHUNK], n_tasks=n_tasks)
     return out.where(~F.col(CONTEXT)).drop(CHUNK, CONTEXT)
 
 

@@ -33,7 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..constants import FEATURE_NAME, GROUP_FEATURE_NAME, GROUPS, LENGTHS, METRICS, RUN_KEY
@@ -44,6 +44,7 @@ FRAMES = ("trailing", "as_written")
 ORDER_COLUMNS = ("held_date", "race_id")
 TIE = "_tie"                     # orders runs that these do not decide
 SLOT = "_slot"                   # what runs are dealt by, see base.horse_slot
+TASK_RUNS = 1 << 16              # runs of one task: its eleven sorts hold some 10 kB of each
 
 
 def feature_name(group: str | None, k: int, metric: str) -> str:
@@ -126,13 +127,22 @@ def using_join_order(base_columns: Sequence[str], groups: Sequence[str | None])
     return order
 
 
+def task_count(spark: SparkSession, n_runs: int) -> int:
+    """Over how many tasks the windows of ``n_runs`` runs go: ``TASK_RUNS`` a task at most, and some for every core.
+
+    The features widen a run to more than ten times what is shuffled of it, so sizes of shuffled bytes, which
+    Spark would go by, do not bound what a task holds.
+    """
+    return max(1, -(-n_runs // TASK_RUNS), min(spark.sparkContext.defaultParallelism, -(-n_runs // 4096)))
+
+
 def race_features(base: DataFrame, groups: Sequence[str | None] = GROUPS,
                   lengths: Sequence[int] = LENGTHS, metrics: Sequence[str] = METRICS,
                   frame: str = "trailing", check_keys: bool = True,
-                  extra_partition: Sequence[str] = ()) -> DataFrame:
+                  extra_partition: Sequence[str] = (), n_tasks: int | None = None) -> DataFrame:
     """Base columns plus every feature block, in the script's output order.
 
-    One shuffle, by ``SLOT`` (AQE may coalesce it), which is left out if
+    One shuffle, by ``SLOT`` (to ``n_tasks``, or as the session says), which is left out if
     ``base`` has that column and so is dealt by it already, and then one sort +
     Window per group spec inside each partition.
     ``extra_partition`` adds partition columns to every window and the shuffle
@@ -143,7 +153,7 @@ def race_features(base: DataFrame, groups: Sequence[str | None] = GROUPS,
     df = base if SLOT in base.columns else base.withColumn(SLOT, horse_slot(base))
     df = df if TIE in df.columns else with_tie(df, check_keys)
     if not dealt:
-        df = df.repartition(SLOT, *extra_partition)
+        df = df.repartition(*[n_tasks] * (n_tasks is not None), SLOT, *extra_partition)
     parts = [SLOT, *extra_partition]
 
     def block(g):

@@ -13,7 +13,8 @@ They only compose the operators; the plan choices live here:
   exchange the windows need also spreads the regex/cast work over all
   post-shuffle tasks.  With hot horses the skew path partitions by
   (horse, chunk) instead;
-* ``skew="off"`` skips the count (the plain plan, for data known to be flat).
+* ``skew="off"`` skips the count per horse (the plain plan, for data known to be flat);
+* either way the runs are counted, and the windows' tasks follow their number.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql.types import StructType
 from ..constants import CENTRAL_PLACES, GROUPS, LENGTHS, METRICS, horse_input_schema, race_input_schema
 from ..operators.base import base_features
 from ..operators.skew import race_features_skew_safe
-from ..operators.trailing import SLOT, race_features
+from ..operators.trailing import SLOT, race_features, task_count
 from ..sources.csv_stack import read_typed, stack_csv, write_csv, write_table
 
 
@@ -57,10 +58,13 @@ def feature_table(races: DataFrame, horses: DataFrame | None = None,
     """
     if skew not in ("auto", "off"):
         raise ValueError(f"skew must be 'auto' or 'off', got {skew!r}")
-    by_horse = base_features(races, horses, places, lenient, partition_by="horse_id", slot=SLOT)
+    base = base_features(races, horses, places, lenient)
+
+    def by_horse(n_tasks):
+        return base_features(races, None, places, lenient, partition_by="horse_id", slot=SLOT, n_tasks=n_tasks)
+
     if skew == "off":
-        return race_features(by_horse, groups, lengths, metrics, frame, check_keys)
-    base = base_features(races, None, places, lenient)
+        return race_features(by_horse(task_count(races.sparkSession, base.count())), groups, lengths, metrics, frame, check_keys)
     return race_features_skew_safe(base, groups, lengths, metrics, frame, check_keys, max_rows_per_horse, chunk_rows,
                                    broadcast_limit_bytes, by_horse)
 

@@ -8,6 +8,7 @@ from conftest import SF01, rows_of
 from furlong.operators import base as B
 from furlong.operators import skew as K
 from furlong.operators import trailing as T
+from furlong.plans import jobs as J
 from furlong.sources import fixtures
 
 
@@ -112,3 +113,26 @@ def test_horse_join_with_hot_and_missing_ids(spark, base, limit):
     want = runs.join(horses.select("horse_id", "mother"), "horse_id", "left")
     got = B.attach_horses(runs, horses, ["mother"], max_rows_per_horse=limit)
     assert got.columns == want.columns and rows_of(got) == rows_of(want)
+
+
+def test_window_tasks_follow_the_number_of_runs(spark, base, monkeypatch):
+    """A task holds a bounded number of runs, whatever few bytes of them are shuffled."""
+    monkeypatch.setattr(T, "TASK_RUNS", 300)
+    n = base.count()
+    for runs in (J.feature_table(fixtures.races(spark, SF01)), J.feature_table(fixtures.races(spark, SF01), skew="off"),
+                 K.trailing_average(base)):
+        sizes = [r["n"] for r in runs.groupBy(F.spark_partition_id()).agg(F.count("held_date").alias("n")).collect()]
+        assert max(sizes) < 2 * 300 and len(sizes) >= n // 300
+
+
+def test_chunks_of_few_runs_share_tasks(spark, base):
+    """Chunks have their number of runs exactly, and are not a partition each."""
+    hot, _, n = K.hot_runs(base, 8)
+    tagged = K.assign_chunks(hot, n, 3)
+    sizes = [r["count"] for r in tagged.groupBy(K.CHUNK).count().collect()]
+    assert max(sizes) == 3 and len(sizes) <= n // 3 + 9 and len(tagged.inputFiles()) <= 9
+    runs = tagged.select("horse_id", K.ROW, K.CHUNK).orderBy(K.ROW).collect()
+    assert [r["horse_id"] for r in runs] == sorted(r["horse_id"] for r in runs)
+    want = {(r[K.ROW], r[K.CHUNK]) for r in K.context_rows(tagged, [None, "weather"], 5).select(K.ROW, K.CHUNK).collect()}
+    few = K.context_rows(tagged, [None, "weather"], 5, chunk_rows=3)
+    assert {(r[K.ROW], r[K.CHUNK]) for r in few.select(K.ROW, K.CHUNK).collect()} == want and few.count() == len(want)
