@@ -44,7 +44,7 @@ from . import text as T
 
 OTHER, END = 0, 1                # outputs that are no words
 BOUND = 60.0                     # of a logit, either way
-COUNT_SLICE = 32 << 20
+SLICE = 8 << 20                  # bytes of text cut at once; the arrays for it take some 15 times as much
 
 
 @dataclass(frozen=True)
@@ -76,7 +76,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     """word, c: how often each word occurs in the column ``text``."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in T.slices(T.filled(batch.column(0)), COUNT_SLICE):
+            for part in T.slices(T.filled(batch.column(0)), SLICE):
                 _, codes, words = _word_codes(part)
                 yield pa.RecordBatch.from_arrays([words, pa.array(np.bincount(codes, minlength=len(words)))], ["word", "c"])
 
@@ -287,7 +287,7 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for part in T.slices(T.filled(batch.column(2))):
+            for part in T.slices(T.filled(batch.column(2)), SLICE):
                 offs, codes, words = _word_codes(part)
                 known = pc.fill_null(pc.index_in(words, place), -1).to_numpy(zero_copy_only=False).astype(np.int64)
                 ids = np.where(known >= 0, known + 2, OTHER)[codes]

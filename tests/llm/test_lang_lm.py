@@ -5,6 +5,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -209,3 +210,36 @@ def brute_grams(text):
     line = f" {line} "
     grams = [line[i:i + n] for n in (1, 2, 3) for i in range(len(line) - n + 1)]
     return [tuple([1 if c == " " else ord(c) for c in g] + [0] * (3 - len(g))) for g in grams if g != " "]
+
+
+class Texts:
+    """One batch of texts in place of a DataFrame: what a task does with it, in this process."""
+
+    def __init__(self, texts):
+        self.batch = pa.RecordBatch.from_arrays([texts], ["text"])
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, f, schema):
+        self.out = f(iter([self.batch]))
+        return self
+
+    def groupBy(self, *_):
+        return self
+
+    def agg(self, *_):
+        return self.out
+
+
+def test_cutting_a_slice_into_words_takes_bounded_memory(spark):
+    """Two tasks of an executor cut texts at once, beside its heap."""
+    import tracemalloc
+    text = " ".join(f"w{i * 7919 % 200_000}" for i in range(5000))
+    texts = pa.array([text] * ((40 << 20) // len(text)))
+    counted = R.word_counts(Texts(texts))
+    tracemalloc.start()
+    assert sum(sum(b.column(1).to_pylist()) for b in counted) == 5000 * len(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300e6
