@@ -19,11 +19,14 @@ all pairs: a group of any size costs a partial aggregate.
 
 Lines that cannot have a partner emit no variants: one edited word leaves the
 first or the last third of a line as it is, so only lines that share such a
-part with another (counted over all distinct lines) are expanded.  Variant
+part with another (counted over all distinct lines) go on.  A part that two
+lines share names that pair, which is verified as it is; only lines with a part
+that three or more share are expanded.  A pair within the bound shares a part,
+so it is either named or both its lines are expanded, and none is lost.  Variant
 hashes are running sums of word hashes, linear in a line's words.
 
 All steps are DataFrame operations on hashes (two of 64 bits for a line); text
-is read again only for the lines that are expanded, and at the end to write
+is read again only for the lines that are verified, and at the end to write
 the result.  Small sides are broadcast after their rows have been counted and
 joined by a shuffle beyond that bound.
 
@@ -49,21 +52,25 @@ BROADCAST_ROWS = 500_000         # of about 100 bytes each at most
 WORD_HASH_BITS = 40              # so that sums over 2^23 words stay within a long
 
 
-def _bounded(side: DataFrame) -> DataFrame:
-    """``side``, checkpointed and marked for broadcast if it has few enough rows."""
-    side = side.checkpoint()
+def _bounded(side: DataFrame, stored: bool = False) -> DataFrame:
+    """``side``, checkpointed if it is not ``stored``, and marked for broadcast if it has few enough rows."""
+    side = side if stored else side.checkpoint()
     return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
 
 
+def _place() -> Column:
+    """Where a line stands in the order of all, from ``doc_id`` and ``line_no``."""
+    return (F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(NO_ID).cast("decimal(20,0)"))
+            * F.lit(1 << LINE_BITS).cast("decimal(11,0)") + F.col("line_no")).cast("decimal(38,0)")
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, line_no, line and the line's hashes and place, for lines that are not blank."""
-    place = (F.coalesce(F.col("doc_id").cast("decimal(20,0)"), F.lit(NO_ID).cast("decimal(20,0)"))
-             * F.lit(1 << LINE_BITS).cast("decimal(11,0)") + F.col("line_no"))
     return (docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
                         F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line"))
             .where(F.trim("line") != "")
             .select("doc_id", "text_hash", "line_no", "line", F.xxhash64("line").alias("h1"),
-                    F.xxhash64(F.lit(1), "line").alias("h2"), place.cast("decimal(38,0)").alias("at")))
+                    F.xxhash64(F.lit(1), "line").alias("h2"), _place().alias("at")))
 
 
 def _spaced(line: Column) -> Column:
@@ -100,7 +107,8 @@ def _part_keys(min_words: int) -> list[Column]:
 def _variants(lines: DataFrame) -> DataFrame:
     """n, i, v1, v2, h1, h2, at, whole: the variants of each line, by place for replaced words and without for others."""
     order = Window.partitionBy("h1", "h2").orderBy("i")
-    lines = lines.repartition("h1", "h2")  # before the words are rows, which the windows then take as they lie
+    lines = lines.select("h1", "h2", "at", "spaced").repartition("h1", "h2")  # whole lines, which the windows then take as they lie
+    lines = lines.select("h1", "h2", "at", _words("spaced").alias("words"))
     rows = lines.select("h1", "h2", "at", F.size("words").alias("n"), F.posexplode("words").alias("i", "w"))
     for s in (1, 2):
         mask = F.lit((1 << WORD_HASH_BITS) - 1)
@@ -138,13 +146,33 @@ def _within_one_word(a: Column, b: Column) -> Column:
     return replaced | inserted
 
 
-def _near_lines(docs: DataFrame, distinct: DataFrame, min_words: int) -> DataFrame:
-    """h1, h2, limit: lines with an earlier line within the bound, and where the earliest such line found stands."""
+def _words(spaced: str) -> Column:
+    return F.split(F.col(spaced), " ")
+
+
+def _shared_parts(distinct: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The lines that share a part with another: pairs x, y by h1, where two do, and h1 of the lines to expand."""
     key_rows = distinct.select("h1", F.explode("keys").alias("key"))
-    shared = key_rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    some = _bounded(key_rows.join(shared, "key").select("h1").distinct())
-    lines = (_lines(docs).join(some, "h1", "left_semi").groupBy("h1", "h2", "line").agg(F.min("at").alias("at"))
-             .withColumn("words", F.split(_spaced(F.col("line")), " ")).where(F.size("words") >= min_words).checkpoint())
+    parts = key_rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("h1").alias("x"), F.max("h1").alias("y"))
+    parts = parts.where("n > 1").checkpoint()
+    pairs = parts.where("n = 2").select("x", "y").distinct().checkpoint()
+    crowded = _bounded(parts.where("n > 2").select("key"))
+    return pairs, key_rows.join(crowded, "key").select("h1").distinct().checkpoint()
+
+
+def _pair_limits(lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """h1, h2, limit: the later line of each pair within the bound, and where the earlier stands."""
+    a = lines.select(F.col("h1").alias("x"), F.col("h2").alias("x2"), F.col("at").alias("x_at"), F.col("spaced").alias("x_spaced"))
+    b = lines.select(F.col("h1").alias("y"), F.col("h2").alias("y2"), F.col("at").alias("y_at"), F.col("spaced").alias("y_spaced"))
+    first = F.col("x_at") < F.col("y_at")
+    later = [F.when(first, F.col(y)).otherwise(F.col(x)) for x, y in (("x", "y"), ("x2", "y2"))]
+    return (a.join(_bounded(pairs, stored=True), "x").join(b, "y").where("x_at != y_at")
+            .where(_within_one_word(_words("x_spaced"), _words("y_spaced")))
+            .select(later[0].alias("h1"), later[1].alias("h2"), F.least("x_at", "y_at").alias("limit")))
+
+
+def _variant_limits(lines: DataFrame) -> DataFrame:
+    """h1, h2, limit: lines with an earlier one within the bound among ``lines``, and where partners found stand."""
     key = ["n", "i", "v1", "v2"]
     variants = _variants(lines)
     groups = variants.groupBy(*key).agg(
@@ -159,11 +187,23 @@ def _near_lines(docs: DataFrame, distinct: DataFrame, min_words: int) -> DataFra
     partner = F.when(F.col("i") >= 0, F.col("least")).when(F.col("whole"), F.col("least_cut")).otherwise(
         F.col("least_whole"))
     met = two.union(variants.join(more, key).select("at", partner.alias("partner")).where("partner < at"))
-    a = lines.select("h1", "h2", "at", "words")
-    b = lines.select(F.col("at").alias("partner"), F.col("words").alias("partner_words"))
-    verified = (met.distinct().join(a, "at").join(b, "partner")
-                .where(_within_one_word(F.col("words"), F.col("partner_words"))))
-    return verified.groupBy("h1", "h2").agg(F.min("partner").alias("limit"))
+    a = lines.select("h1", "h2", "at", "spaced")
+    b = lines.select(F.col("at").alias("partner"), F.col("spaced").alias("partner_spaced"))
+    return (met.distinct().join(a, "at").join(b, "partner")
+            .where(_within_one_word(_words("spaced"), _words("partner_spaced")))
+            .select("h1", "h2", F.col("partner").alias("limit")))
+
+
+def _near_lines(docs: DataFrame, distinct: DataFrame, min_words: int) -> DataFrame:
+    """h1, h2, limit: lines with an earlier line within the bound, and where the earliest such line found stands."""
+    pairs, crowded = _shared_parts(distinct)
+    some = _bounded(pairs.select(F.col("x").alias("h1")).union(pairs.select("y")).union(crowded).distinct())
+    lines = (_lines(docs).join(some, "h1", "left_semi").groupBy("h1", "h2", "line").agg(F.min("at").alias("at"))
+             .withColumn("spaced", _spaced(F.col("line"))).where(_n_words(F.col("spaced")) >= min_words)
+             .select("h1", "h2", "at", "spaced").checkpoint())
+    expanded = lines.join(_bounded(crowded, stored=True), "h1", "left_semi")
+    found = _pair_limits(lines, pairs).union(_variant_limits(expanded))
+    return found.groupBy("h1", "h2").agg(F.min("limit").alias("limit"))
 
 
 def dropped_lines(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -180,8 +220,8 @@ def dropped_lines(docs: DataFrame, min_words: int = 5, id_col: str = "doc_id", t
     near = _near_lines(docs, distinct, min_words)
     copies = distinct.where("rows > 1").select("h1", "h2", F.col("at").alias("limit"))
     limits = copies.union(near).groupBy("h1", "h2").agg(F.min("limit").alias("limit"))
-    return (lines.select("doc_id", "text_hash", "line_no", "h1", "h2", "at").join(limits, ["h1", "h2"])
-            .where("at > limit").groupBy("doc_id", "text_hash")
+    return (lines.select("doc_id", "text_hash", "line_no", "h1", "h2").join(limits, ["h1", "h2"])
+            .where(_place() > F.col("limit")).groupBy("doc_id", "text_hash")
             .agg(F.array_sort(F.collect_set("line_no")).alias("dropped")))
 
 

@@ -221,6 +221,42 @@ def test_lines_without_broadcast(spark, monkeypatch):
     assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == sorted(brute_lines(rows), key=str)
 
 
+@pytest.mark.parametrize("bound", [0, 500_000])
+def test_only_lines_of_crowded_parts_are_expanded(spark, monkeypatch, bound):
+    """Two lines of one part are verified as a pair; variants, most of the shuffle, are for parts of three or more."""
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", bound)
+    rng = np.random.default_rng(12)
+    expanded = []
+    variants = line_dedup._variants
+
+    def counted(lines):
+        expanded.append(lines.count())
+        return variants(lines)
+
+    monkeypatch.setattr(line_dedup, "_variants", counted)
+
+    def edited(words, k):
+        at = int(rng.integers(len(words)))
+        return words[:at] + [["new"], [], ["new", words[at]]][k % 3] + words[at + 1:]
+
+    def line(k):
+        return [f"w{k}x{j}" for j in range(int(rng.integers(8, 20)))]
+
+    rows = []
+    for k in range(40):  # groups of two: an edited word, or a second that makes them differ
+        base = line(k)
+        other = edited(base, k)
+        rows += [base, other if k % 4 else edited(other, k + 1)]
+    for k in range(40, 44):  # groups of six, from one base, that edits of different words tell apart
+        base = line(k)
+        rows += [base, *(edited(base, j) for j in range(5))]
+    order = rng.permutation(len(rows)).tolist()
+    rows = [(i, " ".join(rows[j])) for i, j in enumerate(order)]
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == sorted(brute_lines(rows))
+    assert 0 < expanded[0] <= 24
+
+
 def test_line_query_equals_its_sql(spark, duck):
     columns, rows, _ = duck(queries.oracle_sql()["op4_line_dedup"])
     got = queries.op4_line_dedup(spark, SF01).select(*columns).collect()
