@@ -21,8 +21,10 @@ Scoring runs the documents of a batch side by side, longest first, window by
 window with the state carried, so whole documents get their likelihood and a
 batch needs memory for its states and one window.
 
-Counts of words outside the shortlist are looked up by a join on the word;
-only the shortlist and the weights are in the tasks' closures.
+Counts of words outside the shortlist are looked up where the texts are cut if
+they are among the most frequent (``listed`` at most, a bounded table in the
+tasks' closures), and by a join on the word if they are not, so the join has
+the long tail of the words only.  Which way a count is found changes no result.
 
 Edge cases: a null text is the empty text (one token, its end); a null id is
 not held out; repeated rows are scored each; without training documents every
@@ -57,6 +59,7 @@ class Settings:
     warm_tokens: int = 1_500_000
     warm_rate: float = 0.01
     rate: float = 0.003
+    listed: int = 1 << 17        # words whose counts every task has
 
 
 def held_out(doc_id: Column, folds: int = 7, fold: int = 2) -> Column:
@@ -83,6 +86,18 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(count, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def listed_counts(counts: DataFrame, limit: int) -> pa.Table:
+    """word, c: at most ``limit`` of the most frequent words, all those from some count on."""
+    step = F.floor(F.log2("c") * 16)  # a step is some 4 % more
+    words, steps = 0, []
+    for r in counts.groupBy(step.alias("step")).count().orderBy(F.desc("step")).toLocalIterator():
+        words += r["count"]
+        if words > limit:
+            break
+        steps.append(r["step"])
+    return counts.where(step >= steps[-1] if steps else F.lit(False)).toArrow()
+
+
 @dataclass
 class Vocabulary:
     """The shortlist and the corpus totals; outputs are other, end, then the words."""
@@ -92,6 +107,7 @@ class Vocabulary:
     n_train: int                 # tokens, ends included
     n_types: int                 # distinct tokens, the end included
     other_mass: int              # counts plus one of all other words, and one for words never seen
+    listed: pa.Table             # word, c of the words whose counts need no join
 
 
 # -------------------------------------------------------------------- the net
@@ -281,8 +297,13 @@ class Net:
 # ------------------------------------------------------------------ in Spark
 
 def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, held_out, n_tokens, outputs (16-bit, one per token), rare (other words) and times of each."""
+    """doc_id, held_out, n_tokens, outputs (16-bit, one per token), and what is known of a text's other words.
+
+    That is their number, how many are listed, the sum of log10(count + 1) of these, and the rest: rare and times of each.
+    """
     place = pa.array(vocabulary.words, pa.string())
+    listed = vocabulary.listed.column("word").combine_chunks()
+    listed_log = np.append(np.log10(vocabulary.listed.column("c").to_numpy() + 1.0), 0.0)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -293,8 +314,13 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 ids = np.where(known >= 0, known + 2, OTHER)[codes]
                 starts = offs + np.arange(len(offs))
                 tokens = np.insert(ids, offs[1:], END).astype("<u2")
-                rare = np.flatnonzero(ids == OTHER)
+                entry = pc.fill_null(pc.index_in(words, listed), -1).to_numpy(zero_copy_only=False)  # the last is 0
+                other = ids == OTHER
+                n_other = T.per_text(offs, other)
+                other_log = np.concatenate([[0.0], np.cumsum(np.where(other, listed_log[entry][codes], 0.0))])
+                rare = np.flatnonzero(other & (entry < 0)[codes])
                 owner = np.searchsorted(offs, rare, side="right") - 1
+                other_listed = n_other - np.bincount(owner, minlength=len(part))
                 pair = np.sort(owner * np.int64(len(words) + 1) + codes[rare])
                 first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])[:len(pair)])
                 times = np.diff(np.append(first, len(pair)))
@@ -305,14 +331,15 @@ def _encode(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 offsets = pa.array(ends, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(part)), batch.column(1).slice(at, len(part)),
-                     pa.array(np.diff(starts)), blob,
+                     pa.array(np.diff(starts)), blob, pa.array(n_other), pa.array(other_listed),
+                     pa.array(np.diff(other_log[offs])),
                      pa.ListArray.from_arrays(offsets, words.take(pa.array(pair % (len(words) + 1)))),
                      pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64()))],
-                    ["doc_id", "held_out", "n_tokens", "outputs", "rare", "times"])
+                    ["doc_id", "held_out", "n_tokens", "outputs", "n_other", "other_listed", "other_log", "rare", "times"])
                 at += len(part)
 
-    return docs.mapInArrow(encode, "doc_id long, held_out boolean, n_tokens long, outputs binary, rare array<string>, "
-                                   "times array<long>")
+    return docs.mapInArrow(encode, "doc_id long, held_out boolean, n_tokens long, outputs binary, n_other long, "
+                                   "other_listed long, other_log double, rare array<string>, times array<long>")
 
 
 def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -366,7 +393,8 @@ def score_documents(docs: DataFrame, folder: str, settings: Settings = Settings(
     known = sum(r["c"] for r in top)
     rest = total["n"] - known
     vocabulary = Vocabulary([r["word"] for r in top], np.array([rest, n_docs, *[r["c"] for r in top]]),
-                            total["n"] + n_docs, total["v"] + (n_docs > 0), rest + total["v"] - len(top) + 1)
+                            total["n"] + n_docs, total["v"] + (n_docs > 0), rest + total["v"] - len(top) + 1,
+                            listed_counts(counts, settings.listed))
     encoded = _encode(rows, vocabulary).withColumn("row", F.monotonically_increasing_id())
     encoded.write.parquet(f"{folder}/encoded")
     encoded = spark.read.parquet(f"{folder}/encoded")
@@ -378,7 +406,7 @@ def score_documents(docs: DataFrame, folder: str, settings: Settings = Settings(
         net = Net(settings, _trained(warm_rows(learned, share), settings, net.weights, settings.warm_rate))
         net = Net(settings, _trained(learned, settings, net.weights, settings.rate))
     denominator = float(vocabulary.n_train + vocabulary.n_types + 1)
-    weights, base = net.weights, np.log10((vocabulary.counts + 1) / denominator)
+    weights, counted, base = net.weights, vocabulary.counts > 0, np.log10((vocabulary.counts + 1) / denominator)
     other = float(np.log10(vocabulary.other_mass))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,23 +416,22 @@ def score_documents(docs: DataFrame, folder: str, settings: Settings = Settings(
             logp = net.score(tokens, starts) / np.log(10)
             listed = tokens != OTHER
             total = np.concatenate([[0], np.cumsum(np.where(listed, base[tokens], 0.0))])
-            n_listed = np.concatenate([[0], np.cumsum(listed & (vocabulary.counts[tokens] > 0))])
+            n_listed = np.concatenate([[0], np.cumsum(listed & counted[tokens])])
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(i) for i in range(4)], pa.array(np.diff(n_listed[starts])),
+                [*[batch.column(i) for i in range(7)], pa.array(np.diff(n_listed[starts])),
                  pa.array(np.diff(total[starts])), pa.array(logp)],
-                ["row", "doc_id", "held_out", "n_tokens", "n_listed", "base_listed", "model"])
+                ["row", "doc_id", "held_out", "n_tokens", "n_other", "other_listed", "other_log", "n_listed", "base_listed", "model"])
 
-    scored = encoded.select("row", "doc_id", "held_out", "n_tokens", "outputs").mapInArrow(
-        score, "row long, doc_id long, held_out boolean, n_tokens long, n_listed long, base_listed double, model double")
+    scored = encoded.select("row", "doc_id", "held_out", "n_tokens", "n_other", "other_listed", "other_log", "outputs").mapInArrow(
+        score, "row long, doc_id long, held_out boolean, n_tokens long, n_other long, other_listed long, other_log double, "
+               "n_listed long, base_listed double, model double")
     rare = (encoded.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
-            .select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")).join(counts, "word", "left"))
-    sums = rare.groupBy(F.col("row").alias("r")).agg(
-        F.sum("times").alias("n_rare"), F.sum(F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known"),
-        F.sum(F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 1.0)).alias("rare_log"))
-    zero = F.lit(0).cast("long")
-    n_rare, rare_log = F.coalesce("n_rare", zero), F.coalesce("rare_log", F.lit(0.0))
+            .select("row", F.col("w.rare").alias("word"), F.col("w.times").alias("times")).join(counts, "word"))
+    sums = rare.groupBy(F.col("row").alias("r")).agg(  # of words met in training; the others add nothing
+        F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("rare_log"))
+    n_known = F.col("n_listed") + F.col("other_listed") + F.coalesce("rare_known", F.lit(0).cast("long"))
+    rare_log = F.col("other_log") + F.coalesce("rare_log", F.lit(0.0))
     return scored.join(sums, F.col("row") == F.col("r"), "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_listed") + F.coalesce("rare_known", zero)).alias("n_known"),
-        F.lit(vocabulary.n_train).cast("long").alias("train_tokens"),
-        (F.col("base_listed") + rare_log - n_rare * F.lit(float(np.log10(denominator)))).alias("base_score"),
-        (F.col("model") + rare_log - n_rare * F.lit(other)).alias("score"))
+        "doc_id", "held_out", "n_tokens", n_known.alias("n_known"), F.lit(vocabulary.n_train).cast("long").alias("train_tokens"),
+        (F.col("base_listed") + rare_log - F.col("n_other") * F.lit(float(np.log10(denominator)))).alias("base_score"),
+        (F.col("model") + rare_log - F.col("n_other") * F.lit(other)).alias("score"))
