@@ -146,21 +146,27 @@ class Net:
     def step(self, p: dict[str, np.ndarray], h: np.ndarray, tokens: np.ndarray):
         """The next states, and what back-propagation needs."""
         n = h.shape[1]
-        x, g = p["table"][tokens], h @ p["U"]
+        x, g = np.take(p["table"], tokens, axis=0, mode="clip"), h @ p["U"]
         gates = x[:, :2 * n] + g[:, :2 * n]
         np.negative(gates, out=gates)
-        np.exp(np.minimum(gates, 30, out=gates), out=gates)
+        np.minimum(gates, 30, out=gates)
+        np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
         z, r, gn = gates[:, :n], gates[:, n:], g[:, 2 * n:]
-        new = np.tanh(x[:, 2 * n:] + r * gn)
-        return new + z * (h - new), (z, r, gn, new)
+        new = r * gn
+        new += x[:, 2 * n:]
+        np.tanh(new, out=new)
+        after = h - new
+        after *= z
+        after += new
+        return after, (z, r, gn, new)
 
     def outputs(self, p: dict[str, np.ndarray], h: np.ndarray, tokens: np.ndarray, grad: dict | None = None,
                 weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log-probabilities of ``tokens`` after states ``h``; with ``grad``, also the states' gradient."""
         classes, place = tokens // self.per_class, tokens % self.per_class
-        order = np.argsort(classes, kind="stable")
+        order = np.argsort(classes.astype(np.uint16), kind="stable")
         h, classes, place = h[order], classes[order], place[order]
         rows = np.arange(len(h))
         logits = h @ p["Wc"]
@@ -178,25 +184,26 @@ class Net:
             grad["Wc"] += h.T @ d
             grad["bc"] += d.sum(0)
             dh = d @ p["Wc"].T
-        cuts = np.searchsorted(classes, np.arange(self.settings.classes + 1))
-        for c in range(self.settings.classes):
-            a, b = cuts[c], cuts[c + 1]
-            if a == b:
-                continue
-            own = h[a:b] @ p["Wo"][c]
-            own += p["bo"][c]
-            np.clip(own, -BOUND, BOUND, out=own)
-            e = np.exp(own)
-            total = e @ np.ones(e.shape[1], np.float32)
-            at = np.arange(b - a)
-            logp[a:b] += own[at, place[a:b]] - np.log(total)
-            if grad is not None:
-                d = e
-                d *= (weight[a:b] / total)[:, None]
-                d[at, place[a:b]] -= weight[a:b]
-                grad["Wo"][c] += h[a:b].T @ d
-                grad["bo"][c] += d.sum(0)
-                dh[a:b] += d @ p["Wo"][c].T
+        cuts = np.searchsorted(classes, np.arange(self.settings.classes + 1)).tolist()
+        spans = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+        own = np.empty((len(h), self.per_class), h.dtype)
+        for c, at in spans:
+            np.matmul(h[at], p["Wo"][c], out=own[at])
+            own[at] += p["bo"][c]
+        np.clip(own, -BOUND, BOUND, out=own)
+        logp += own[rows, place]
+        e = np.exp(own, out=own)
+        total = e @ np.ones(e.shape[1], np.float32)
+        logp -= np.log(total)
+        if grad is not None:
+            e *= (weight / total)[:, None]
+            e[rows, place] -= weight
+            one = np.ones(len(h), np.float32)
+            for c, at in spans:
+                d = e[at]
+                grad["Wo"][c] += h[at].T @ d
+                grad["bo"][c] += one[at] @ d
+                dh[at] += d @ p["Wo"][c].T
         back = np.empty_like(order)
         back[order] = rows
         return logp[back], None if dh is None else dh[back]
@@ -214,41 +221,49 @@ class Net:
         grad = self.views(vector)
         m, v = np.zeros_like(vector), np.zeros_like(vector)
         h = np.zeros((streams, s.hidden), np.float32)
-        n_windows = length // s.steps
+        n_windows, n = length // s.steps, s.hidden
+        changes = np.empty((s.steps, streams, 4 * n), np.float32)  # by the state's part of the new state, then by the input
         for k in range(n_windows):
-            own, weight = padded[:, k * s.steps:(k + 1) * s.steps], real[:, k * s.steps:(k + 1) * s.steps]
+            own = np.ascontiguousarray(padded[:, k * s.steps:(k + 1) * s.steps].T)
+            weight = real[:, k * s.steps:(k + 1) * s.steps].T.ravel()
+            on = (own != END).astype(np.float32)[:, :, None]
             vector[:] = 0
-            before, kept, goes_on = [], [], []
+            before, kept = [], []
             for t in range(s.steps):
                 before.append(h)
-                h, saved = self.step(p, h, own[:, t])
+                h, saved = self.step(p, h, own[t])
                 kept.append(saved)
-                on = (own[:, t] != END).astype(np.float32)[:, None]
-                goes_on.append(on)
-                h = h * on
+                h *= on[t]
             flat = np.concatenate(before)
             scale = 1.0 / max(1.0, float(weight.sum()))
-            _, dh_out = self.outputs(p, flat, own.T.ravel(), grad, weight.T.ravel() * np.float32(scale))
-            dh_out = dh_out.reshape(s.steps, streams, s.hidden)
+            ids = own.ravel()
+            _, dh_out = self.outputs(p, flat, ids, grad, weight * np.float32(scale))
+            dh_out = dh_out.reshape(s.steps, streams, n)
             dh = np.zeros_like(h)
-            dx, dg_all = np.empty((s.steps, streams, 3 * s.hidden), np.float32), np.empty((s.steps, streams, 3 * s.hidden), np.float32)
+            turned = np.concatenate([p["U"][:, 2 * n:], p["U"][:, :2 * n]], axis=1).T
             for t in reversed(range(s.steps)):
                 z, r, gn, new = kept[t]
-                dh *= goes_on[t]
-                dn = dh * (1 - z) * (1 - new * new)
-                dz = dh * (before[t] - new) * z * (1 - z)
-                dr = dn * gn * r * (1 - r)
-                dg = dg_all[t]
-                dg[:, :s.hidden], dg[:, s.hidden:2 * s.hidden], dg[:, 2 * s.hidden:] = dz, dr, dn * r
-                dx[t] = dg
-                dx[t, :, 2 * s.hidden:] = dn
-                dh = dh * z + dg @ p["U"].T + dh_out[t]
-            grad["U"] += flat.T @ dg_all.reshape(-1, 3 * s.hidden)
-            ids = own.T.ravel()
-            order = np.argsort(ids, kind="stable")
-            ids = ids[order]
-            cut = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-            grad["table"][ids[cut]] += np.add.reduceat(dx.reshape(-1, 3 * s.hidden)[order], cut)
+                d = changes[t]
+                dh *= on[t]
+                left = 1 - z
+                dn = np.multiply(dh * left, 1 - new * new, out=d[:, 3 * n:])
+                np.multiply(dh * (before[t] - new), z * left, out=d[:, n:2 * n])
+                dr = np.multiply(dn, r, out=d[:, :n])
+                np.multiply(dr * gn, 1 - r, out=d[:, 2 * n:3 * n])
+                dh *= z
+                dh += d[:, :3 * n] @ turned
+                dh += dh_out[t]
+            every = changes.reshape(-1, 4 * n)
+            states = flat.T @ every[:, :3 * n]
+            grad["U"][:, :2 * n] += states[:, n:]
+            grad["U"][:, 2 * n:] += states[:, :n]
+            inputs, listed = every[:, n:], ids != OTHER  # the other words are most of all tokens
+            grad["table"][OTHER] += (~listed).astype(np.float32) @ inputs
+            at = np.flatnonzero(listed)
+            at = at[np.argsort(ids[at].astype(np.uint16), kind="stable")]
+            cut = np.flatnonzero(np.diff(ids[at], prepend=-1))
+            if len(cut):
+                grad["table"][ids[at[cut]]] += np.add.reduceat(inputs[at], cut)
             size = float(np.sqrt(vector @ vector))
             if size > 1.0:
                 vector /= size

@@ -98,6 +98,26 @@ def test_counts_and_base_scores_equal_brute_force(spark, tmp_path):
         assert g["score"] < 0 and math.isfinite(g["score"])
 
 
+@pytest.mark.parametrize("listed", [0, 12, 1 << 17])
+def test_only_words_beyond_the_listed_are_joined(spark, tmp_path, listed):
+    """Counts that the tasks have need no join; which words these are changes no count and no score."""
+    rows = [(i, f"The w{i % 7} A ÀÉ w{i} once{i} the w{i % 7}") for i in range(60)] + [(60, None), (61, "never never seen"), (None, "w1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    small = R.Settings(shortlist=6, classes=2, hidden=4, streams=4, steps=4, warm_tokens=200, listed=listed)
+    got = sorted(R.score_documents(docs, f"{tmp_path}/lm", small).collect(), key=lambda r: str(r["doc_id"]))
+    want = sorted(brute_base(rows), key=lambda r: str(r[0]))
+    assert [tuple(g)[:5] for g in got] == [w[:5] for w in want]
+    assert [g["base_score"] for g in got] == pytest.approx([w[5] for w in want], abs=1e-6)
+    words = collections.Counter(w for (i, t), held in zip(rows, [r[1] for r in brute_base(rows)]) if not held
+                                for w in (t or "").encode().lower().decode().split())
+    joined = {r["w"] for r in spark.read.parquet(f"{tmp_path}/lm/encoded").selectExpr("explode(rare) as w").collect()}
+    if listed == 1 << 17:
+        assert joined and not joined & {*words}
+    else:
+        assert {w for w, c in words.items() if c == 1} <= joined
+        assert bool(joined & {f"w{k}" for k in range(7)}) == (listed == 0)
+
+
 def test_no_training_documents_and_no_documents(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     got = R.score_documents(docs, f"{tmp_path}/none", SMALL, held=F.lit(True)).collect()
