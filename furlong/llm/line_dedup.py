@@ -28,7 +28,8 @@ hashes are running sums of word hashes, linear in a line's words.
 All steps are DataFrame operations on hashes (two of 64 bits for a line); text
 is read again only for the lines that are verified, and at the end to write
 the result.  Small sides are broadcast after their rows have been counted and
-joined by a shuffle beyond that bound.
+joined by a shuffle beyond that bound; of the texts only the lines that a
+broadcast bitmap lets pass are shuffled then.
 
 Edge cases: a null text stays null; a null id comes after all ids; rows of
 one id are one document when order is concerned, so equal lines at one
@@ -49,6 +50,7 @@ from .names import fresh
 LINE_BITS = 31                   # of a line's number within its document
 NO_ID = Decimal(1 << 63)         # stands after every id
 BROADCAST_ROWS = 500_000         # of about 100 bytes each at most
+MAP_BITS = 27                    # of the map that picks lines beyond that bound: 16 MB
 WORD_HASH_BITS = 40              # so that sums over 2^23 words stay within a long
 
 
@@ -64,6 +66,19 @@ def _place() -> Column:
             * F.lit(1 << LINE_BITS).cast("decimal(11,0)") + F.col("line_no")).cast("decimal(38,0)")
 
 
+def _mapped(lines: DataFrame, some: DataFrame) -> DataFrame:
+    """The rows of ``lines`` whose h1 may be in ``some``: all that are, and few others while a map has room for them.
+
+    The map is ``2 ** MAP_BITS`` bits in pieces of 2^15, broadcast whatever the size of ``some``.
+    """
+    slot = F.pmod("h1", F.lit(1 << MAP_BITS))
+    piece, bit = F.shiftright(slot, 15), slot.bitwiseAND((1 << 15) - 1).cast("int")
+    maps = some.groupBy(piece.alias("_piece")).agg(F.bitmap_construct_agg(bit.cast("long")).alias("_map")).checkpoint()
+    byte = F.conv(F.hex(F.substring("_map", F.shiftright(bit, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    return (lines.join(F.broadcast(maps), piece == F.col("_piece"))
+            .where(F.bit_get(byte, bit.bitwiseAND(7)) == 1).drop("_piece", "_map"))
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, line_no, line and the line's hashes and place, for lines that are not blank."""
     return (docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
@@ -197,8 +212,12 @@ def _variant_limits(lines: DataFrame) -> DataFrame:
 def _near_lines(docs: DataFrame, distinct: DataFrame, min_words: int) -> DataFrame:
     """h1, h2, limit: lines with an earlier line within the bound, and where the earliest such line found stands."""
     pairs, crowded = _shared_parts(distinct)
-    some = _bounded(pairs.select(F.col("x").alias("h1")).union(pairs.select("y")).union(crowded).distinct())
-    lines = (_lines(docs).join(some, "h1", "left_semi").groupBy("h1", "h2", "line").agg(F.min("at").alias("at"))
+    some = pairs.select(F.col("x").alias("h1")).union(pairs.select("y")).union(crowded).distinct().checkpoint()
+    lines = _lines(docs)
+    if some.count() > BROADCAST_ROWS:
+        lines = _mapped(lines, some)  # before their text is shuffled
+    # an inner join with the distinct rows, as Spark would move a semi-join below the map's
+    lines = (lines.join(_bounded(some, stored=True), "h1").groupBy("h1", "h2", "line").agg(F.min("at").alias("at"))
              .withColumn("spaced", _spaced(F.col("line"))).where(_n_words(F.col("spaced")) >= min_words)
              .select("h1", "h2", "at", "spaced").checkpoint())
     expanded = lines.join(_bounded(crowded, stored=True), "h1", "left_semi")

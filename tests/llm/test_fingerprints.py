@@ -257,6 +257,16 @@ def test_only_lines_of_crowded_parts_are_expanded(spark, monkeypatch, bound):
     assert 0 < expanded[0] <= 24
 
 
+def test_the_map_of_lines_loses_none_and_lets_few_others_pass(spark):
+    lines = spark.range(200_000).select("id", F.xxhash64("id").alias("h1"))
+    some = lines.where("id % 20 = 0").select("h1")
+    got = line_dedup._mapped(lines, some)
+    assert got.columns == ["id", "h1"]
+    got = [r["id"] for r in got.collect()]
+    assert len(got) == len({*got}) and {*range(0, 200_000, 20)} <= {*got} and len(got) < 10_100
+    assert line_dedup._mapped(lines, some.limit(0)).count() == 0
+
+
 def test_line_query_equals_its_sql(spark, duck):
     columns, rows, _ = duck(queries.oracle_sql()["op4_line_dedup"])
     got = queries.op4_line_dedup(spark, SF01).select(*columns).collect()
